@@ -12,17 +12,21 @@ BLOCK_TAGS = (
 INVISIBLE = (
     r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!doctype[^>]*>"
 )
-# The two marks are stripped from the input first, so they can only be ours.
-PIECE, TAG_END = "\x01", "\x02"
+# Marks that stand for structural tags; they are removed from the input first.
+MARKS = "\x01\x02\x03\x04"
+PIECE, TAG_END, ROW, CELL = MARKS
+TABLE, TABLE_END = PIECE, TAG_END
+REST = 2147483646
 
 
 def visible(html: Column) -> Column:
     """Markup without comments, scripts, styles and doctype."""
-    return F.regexp_replace(F.translate(html, PIECE + TAG_END, ""), INVISIBLE, "")
+    return F.regexp_replace(F.translate(html, MARKS, ""), INVISIBLE, "")
 
 
 def unescape(c: Column) -> Column:
     # The entities that are decoded; the ampersand goes last.
+    out = c
     for entity, char in (
         ("&lt;", "<"),
         ("&gt;", ">"),
@@ -32,14 +36,23 @@ def unescape(c: Column) -> Column:
         ("&nbsp;", " "),
         ("&amp;", "&"),
     ):
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+
+
+def _untagged(marked: Column) -> Column:
+    """Remaining tags removed and white space collapsed, in passes over the whole page."""
+    no_tags = F.regexp_replace(marked, f"<[^>{MARKS}]*>", "")
+    return F.regexp_replace(F.replace(no_tags, F.lit("&nbsp;"), F.lit(" ")), r"\s+", " ")
+
+
+def _text(c: Column) -> Column:
+    return F.trim(unescape(c))
 
 
 def plain(c: Column) -> Column:
     """Inline tags removed, entities decoded, white space collapsed."""
-    no_tags = F.regexp_replace(c, r"<[^>]*>", "")
-    return F.trim(F.regexp_replace(unescape(no_tags), r"\s+", " "))
+    return _text(_untagged(c))
 
 
 def pieces(html: Column) -> Column:
@@ -47,14 +60,13 @@ def pieces(html: Column) -> Column:
     marked = F.regexp_replace(
         visible(html), rf"(?i)<(/?(?:{BLOCK_TAGS}))\b[^>]*>", f"{PIECE}$1{TAG_END}"
     )
-    parts = F.split(marked, PIECE)
     parsed = F.transform(
-        parts,
+        F.split(_untagged(marked), PIECE),
         lambda p: F.struct(
             F.lower(
                 F.when(F.contains(p, F.lit(TAG_END)), F.substring_index(p, TAG_END, 1)).otherwise("")
             ).alias("tag"),
-            plain(F.substring_index(p, TAG_END, -1)).alias("text"),
+            _text(F.substring_index(p, TAG_END, -1)).alias("text"),
         ),
     )
     return F.filter(parsed, lambda x: x["text"] != "")
@@ -62,20 +74,24 @@ def pieces(html: Column) -> Column:
 
 def grids(html: Column) -> Column:
     """Array of grids, one per table; nested tables are read as following tables."""
-    bodies = F.transform(
-        F.slice(F.split(visible(html), r"(?i)<table\b[^>]*>"), F.lit(2), F.lit(2147483646)),
-        lambda t: F.get(F.split(t, r"(?i)</table\s*>"), F.lit(0)),
-    )
+    marked = visible(html)
+    for pattern, mark in (
+        (r"<table\b[^>]*>", TABLE),
+        (r"</table\s*>", TABLE_END),
+        (r"<tr\b[^>]*>", ROW),
+        (r"<t[dh]\b[^>]*>", CELL),
+    ):
+        marked = F.regexp_replace(marked, f"(?i){pattern}", mark)
+    bodies = F.slice(F.split(_untagged(marked), TABLE), F.lit(2), F.lit(REST))
 
-    def rows(body: Column) -> Column:
-        cut = F.split(body, r"(?i)<tr\b[^>]*>")
-        return F.filter(F.transform(cut, cells), lambda r: F.size(r) > 0)
+    def grid(body: Column) -> Column:
+        rows = F.transform(F.split(F.substring_index(body, TABLE_END, 1), ROW), cells)
+        return F.filter(rows, lambda r: F.size(r) > 0)
 
     def cells(row: Column) -> Column:
-        cut = F.split(row, r"(?i)<t[dh]\b[^>]*>")
-        return F.transform(F.slice(cut, F.lit(2), F.lit(2147483646)), plain)
+        return F.transform(F.slice(F.split(row, CELL), F.lit(2), F.lit(REST)), _text)
 
-    return F.transform(bodies, rows)
+    return F.transform(bodies, grid)
 
 
 def attribute(tag: Column, name: str) -> Column:

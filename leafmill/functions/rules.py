@@ -127,25 +127,44 @@ def case_chain(tests: Sequence[tuple[Column, Column]], default: Column) -> Colum
 
 
 def classify(
+    df: DataFrame,
     caption: Column,
     context: Column | None = None,
     rules: Sequence[Rule] = FIGURE_RULES,
     default: Rule = NO_RULE,
+    *,
+    out: str = "classification",
     as_array: bool | None = None,
-) -> Column:
-    """First-match class of a caption and its surrounding text: (type, confidence, rationale)."""
+) -> DataFrame:
+    """Add the first-match class of a caption and its surrounding text: (type, confidence, rationale).
+
+    Lower-casing happens in a projection of its own, once per row rather than
+    once per needle.
+    """
     caption = F.coalesce(caption, F.lit(""))
     context = F.lit("") if context is None else F.coalesce(context, F.lit(""))
-    low_caption = F.lower(caption)
-    low_both = F.lower(F.concat(caption, F.lit(" "), context))
+    lowered = df.select(
+        *df.columns,
+        F.lower(caption).alias("__low_caption"),
+        F.lower(F.concat(caption, F.lit(" "), context)).alias("__low_both"),
+    )
+    low_caption, low_both = F.col("__low_caption"), F.col("__low_both")
     ordered = ordered_rules(rules)
     if as_array is None:
         as_array = len(ordered) > CASE_CHAIN_LIMIT
-    if not as_array:
+    if as_array:
+        found = _array_search(low_caption, low_both, ordered, default)
+    else:
         tests = [
             (hits(low_caption if r.caption_only else low_both, r), verdict(r)) for r in ordered
         ]
-        return case_chain(tests, verdict(default))
+        found = case_chain(tests, verdict(default))
+    return lowered.select(*df.columns, found.alias(out))
+
+
+def _array_search(
+    low_caption: Column, low_both: Column, ordered: Sequence[Rule], default: Rule
+) -> Column:
     table = F.array(
         *[
             F.struct(
@@ -172,15 +191,31 @@ def classify(
 
 
 def infer_label(
-    text: Column, rules: Sequence[Rule] = DESCRIPTION_RULES, default: Rule = OTHER
-) -> Column:
-    """First-match label of a free-text description."""
-    low = F.lower(text)
-    return case_chain([(hits(low, r), F.lit(r.label)) for r in rules], F.lit(default.label))
+    df: DataFrame,
+    text: Column | str,
+    rules: Sequence[Rule] = DESCRIPTION_RULES,
+    default: Rule = OTHER,
+    *,
+    out: str = "label",
+) -> DataFrame:
+    """Add the first-match label of a free-text description."""
+    text = F.col(text) if isinstance(text, str) else text
+    lowered = df.select(*df.columns, F.lower(text).alias("__low"))
+    found = case_chain([(hits(F.col("__low"), r), F.lit(r.label)) for r in rules], F.lit(default.label))
+    return lowered.select(*df.columns, found.alias(out))
 
 
 def tags(*texts: Column, vocabulary: Sequence[str] = TAGS) -> Column:
     """Vocabulary terms found as substrings, sorted and unique."""
-    low = F.lower(F.concat_ws(" ", *texts))
-    terms = F.array(*[F.lit(t) for t in sorted(set(vocabulary))])
-    return F.filter(terms, lambda t: F.contains(low, t))
+    low = F.transform(F.array(F.lower(F.concat_ws(" ", *texts))), _terms_in(vocabulary))
+    return F.flatten(low)
+
+
+def _terms_in(vocabulary: Sequence[str]):
+    terms = sorted(set(vocabulary))
+
+    def search(low: Column) -> Column:
+        found = [F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in terms]
+        return F.filter(F.array(*found), lambda t: t.isNotNull())
+
+    return search

@@ -10,8 +10,9 @@ MIN_PRINTABLE_RATIO = 0.6
 MIN_LETTERS = 10
 SPECIAL_TOKENS = ("<unk>", "<s>", "</s>")
 
-# Unicode letters, marks, numbers, punctuation, symbols and the plain space.
-NOT_PRINTABLE = r"[^\p{L}\p{M}\p{N}\p{P}\p{S} ]+"
+# Unicode letters, marks, numbers, punctuation, symbols and the plain space.  The ASCII range
+# repeats a part of them: it is tested first and settles most characters.
+NOT_PRINTABLE = r"[^ -~\p{L}\p{M}\p{N}\p{P}\p{S}]+"
 NOT_LETTER = r"[^\p{L}]+"
 AT_LEAST_TEN_LETTERS = rf"(?:\p{{L}}[^\p{{L}}]*){{{MIN_LETTERS}}}"
 # Unicode white space plus the four separator controls.
@@ -74,7 +75,7 @@ def file_stem(path: Column | str) -> Column:
 
 def words(c: Column | str) -> Column:
     """White-space separated tokens; blank text has none."""
-    return F.filter(F.split(col(c), r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(col(c), r"\s+"), "")
 
 
 def ordinal_of(identifier: Column | str) -> Column:

@@ -96,23 +96,25 @@ def classify_figures(
 ) -> DataFrame:
     """Add ``classification`` from the caption and the text of the same page."""
     pages = page_hits(blocks, rules, width=width)
-    return figures.join(pages, ["doc_id", "page"], "left").select(
+    caption = F.coalesce("caption", F.lit(""))
+    # Needles can also straddle the end of the caption and the start of the context.
+    seam = F.concat(caption, F.lit(" "), F.coalesce("head", F.lit("")))
+    lowered = figures.join(pages, ["doc_id", "page"], "left").select(
         *[figures[c] for c in figures.columns],
-        _first_match(rules, default).alias("classification"),
+        "hits",
+        F.lower(caption).alias("__low_caption"),
+        F.lower(seam).alias("__low_seam"),
     )
+    return lowered.select(*figures.columns, _first_match(rules, default).alias("classification"))
 
 
 def _first_match(rules: Sequence[Rule], default: Rule) -> Column:
-    caption = F.coalesce(F.col("caption"), F.lit(""))
-    low_caption = F.lower(caption)
-    # Needles can also straddle the end of the caption and the start of the context.
-    seam = F.lower(F.concat(caption, F.lit(" "), F.coalesce("head", F.lit(""))))
     tests, n = [], 0
     for rule in R.ordered_rules(rules):
         if rule.caption_only:
-            tests.append((R.hits(low_caption, rule), R.verdict(rule)))
+            tests.append((R.hits(F.col("__low_caption"), rule), R.verdict(rule)))
         else:
             on_page = F.coalesce(F.get("hits", F.lit(n)), F.lit(False))
-            tests.append((R.hits(seam, rule) | on_page, R.verdict(rule)))
+            tests.append((on_page | R.hits(F.col("__low_seam"), rule), R.verdict(rule)))
             n += 1
     return R.case_chain(tests, R.verdict(default))

@@ -37,6 +37,11 @@ GLOBAL_TITLE = "# Global Manual Processing Report"
 GLOBAL_EMPTY = "- none"
 ROLLUP_TITLE = "# Figure Processing Rollup"
 EXTERNAL_HINT = "Use the prompt template for external analysis."
+ROLLUP_SECTIONS = (
+    (1, S.RESOLVED_LOCAL, "Resolved locally", False),
+    (2, S.NEEDS_EXTERNAL, "Needs external LLM", True),
+    (3, S.RESOLVED_EXTERNAL, "Resolved by external LLM", False),
+)
 
 
 def _advice(action: Column | str, reason: Column | str, confidence: float) -> Column:
@@ -153,66 +158,68 @@ def rollup_markdown(
     """Lines of each document's rollup: head (0), then resolved locally (1), pending (2), external (3)."""
     totals = rollup_by_document(statuses, docs)
 
-    def bold(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f"**{name}:** "), value)
+    def bold(name: str, column: str, unit: str = "") -> Column:
+        return F.concat(F.lit(f"**{name}:** "), F.col(column).cast("string"), F.lit(unit))
 
-    head = _lines(
-        totals,
+    def stretch(section: int, order: int, lines: list[Column], when: Column | None = None) -> Column:
+        piece = F.struct(
+            F.lit(section).alias("section"),
+            F.lit(order).cast("bigint").alias("ord"),
+            F.array(*lines).alias("lines"),
+        )
+        return piece if when is None else F.when(when, piece)
+
+    head = stretch(
+        0,
         0,
-        F.lit(0),
         [
             F.lit(ROLLUP_TITLE),
             F.lit(""),
-            bold("Total figures", F.col("total_figures").cast("string")),
-            bold("Resolved locally", F.col(S.RESOLVED_LOCAL).cast("string")),
-            bold("Resolved by external LLM", F.col(S.RESOLVED_EXTERNAL).cast("string")),
-            bold("Pending external LLM", F.col("pending_external").cast("string")),
-            F.concat(
-                bold("Completion", F.col("percent_complete").cast("string")), F.lit("%")
-            ),
+            bold("Total figures", "total_figures"),
+            bold("Resolved locally", S.RESOLVED_LOCAL),
+            bold("Resolved by external LLM", S.RESOLVED_EXTERNAL),
+            bold("Pending external LLM", "pending_external"),
+            bold("Completion", "percent_complete", "%"),
             F.lit(""),
             F.lit("---"),
             F.lit(""),
         ],
     )
-    out = head
-    parts = [
-        (1, S.RESOLVED_LOCAL, "Resolved locally", []),
-        (2, S.NEEDS_EXTERNAL, "Needs external LLM", [F.lit(hint), F.lit("")]),
-        (3, S.RESOLVED_EXTERNAL, "Resolved by external LLM", []),
-    ]
-    detail = rollup_detail(statuses)
-    shown = F.left(
-        F.replace("description", F.lit("\n"), F.lit(" ")), F.lit(DISPLAY_MAX)
-    )
-    name = F.format_string("- `%s` [%s]", "figure_id", "classification")
-    body = {
-        S.RESOLVED_LOCAL: [F.concat(name, F.lit(" "), shown)],
-        S.NEEDS_EXTERNAL: [
-            F.concat(name, F.lit(" → `"), F.col("image_path"), F.lit("`")),
-            F.when(shown != "", F.concat(F.lit("  "), shown)),
-        ],
-        S.RESOLVED_EXTERNAL: [name],
-    }
-    for section, status, title, extra in parts:
-        some = totals.where(F.col(status) > 0)
-        opening = _lines(
-            some,
-            section,
-            F.lit(-1),
-            [F.concat(F.lit(f"## {title} ("), F.col(status).cast("string"), F.lit(")")), F.lit("")]
-            + extra,
-        )
+    frame = [head]
+    for section, status, title, extra in ROLLUP_SECTIONS:
+        opening = [
+            F.concat(F.lit(f"## {title} ("), F.col(status).cast("string"), F.lit(")")),
+            F.lit(""),
+        ]
+        if extra:
+            opening += [F.lit(hint), F.lit("")]
+        some = F.col(status) > 0
+        frame.append(stretch(section, -1, opening, some))
         # The blank line after a list sorts behind every figure.
-        closing = _lines(some, section, F.lit((1 << 63) - 1), [F.lit("")])
-        items = _lines(
-            detail.where(F.col("status") == status),
-            section,
-            T.ordinal_of("figure_id"),
-            body[status],
-        )
-        out = out.unionByName(opening).unionByName(items).unionByName(closing)
-    return out
+        frame.append(stretch(section, (1 << 63) - 1, [F.lit("")], some))
+    framed = totals.select(
+        "doc_id", F.explode(F.filter(F.array(*frame), lambda x: x.isNotNull())).alias("f")
+    ).select("doc_id", "f.section", "f.ord", F.posexplode("f.lines").alias("line_no", "line"))
+
+    shown = F.left(F.replace("description", F.lit("\n"), F.lit(" ")), F.lit(DISPLAY_MAX))
+    name = F.format_string("- `%s` [%s]", "figure_id", "classification")
+    pending = F.concat(name, F.lit(" → `"), F.col("image_path"), F.lit("`"))
+    lines = (
+        F.when(F.col("status") == S.RESOLVED_LOCAL, F.array(F.concat(name, F.lit(" "), shown)))
+        .when(F.col("status") == S.RESOLVED_EXTERNAL, F.array(name))
+        .when(shown == "", F.array(pending))
+        .otherwise(F.array(pending, F.concat(F.lit("  "), shown)))
+    )
+    section = F.lit(None).cast("int")
+    for number, status, *_ in ROLLUP_SECTIONS:
+        section = F.when(F.col("status") == status, number).otherwise(section)
+    listed = rollup_detail(statuses).select(
+        "doc_id",
+        section.alias("section"),
+        T.ordinal_of("figure_id").alias("ord"),
+        F.posexplode(lines).alias("line_no", "line"),
+    )
+    return framed.unionByName(listed)
 
 
 def markdown_parts(lines: DataFrame, *, width: int = 10_000) -> DataFrame:

@@ -120,20 +120,26 @@ def triage(
     ``now`` is the stamp of this run and defaults to the current time.
     """
     now = F.current_timestamp() if now is None else now
-    todo = figures
+    todo = figures.select(*KEY, "image_path", "width", "height")
     if existing is not None and not force:
-        todo = figures.join(existing.select(*KEY), KEY, "left_anti")
+        todo = todo.join(existing.select(*KEY), KEY, "left_anti")
 
-    response = F.coalesce(T.strip(F.col("response")), F.lit(""))
-    judged = todo.join(responses.select(*KEY, "response"), KEY, "left").select(
+    # Everything that reads the text is computed below the join, once per response;
+    # above it only short columns are compared.
+    replies = responses.select(*KEY, F.coalesce(T.strip("response"), F.lit("")).alias("reply"))
+    read = R.infer_label(
+        replies.withColumn("valid", T.is_valid_description("reply")), "reply", rules
+    )
+    judged = todo.join(read, KEY, "left").select(
         *KEY,
         F.coalesce("image_path", F.lit("")).alias("image_path"),
         "width",
         "height",
-        response.alias("reply"),
+        F.coalesce("reply", F.lit("")).alias("reply"),
+        F.coalesce("valid", F.lit(False)).alias("valid"),
+        "label",
     )
     settled = F.lit(S.RESOLVED_LOCAL)
-    label = R.infer_label(F.col("reply"), rules)
     resolved = is_resolved_locally(F.col("label"), F.col("reply"))
     ladder = (
         F.when(F.col("image_path") == "", _outcome(settled, "skip", "", FILE_NOT_FOUND, 0.0))
@@ -160,9 +166,7 @@ def triage(
         .otherwise(_outcome(F.lit(S.NEEDS_EXTERNAL), "", "", "", PENDING_CONFIDENCE))
     )
     fresh = (
-        judged.withColumn("valid", T.is_valid_description(F.col("reply")))
-        .withColumn("label", label)
-        .withColumn("o", ladder)
+        judged.withColumn("o", ladder)
         .select(
             *KEY,
             "image_path",

@@ -285,7 +285,7 @@ def analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pinout": F.struct(
             each(
                 lambda w, i: F.struct(
-                    (i + 1).alias("number"), w.alias("name"), F.upper(w).alias("function")
+                    (i + 1).alias("number"), w.alias("name"), F.concat(F.lit("pin "), w).alias("function")
                 )
             ).alias("pins")
         ),

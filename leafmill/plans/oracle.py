@@ -1015,7 +1015,7 @@ FROM ws WHERE classification IN ('block_diagram', 'state_machine', 'wiring_diagr
 add(
     "pin_table",
     f"""WITH {ANALYSES} SELECT doc_id, figure_id, i AS n, (i + 1)::VARCHAR AS pin, word AS name,
-  upper(word) AS function FROM ws WHERE classification = 'pinout'""",
+  'pin ' || word AS function FROM ws WHERE classification = 'pinout'""",
 )
 add(
     "register_bits",

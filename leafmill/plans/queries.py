@@ -25,7 +25,8 @@ from leafmill.operators import (
     triage,
 )
 from leafmill.plans import bindings as B
-from leafmill.plans.session import configure, scratch
+from leafmill.plans.session import configure
+from leafmill.scratch import scratch, settle
 from leafmill.sinks import runs
 from leafmill.sources import files, markup
 from leafmill.streaming import jobs
@@ -419,13 +420,13 @@ def chunk_greedy(spark, sf_dir):
 # --- classification ----------------------------------------------------------
 
 
-def _verdicts(df: DataFrame, verdict: Column) -> DataFrame:
-    return df.withColumn("v", verdict).select(
+def _verdicts(df: DataFrame) -> DataFrame:
+    return df.select(
         "doc_id",
         "ord",
-        F.col("v.type").alias("type"),
-        F.col("v.confidence").alias("confidence"),
-        F.col("v.rationale").alias("rationale"),
+        F.col("classification.type").alias("type"),
+        F.col("classification.confidence").alias("confidence"),
+        F.col("classification.rationale").alias("rationale"),
     )
 
 
@@ -434,7 +435,9 @@ def classify_by_rules(spark, sf_dir):
     """Each line as a caption with the next one as context, rules as a CASE chain."""
     f = B.raw_figures(spark, sf_dir)
     return _verdicts(
-        f, R.classify(F.col("caption"), F.col("reply"), B.CORPUS_FIGURE_RULES, as_array=False)
+        R.classify(
+            f, F.col("caption"), F.col("reply"), B.CORPUS_FIGURE_RULES, as_array=False
+        )
     )
 
 
@@ -443,7 +446,9 @@ def classify_by_rule_table(spark, sf_dir):
     """The same with the rules as a searched array."""
     f = B.raw_figures(spark, sf_dir)
     return _verdicts(
-        f, R.classify(F.col("caption"), F.col("reply"), B.CORPUS_FIGURE_RULES, as_array=True)
+        R.classify(
+            f, F.col("caption"), F.col("reply"), B.CORPUS_FIGURE_RULES, as_array=True
+        )
     )
 
 
@@ -451,7 +456,7 @@ def classify_by_rule_table(spark, sf_dir):
 def classify_default_rules(spark, sf_dir):
     """The built-in rules over whole documents."""
     d = documents(spark, sf_dir).withColumn("ord", F.lit(1))
-    return _verdicts(d, R.classify(F.col("source"), F.col("text")))
+    return _verdicts(R.classify(d, F.col("source"), F.col("text")))
 
 
 @query
@@ -467,20 +472,15 @@ def extract_tags(spark, sf_dir):
 @query
 def infer_class(spark, sf_dir):
     """Corpus rules and built-in rules on every line."""
-    b = B.raw_blocks(spark, sf_dir)
-    return b.select(
-        "doc_id",
-        "ord",
-        R.infer_label(F.col("text"), B.CORPUS_DESCRIPTION_RULES).alias("label"),
-        R.infer_label(F.col("text")).alias("default_label"),
+    b = R.infer_label(B.raw_blocks(spark, sf_dir), "text", B.CORPUS_DESCRIPTION_RULES)
+    return R.infer_label(b, "text", out="default_label").select(
+        "doc_id", "ord", "label", "default_label"
     )
 
 
 @query
 def route_local(spark, sf_dir):
-    b = B.raw_blocks(spark, sf_dir).withColumn(
-        "label", R.infer_label(F.col("text"), B.CORPUS_DESCRIPTION_RULES)
-    )
+    b = R.infer_label(B.raw_blocks(spark, sf_dir), "text", B.CORPUS_DESCRIPTION_RULES)
     return b.select(
         "doc_id",
         "ord",
@@ -1085,8 +1085,12 @@ def stream_classify(spark, sf_dir):
     home = scratch(spark, "stream-classify")
     jobs.run_to_table(
         _verdicts(
-            stream.withColumn("ord", F.lit(1)),
-            R.classify(F.col("source"), F.col("text"), B.CORPUS_FIGURE_RULES),
+            R.classify(
+                stream.withColumn("ord", F.lit(1)),
+                F.col("source"),
+                F.col("text"),
+                B.CORPUS_FIGURE_RULES,
+            )
         ),
         f"{home}/out",
         f"{home}/checkpoint",

@@ -1,10 +1,7 @@
-"""Session settings that the operators rely on, and the shared scratch folder."""
+"""Session settings that the operators rely on."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -26,17 +23,3 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
-
-    Where that is unset (tests on one machine) a temporary folder is made and set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="leafmill-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
