@@ -24,8 +24,14 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove leading and trailing Unicode white space."""
-    return F.regexp_replace(col(c), rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    """Remove leading and trailing Unicode white space.
+
+    Only text that begins or ends with it goes through the pattern.
+    """
+    c = col(c)
+    edges = F.concat(F.left(c, F.lit(1)), F.right(c, F.lit(1)))
+    trimmed = F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.when(edges.rlike(rf"(?U){SPACE}"), trimmed).otherwise(c)
 
 
 def is_blank(c: Column | str) -> Column:
@@ -42,21 +48,21 @@ def letter_count(c: Column | str) -> Column:
 
 
 def without_special_tokens(c: Column | str) -> Column:
-    out = col(c)
+    c = out = col(c)
     for token in SPECIAL_TOKENS:
         out = F.replace(out, F.lit(token), F.lit(""))
-    return out
+    return F.when(F.contains(c, F.lit("<")), out).otherwise(c)
 
 
 def is_valid_description(c: Column | str) -> Column:
-    """Does the text look like language rather than control characters or tokens?"""
+    """Does the text look like language rather than control characters or tokens?
+
+    Ten letters imply that the text is neither blank nor empty without its tokens.
+    """
     cleaned = without_special_tokens(c)
-    size = F.length(cleaned)
-    return (
-        ~is_blank(c)
-        & (size > 0)
-        & cleaned.rlike(AT_LEAST_TEN_LETTERS)
-        & (printable_count(cleaned) / size >= F.lit(MIN_PRINTABLE_RATIO))
+    ratio = printable_count(cleaned) / F.length(cleaned)
+    return F.coalesce(
+        cleaned.rlike(AT_LEAST_TEN_LETTERS) & (ratio >= F.lit(MIN_PRINTABLE_RATIO)), F.lit(False)
     )
 
 
@@ -85,4 +91,6 @@ def ordinal_of(identifier: Column | str) -> Column:
 
 def numbered_id(prefix: str, n: Column | str) -> Column:
     """``prefix_0001``; widens past four digits instead of cutting."""
-    return F.format_string(f"{prefix}_%04d", col(n))
+    digits = col(n).cast("string")
+    padded = F.when(F.length(digits) < 4, F.lpad(digits, 4, "0")).otherwise(digits)
+    return F.concat(F.lit(f"{prefix}_"), padded)

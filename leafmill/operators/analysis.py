@@ -119,12 +119,7 @@ def component_index(analyses: DataFrame) -> DataFrame:
 
 def component_counts(analyses: DataFrame) -> DataFrame:
     """(component, figures): size of each entry of the index."""
-    pairs = analyses.groupBy(*KEY).agg(F.flatten(F.collect_list("component_references")).alias("c"))
-    return (
-        pairs.select(F.explode(F.array_distinct("c")).alias("component"))
-        .groupBy("component")
-        .agg(F.count(F.lit(1)).alias("figures"))
-    )
+    return component_index(analyses).groupBy("component").agg(F.count(F.lit(1)).alias("figures"))
 
 
 def key_values_long(df: DataFrame, keys: list[str] | None = None) -> DataFrame:

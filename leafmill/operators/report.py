@@ -97,7 +97,8 @@ def _lines(df: DataFrame, section: int, order: Column, lines: list[Column]) -> D
 
 def report_markdown(entries: DataFrame, docs: DataFrame) -> DataFrame:
     """Lines of each document's report; section 0 is the head, 1 the figures in order."""
-    empty = docs.select("doc_id").join(entries.select("doc_id"), "doc_id", "left_anti")
+    reported = entries.select("doc_id").distinct()
+    empty = docs.select("doc_id").join(reported, "doc_id", "left_anti")
     head = _lines(docs, 0, F.lit(0), [F.lit(REPORT_TITLE), F.lit("")])
     nothing = _lines(empty, 1, F.lit(0), [F.lit(REPORT_EMPTY)])
     bullets = [
