@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from leafmill.functions import text as T
 from leafmill.functions.rules import Rule
 from leafmill.plans.session import configure
+from leafmill.sources.tables import read_texts
 
 BLOCKS_PER_PAGE = 5
 MODEL = "local-model"
@@ -34,8 +35,13 @@ CORPUS_DESCRIPTION_RULES = (
 CORPUS_TAGS = ("tion", "the", "eau", "sch", "ing", "ción")
 
 
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    configure(spark)
+    return read_texts(spark, path) if name in TEXT_TABLES else spark.read.parquet(path)
 
 
 def lines(text: Column) -> Column:
