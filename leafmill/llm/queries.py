@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import exact_dedup as exact
 from leafmill.llm import quality_rules as quality
+from leafmill.llm import warc
+from leafmill.scratch import scratch
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +19,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, labels).drop("rid").withColumnRenamed("id", "doc_id")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    manifest = warc.write_warc(pages, scratch(spark, "warc"))
+    return warc.read_warc(spark, manifest, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return exact.exact_dedup(docs).select(
@@ -26,10 +36,30 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op8_warc": op8_warc,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_warc": r"""
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), h AS (
+            SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS sha FROM p
+        ), c AS (
+            SELECT *, max(page_id) OVER (PARTITION BY sha) AS last,
+                row_number() OVER (PARTITION BY sha ORDER BY page_id DESC) = 1 AS first
+            FROM h
+        )
+        SELECT page_id, payload_bytes,
+            array_to_string(list_transform(range(32), i -> substr(
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((('0x' || substr(sha, 1 + (i // 4)::INT * 5, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31),
+                1)), '') AS payload_digest,
+            CASE WHEN first THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN NOT first THEN last END AS refers_to
+        FROM c
+    """,
     "op10_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, coalesce(text, '') AS text FROM documents
