@@ -52,7 +52,7 @@ ORACLE: dict[str, str] = {
             FROM h
         )
         SELECT page_id, payload_bytes,
-            array_to_string(list_transform(range(32), i -> substr(
+            array_to_string(list_transform(range(32), lambda i: substr(
                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                 1 + ((('0x' || substr(sha, 1 + (i // 4)::INT * 5, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31),
                 1)), '') AS payload_digest,
