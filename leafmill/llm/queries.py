@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafmill.llm import bpe
 from leafmill.llm import exact_dedup as exact
 from leafmill.llm import quality_rules as quality
 from leafmill.llm import warc
@@ -19,6 +21,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, labels).drop("rid").withColumnRenamed("id", "doc_id")
 
 
+def tokenizer() -> str:
+    """The tokenizer file that the contracts name; any path of such a file will do."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return bpe.encode(docs, tokenizer(), full=False).withColumnRenamed("id", "doc_id")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     manifest = warc.write_warc(pages, scratch(spark, "warc"))
@@ -36,6 +48,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op7_bpe": op7_bpe,
     "op8_warc": op8_warc,
     "op10_exact_dedup": op10_exact_dedup,
 }
