@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import bpe
 from leafmill.llm import exact_dedup as exact
+from leafmill.llm import packing
 from leafmill.llm import quality_rules as quality
 from leafmill.llm import warc
 from leafmill.scratch import scratch
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return packing.pack(docs, tokenizer()).withColumnRenamed("id", "doc_id")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -47,6 +53,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
     "op7_bpe": op7_bpe,
     "op8_warc": op8_warc,
