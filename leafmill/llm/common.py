@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import shutil
+import tempfile
+from collections.abc import Callable, Sequence
+from functools import wraps
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.scratch import settle
@@ -51,3 +55,29 @@ def attach(
     still = rows.join(F.broadcast(hot), list(on), "inner")
     rest = rows.join(F.broadcast(hot.select(*on)), list(on), "left_anti").join(cold, list(on))
     return still.unionByName(rest)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the workers of this application import the package, once; nothing else is needed there."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        made = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="leafmill-"), "leafmill"), "zip", root, "leafmill"
+        )
+        context.addPyFile(made)
+        _shipped.add(context.applicationId)
+
+
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query or stage whose workers can import the package."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args: object) -> DataFrame:
+        ship(spark)
+        return query(spark, *args)
+
+    return run

@@ -13,6 +13,7 @@ from leafmill.llm import exact_dedup as exact
 from leafmill.llm import packing
 from leafmill.llm import quality_rules as quality
 from leafmill.llm import warc
+from leafmill.llm.common import shipped
 from leafmill.scratch import scratch
 
 
@@ -59,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op10_exact_dedup": op10_exact_dedup,
 }
+QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 
 ORACLE: dict[str, str] = {
     "op8_warc": r"""
