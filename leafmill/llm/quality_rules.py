@@ -13,24 +13,29 @@ from pyspark.sql import functions as F
 from leafmill.llm.common import WORD
 from leafmill.scratch import settle
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 16
 TRUSTED_ROWS = 20_000
-THRESHOLD = -0.25
+THRESHOLD = -0.1
 SMOOTHING = 0.5
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
+def word_hashes(text: Column) -> Column:
+    """A 64-bit hash of each word, in order."""
+    bare = F.btrim(text, F.lit("\x20\t\n\x0b\x0c\r"))
+    return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(
+        F.transform(F.split(bare, r"[\x20\x09-\x0D]+"), lambda w: F.xxhash64(w))
+    )
 
 
 def ngram_buckets(words: Column, buckets: int) -> Column:
     """Bucket of each word, then of each pair of neighbours."""
-    ones = F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(buckets)))
+    ones = F.transform(words, lambda w: F.pmod(w, F.lit(buckets)))
     twos = F.transform(
-        words, lambda w, i: F.pmod(F.hash(w, F.get(words, i + 1)), F.lit(buckets))
+        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
+        lambda w, i: F.pmod(F.xxhash64(w, F.get(words, i + 1)), F.lit(buckets)),
     )
-    return F.concat(ones, F.slice(twos, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+    return F.concat(ones, twos)
 
 
 def repeated_words(windows: Column) -> Column:
@@ -74,7 +79,7 @@ def base_rules(rows: DataFrame) -> DataFrame:
         F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
         lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)),
     )
-    counted = rows.select("rid", "id", "text", words_of(F.col("text")).alias("words")).select(
+    counted = rows.select("rid", "id", "text", word_hashes(F.col("text")).alias("words")).select(
         "rid",
         "id",
         "words",
@@ -113,7 +118,7 @@ def bucket_ratios(
     """(bucket, ratio) for every bucket: log(target / raw); all zero without trusted texts."""
     spark = rows.sparkSession
     marked = rows.join(F.broadcast(trusted.select("id", F.lit(1).alias("t"))), "id", "left")
-    grams = marked.select("t", words_of(F.col("text")).alias("words")).select(
+    grams = marked.select("t", word_hashes(F.col("text")).alias("words")).select(
         "t", F.explode(ngram_buckets(F.col("words"), buckets)).alias("bucket")
     )
     counts = settle(
@@ -121,7 +126,7 @@ def bucket_ratios(
         "buckets",
     )
     n_raw, n_target = counts.agg(F.sum("raw"), F.sum("target")).first()
-    every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    every = spark.range(buckets).select(F.col("id").alias("bucket"))
     if not n_target:
         return every.select("bucket", F.lit(0.0).alias("ratio"))
     held = every.join(counts, "bucket", "left").na.fill(0, ["raw", "target"])
@@ -146,7 +151,7 @@ def quality_rules(
 
     A null or empty text has no words and fails the base rules.  Without trusted texts every score
     is 0 and the base rules decide.  An empty table gives no rows.  Repeated rows are judged alike,
-    and other columns are ignored.  Windows are compared by a 64-bit hash.  The broadcast tables
+    and other columns are ignored.  Windows are compared by a 64-bit hash of their words' hashes.  The broadcast tables
     have ``buckets`` and at most ``trusted_rows`` rows, whatever the input.  Where ``docs`` has a
     column ``rid`` that numbers its rows, it is passed on.
     """
