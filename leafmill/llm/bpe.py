@@ -17,8 +17,10 @@ import hashlib
 import heapq
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -28,7 +30,8 @@ from tokenizers import Tokenizer
 from leafmill.llm.common import texts_of
 
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+| ")
-CACHE_PIECES = 250_000
+CACHE_PIECES = 500_000
+CACHE_HITS = 4
 BATCH_CHARS = 16 << 20
 
 
@@ -111,7 +114,8 @@ class PairIndex:
             a, b = self.left[rank], self.right[rank]
             at = lists[0] if len(lists) == 1 else np.concatenate(lists)
             if len(at) > 1:
-                at = np.unique(at)
+                at = np.sort(at)
+                at = at[np.append(True, at[1:] != at[:-1])]
             at = at[(sym[at] == a) & (sym[nxt[at]] == b)]
             if not len(at):
                 continue
@@ -141,6 +145,17 @@ class PairIndex:
         return sym[:n][held], np.cumsum(np.add.reduceat(held, ends - length)) if n else ends
 
 
+def ragged(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Positions of runs that begin at ``begin``, one run after the other."""
+    before = np.cumsum(length) - length
+    return np.repeat(begin - before, length) + np.arange(int(length.sum()))
+
+
+def counter() -> defaultdict:
+    """A dictionary that numbers its keys as they are first asked for."""
+    return defaultdict(count().__next__)
+
+
 class Codec:
     """A tokenizer file: pieces to ids by the pair index, ids to text."""
 
@@ -155,8 +170,22 @@ class Codec:
         self.token = {i: t for t, i in (bpe["vocab"] | self.added).items()}
         self.shown = [self.token.get(i, "").encode() for i in range(max(self.token) + 1)]
         self.decimal = [b"%d" % i for i in range(max(self.token) + 1)]
-        self.ids: dict[bytes, bytes] = {}
-        self.text: dict[bytes, bytes] = {}
+        self.keep(np.empty(0, np.int64))
+
+    def keep(self, chosen: np.ndarray) -> None:
+        """Keep the chosen pieces of the table; none at first."""
+        if len(chosen):
+            pieces = list(self.number)
+            pieces = [pieces[i] for i in chosen.tolist()]
+            self.flat = self.flat[ragged(self.begin[chosen], self.length[chosen])]
+            self.length = self.length[chosen]
+        else:
+            pieces, self.flat, self.length = [], np.empty(0, np.int32), np.empty(0, np.int64)
+        self.number = counter()
+        for p in pieces:
+            self.number[p]
+        self.begin = np.cumsum(self.length) - self.length
+        self.hits = np.zeros(len(pieces), np.int64)
 
     def words(self, piece: str) -> list[str | int]:
         """Byte-level words of one piece; an added token is its id."""
@@ -172,91 +201,81 @@ class Codec:
                 at = m.end()
         return out
 
-    def split(self, pieces: list[bytes]) -> tuple[list[bytes], list[list[str | int]]]:
-        """Pieces, reordered, and the words of each; most are split many at once."""
-        ascii_, wide, rest = [], [], []
-        for p in pieces:
-            t = p.decode()
-            if self.cut.search(t):
-                rest.append(p)
-            elif t.isascii() and t.isprintable():
-                ascii_.append(t)
-            elif any(map(str.isspace, t)):
-                rest.append(p)
+    def learn(self, pieces: list[bytes]) -> None:
+        """Encode new pieces and put them at the end of the table.  Most are cut to words at once."""
+        plain, wide, rest = [], [], []
+        for k, p in enumerate(pieces):
+            if b"<|" in p and self.cut.search(p.decode()):
+                rest.append(k)
+            elif p.isascii():
+                (plain if p.decode().isprintable() else rest).append(k)
             else:
-                wide.append(t)
-        order = [t.encode() for t in ascii_]
-        of: list[list] = []
-        begin = 0
-        tokens = ASCII_WORDS.findall(" ".join(ascii_).lower()) if ascii_ else []
-        for end in [*[i for i, w in enumerate(tokens) if w == " "], len(tokens)] if ascii_ else []:
-            of.append(tokens[begin:end])
-            begin = end + 1
+                (rest if any(map(str.isspace, p.decode())) else wide).append(k)
+        word = counter()
+        owner, found = [], []
+
+        if plain:
+            text = b" ".join([pieces[k] for k in plain]).decode().lower()
+            w = np.fromiter(map(word.__getitem__, ASCII_WORDS.findall(text)), np.int64)
+            gap = w == word[" "]
+            own = np.array(plain)[np.cumsum(gap)]
+            owner.append(own[~gap])
+            found.append(w[~gap])
         if wide:
-            text = self.library.normalizer.normalize_str(" ".join(wide))
-            parts = text.split(" ")
-            if len(parts) != len(wide):  # the library sees white space where Python doesn't
-                rest += [t.encode() for t in wide]
-            else:
-                order += [t.encode() for t in wide]
-                first = len(of)
-                of += [[] for _ in wide]
-                ends = iter(np.cumsum([len(x) + 1 for x in parts]).tolist())
-                k, end = first - 1, 0
-                for w, (at, _) in self.library.pre_tokenizer.pre_tokenize_str(text):
-                    while at >= end:
-                        k, end = k + 1, next(ends)
-                    of[k].append(w)
-        return order + rest, of + [self.words(p.decode()) for p in rest]
-
-    def learn(self, pieces: Iterable[bytes]) -> None:
-        """Encode pieces that aren't in the table."""
-        new = [p for p in pieces if p not in self.ids]
-        if not new:
-            return
-        new, split = self.split(new)
-        number: dict[str, int] = {}
-        for ws in split:
-            for w in ws:
-                if type(w) is str:
-                    number.setdefault(w, len(number))
-        flat, ends = self.index.encode(list(number)) if number else (np.empty(0, int), np.empty(0, int))
-        flat_ids = flat.tolist()
-        dec = list(map(self.decimal.__getitem__, flat_ids))
-        shown = list(map(self.shown.__getitem__, flat_ids))
-        ids, text, begin = [], [], 0
-        for end in ends.tolist():
-            if end == begin + 1:
-                ids.append(dec[begin])
-                text.append(shown[begin])
+            text = self.library.normalizer.normalize_str(b" ".join([pieces[k] for k in wide]).decode())
+            sizes = np.array([len(x) + 1 for x in text.split(" ")])
+            if len(sizes) != len(wide):  # the library sees white space where Python doesn't
+                rest += wide
             else:
-                ids.append(b" ".join(dec[begin:end]))
-                text.append(b" ".join(shown[begin:end]))
-            begin = end
-        for p, ws in zip(new, split, strict=True):
-            if len(ws) == 1 and type(ws[0]) is str:
-                k = number[ws[0]]
-                self.ids[p], self.text[p] = ids[k], text[k]
-                continue
-            ks = [number[w] if type(w) is str else ~w for w in ws]
-            self.ids[p] = b" ".join([ids[k] if k >= 0 else self.decimal[~k] for k in ks])
-            self.text[p] = b" ".join([text[k] if k >= 0 else self.shown[~k] for k in ks])
-
-    def encode_batch(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        """For each text its ids, in decimal and joined by a space, and the decoded text."""
+                cut = self.library.pre_tokenizer.pre_tokenize_str(text)
+                at = np.fromiter((x[1][0] for x in cut), np.int64, len(cut))
+                owner.append(np.array(wide)[np.searchsorted(np.cumsum(sizes), at, side="right")])
+                found.append(np.fromiter((word[x[0]] for x in cut), np.int64, len(cut)))
+        for k in rest:
+            ws = self.words(pieces[k].decode())
+            owner.append(np.full(len(ws), k, np.int64))
+            found.append(np.array([word[w] for w in ws], np.int64))
+        if " " in word:
+            word.pop(" ")  # the gap, never a word; its number stays unused
+
+        numbers = np.fromiter(word.values(), np.int64, len(word))
+        fixed = np.array([type(w) is int for w in word], bool) if rest else np.zeros(len(word), bool)
+        merged = [w for w in word if type(w) is str]
+        ids, ends = self.index.encode(merged) if merged else (np.empty(0, np.int64),) * 2
+        length = np.zeros(int(numbers.max(initial=-1)) + 1, np.int64)
+        begin = length.copy()
+        length[numbers[~fixed]] = np.diff(ends, prepend=0)
+        begin[numbers[~fixed]] = ends - np.diff(ends, prepend=0)
+        length[numbers[fixed]] = 1
+        begin[numbers[fixed]] = len(ids) + np.arange(fixed.sum())
+        ids = np.concatenate([ids, np.array([w for w in word if type(w) is int], np.int64)])
+
+        own = np.concatenate([*owner, np.empty(0, np.int64)])
+        which = np.concatenate([*found, np.empty(0, np.int64)])
+        order = np.argsort(own, kind="stable")
+        own, which = own[order], which[order]
+        made = ids[ragged(begin[which], length[which])].astype(np.int32)
+        size = np.bincount(own, length[which], minlength=len(pieces)).astype(np.int64)
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+        self.length = np.concatenate([self.length, size])
+        self.flat = np.concatenate([self.flat, made])
+        self.hits = np.concatenate([self.hits, np.zeros(len(pieces), np.int64)])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text ends."""
+        if len(self.number) > CACHE_PIECES:  # what has come up again and again stays
+            self.keep(np.flatnonzero(self.hits >= CACHE_HITS))
         parts = [t.encode().split() for t in texts]
-        here = set().union(*parts)
-        if len(self.ids) > CACHE_PIECES:  # what occurs again in this batch is kept
-            again = here.intersection(self.ids)
-            self.ids = {p: self.ids[p] for p in again}
-            self.text = {p: self.text[p] for p in again}
-        self.learn(here)
-        ids, text = self.ids.__getitem__, self.text.__getitem__
-        blank = {p for p in here if not self.ids[p]}
-        for ps in parts:
-            if blank:
-                ps = [p for p in ps if p not in blank]
-            yield b" ".join(map(ids, ps)), b" ".join(map(text, ps))
+        known = len(self.number)
+        k = np.fromiter(map(self.number.__getitem__, chain.from_iterable(parts)), np.int64)
+        new = list(islice(self.number, known, None))
+        if new:
+            self.learn(new)
+        self.hits += np.bincount(k, minlength=len(self.hits))
+        length = self.length[k]
+        ids = self.flat[ragged(self.begin[k], length)]
+        pieces = np.fromiter(map(len, parts), np.int64, len(parts))
+        return ids, np.append(0, np.cumsum(length))[np.cumsum(pieces)]
 
 
 @lru_cache(maxsize=2)
@@ -298,13 +317,16 @@ def encode(
             texts = df["text"].tolist()
             for part in slices(texts):
                 out = []
-                for ids, text in own.encode_batch(texts[part]):
+                flat, ends = own.encode(texts[part])
+                for ids in np.split(flat, ends[:-1]):
+                    ids = ids.tolist()
+                    text = b" ".join(map(own.shown.__getitem__, ids))
                     row = (
-                        ids.count(b" ") + 1 if ids else 0,
-                        hashlib.sha256(ids).hexdigest(),
+                        len(ids),
+                        hashlib.sha256(b" ".join(map(own.decimal.__getitem__, ids))).hexdigest(),
                         hashlib.sha256(text).hexdigest(),
                     )
-                    out.append(row + (([int(i) for i in ids.split()], text.decode()) if full else ()))
+                    out.append(row + ((ids, text.decode()) if full else ()))
                 names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if full else [])]
                 made = pd.DataFrame(out, columns=names)
                 made.insert(0, "id", df["id"].iloc[part].to_numpy())
