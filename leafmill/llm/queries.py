@@ -10,13 +10,23 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import bpe
 from leafmill.llm import exact_dedup as exact
+from leafmill.llm import lm_scoring as lm
 from leafmill.llm import packing
 from leafmill.llm import quality_rules as quality
+from leafmill.llm import toxicity as tox
 from leafmill.llm import warc
 from leafmill.llm.common import shipped
 from leafmill.scratch import scratch
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return tox.toxicity(docs, labels).select(
+        F.col("id").alias("doc_id"), "held_out", "score", "predicted", "passages"
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return packing.pack(docs, tokenizer()).withColumnRenamed("id", "doc_id")
@@ -46,6 +56,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return lm.lm_scores(docs).drop("rid").withColumnRenamed("id", "doc_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return exact.exact_dedup(docs).select(
@@ -54,10 +69,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
     "op7_bpe": op7_bpe,
     "op8_warc": op8_warc,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_exact_dedup": op10_exact_dedup,
 }
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
