@@ -21,13 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.bpe import slices
+from leafmill.llm.bpe import ragged, slices
 from leafmill.llm.common import bucket_of, texts_of
 from leafmill.scratch import settle
 
 LETTERS = re.compile(r"[^\W\d_]+")
 TRAIN_ROWS = 20_000
 VOCABULARY = 50_000
+GRID = np.arange(-8, 8, 0.05)
 PASSAGES = "array<struct<start:int,end:int,score:double,expected:double>>"
 
 
@@ -42,6 +43,10 @@ class Model:
     weights: np.ndarray | None = None
     prior: float = 0.0
 
+    def score(self, word: str) -> float:
+        """Of the word, or else of its longest stem that is known."""
+        return next((self.words[x] for x in stems(word) if x in self.words), 0.0) - self.drift
+
 
 def maximal_segments(at: list[int], low: list[float], high: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (begin, end, score) by the linear scan of Ruzzo and Tompa.
@@ -69,28 +74,34 @@ def maximal_segments(at: list[int], low: list[float], high: list[float]) -> list
     return [(b, e, hi - lo) for b, e, lo, hi in segments]
 
 
-def word_scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per word, texts of either label that hold it, and its tokens in clean ones; "" counts all."""
+def stems(word: str) -> list[str]:
+    """The word and, longest first, its beginnings that inflected forms share."""
+    return [word, *(word[:k] + "*" for k in (6, 5, 4) if len(word) > k)]
+
+
+def word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per word and stem, the texts of either label that hold it; "" counts all texts."""
     for df in batches:
         texts, toxic = df["text"].tolist(), df["toxic"].to_numpy(bool)
         for some in slices(texts):
-            number = defaultdict(count().__next__)
-            number[""]
+            number, term = (defaultdict(count().__next__) for _ in range(2))
             parts = [[*LETTERS.findall(t.lower()), ""] for t in texts[some]]
             size = np.fromiter(map(len, parts), np.int64, len(parts))
             word = np.fromiter(map(number.__getitem__, chain.from_iterable(parts)), np.int64)
-            text = np.repeat(np.arange(len(parts)), size)
-            mark = np.repeat(toxic[some], size)
-            n = len(number)
-            once = np.unique(text * n + word)
-            label = toxic[some][once // n]
+            once = np.unique(np.repeat(np.arange(len(parts)), size) * len(number) + word)
+            of = [[term[x] for x in stems(w)] for w in number]
+            length = np.fromiter(map(len, of), np.int64, len(of))
+            flat = np.fromiter(chain.from_iterable(of), np.int64)
+            text, word = once // len(number), once % len(number)
+            at = ragged((np.cumsum(length) - length)[word], length[word])
+            held = np.unique(np.repeat(text, length[word]) * len(term) + flat[at])
+            label = toxic[some][held // len(term)]
+            n = len(term)
             yield pd.DataFrame(
                 {
-                    "word": list(number),
-                    "toxic": np.bincount(once[label] % n, minlength=n),
-                    "clean": np.bincount(once[~label] % n, minlength=n),
-                    "tokens": np.bincount(word[~mark], minlength=n),
-                    "all": np.append(int((size[~toxic[some]] - 1).sum()), np.zeros(n - 1, np.int64)),
+                    "word": list(term),
+                    "toxic": np.bincount(held[label] % n, minlength=n),
+                    "clean": np.bincount(held[~label] % n, minlength=n),
                 }
             )
 
@@ -104,14 +115,18 @@ def features(s: np.ndarray, n: int, model: Model) -> list[float]:
     return [max(best, -5.0) + 5.0, float(np.maximum(x, 0).sum()), float((x > 3).sum()), float(np.log1p(n))]
 
 
-def scan(texts: list[str], model: Model) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
-    """Per text: number of words, and its maximal segments in words."""
+def scan(
+    texts: list[str], model: Model, grid: np.ndarray | None = None
+) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
+    """Per text: number of words, and its maximal segments in words; ``grid`` counts their scores."""
     number = defaultdict(count().__next__)
     parts = [LETTERS.findall(t) for t in texts]
     size = np.fromiter(map(len, parts), np.int64, len(parts))
     word = np.fromiter(map(number.__getitem__, chain.from_iterable(parts)), np.int64)
-    known = np.array([model.words.get(w.lower(), 0.0) for w in number], float) - model.drift
+    known = np.array([model.score(w.lower()) for w in number], float)
     value = known[word] if len(word) else np.empty(0)
+    if grid is not None:
+        grid += np.bincount(np.digitize(value, GRID), minlength=len(GRID) + 1)
     through = np.cumsum(value)
     ends = np.cumsum(size)
     plus = np.flatnonzero(value > 0)
@@ -129,15 +144,20 @@ def scan(texts: list[str], model: Model) -> Iterator[tuple[int, list[tuple[int,
 
 
 def segment_features(model: Model):
-    """Training rows: words, best segment score and all segment scores of each text."""
+    """Of each training text its words and segment scores; on some rows, how clean words score."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
             texts = df["text"].tolist()
             for some in slices(texts):
+                toxic = df["toxic"].iloc[some].to_numpy(bool)
+                grid = np.zeros(len(GRID) + 1, np.int64)
+                for _ in scan([t for t, y in zip(texts[some], toxic, strict=True) if not y], model, grid):
+                    pass
                 out = [(n, [x[2] for x in found]) for n, found in scan(texts[some], model)]
                 made = pd.DataFrame(out, columns=["n", "segments"])
-                made["toxic"] = df["toxic"].iloc[some].to_numpy()
+                made["toxic"] = toxic
+                made["grid"] = [grid, *[None] * (len(made) - 1)]
                 yield made
 
     return run
@@ -202,29 +222,31 @@ def train(
         docs.join(F.broadcast(chosen), "id").select("text", (F.col("toxic") > 0).alias("toxic")), "labelled"
     )
     counts = settle(
-        texts.mapInPandas(word_scores, "word string, toxic long, clean long, tokens long, all long")
-        .groupBy("word").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "tokens", "all")]),
+        texts.mapInPandas(word_counts, "word string, toxic long, clean long")
+        .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
         "words",
     )
     whole = counts.where("word = ''").first()
     if whole is None:
         return Model({}, drift)
-    n1, n0, tokens = whole["toxic"], whole["clean"], max(whole["all"], 1)
+    n1, n0 = whole["toxic"], whole["clean"]
     if not n1 or not n0:
         return Model({}, drift, prior=1.0 if n1 else 0.0)
     a = prior * (F.col("toxic") + F.col("clean")) / (n1 + n0)
     t, c = F.col("toxic") + a, F.col("clean") + a
     odds = F.log(t / (n1 + 2 * prior - t)) - F.log(c / (n0 + 2 * prior - c))
-    scored = counts.where("word != '' and toxic + clean >= 3").select("word", "tokens", odds.alias("d"), (odds / F.sqrt(1 / t + 1 / c)).alias("z"))
+    scored = counts.where("word != '' and toxic + clean >= 3").select(
+        "word", odds.alias("d"), (odds / F.sqrt(1 / t + 1 / c)).alias("z")
+    )
     top = scored.where(F.abs("z") >= z).orderBy(F.desc(F.abs("z")), "word").limit(vocabulary).collect()
     model = Model({r["word"]: float(r["d"]) for r in top}, drift)
 
-    score = np.array([r["d"] for r in top] + [0.0]) - drift
-    p = np.array([r["tokens"] for r in top], float) / tokens
-    model.lam = karlin_lambda(score, np.append(p, max(0.0, 1 - p.sum())))
     found = texts.mapInPandas(
-        segment_features(model), "n long, segments array<double>, toxic boolean"
+        segment_features(model), "n long, segments array<double>, toxic boolean, grid array<long>"
     ).toPandas()
+    grid = np.sum([g for g in found["grid"] if g is not None], axis=0)
+    value = np.append(GRID[0], GRID) + 0.025
+    model.lam = karlin_lambda(value, grid / max(grid.sum(), 1))
     segments = [np.asarray(s, float) for s in found["segments"]]
     n, y = found["n"].to_numpy(float), found["toxic"].to_numpy(float)
     best = np.array([s.max(initial=0.0) for s in segments])
