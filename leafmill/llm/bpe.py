@@ -20,7 +20,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, count, islice
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -265,16 +265,16 @@ class Codec:
         """Ids of all texts in a row, and where each text ends."""
         if len(self.number) > CACHE_PIECES:  # what has come up again and again stays
             self.keep(np.flatnonzero(self.hits >= CACHE_HITS))
-        parts = [t.encode().split() for t in texts]
-        known = len(self.number)
-        k = np.fromiter(map(self.number.__getitem__, chain.from_iterable(parts)), np.int64)
+        known, get = len(self.number), self.number.__getitem__
+        by_text = [np.fromiter(map(get, t.encode().split()), np.int32) for t in texts]
+        k = np.concatenate([*by_text, np.empty(0, np.int32)])
         new = list(islice(self.number, known, None))
         if new:
             self.learn(new)
         self.hits += np.bincount(k, minlength=len(self.hits))
         length = self.length[k]
         ids = self.flat[ragged(self.begin[k], length)]
-        pieces = np.fromiter(map(len, parts), np.int64, len(parts))
+        pieces = np.fromiter(map(len, by_text), np.int64, len(by_text))
         return ids, np.append(0, np.cumsum(length))[np.cumsum(pieces)]
 
 

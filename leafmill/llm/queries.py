@@ -13,6 +13,7 @@ from leafmill.llm import exact_dedup as exact
 from leafmill.llm import lm_scoring as lm
 from leafmill.llm import packing
 from leafmill.llm import quality_rules as quality
+from leafmill.llm import secrets as secret
 from leafmill.llm import toxicity as tox
 from leafmill.llm import warc
 from leafmill.llm.common import shipped
@@ -43,6 +44,20 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = secret.secrets(docs)
+    base = F.filter("spans", lambda x: x["kind"] != "crf")
+    told = lambda spans: F.array_join(
+        F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ","
+    )
+    return found.select(
+        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex",
+        F.sha2(told(base).cast("binary"), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return bpe.encode(docs, tokenizer(), full=False).withColumnRenamed("id", "doc_id")
@@ -72,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_secrets": op4_secrets,
     "op7_bpe": op7_bpe,
     "op8_warc": op8_warc,
     "op9_lm_scoring": op9_lm_scoring,
