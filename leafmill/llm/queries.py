@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from leafmill.llm import bpe
 from leafmill.llm import exact_dedup as exact
 from leafmill.llm import lm_scoring as lm
+from leafmill.llm import near_dedup as near
 from leafmill.llm import packing
 from leafmill.llm import quality_rules as quality
-from leafmill.llm import secrets as secret
+from leafmill.llm import secret_scan as secret
 from leafmill.llm import toxicity as tox
 from leafmill.llm import warc
 from leafmill.llm.common import shipped
@@ -58,6 +59,11 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return near.near_dedup(docs).drop("rid").withColumnRenamed("id", "doc_id")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return bpe.encode(docs, tokenizer(), full=False).withColumnRenamed("id", "doc_id")
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_secrets": op4_secrets,
+    "op5_near_dedup": op5_near_dedup,
     "op7_bpe": op7_bpe,
     "op8_warc": op8_warc,
     "op9_lm_scoring": op9_lm_scoring,
