@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from leafmill.llm.common import attach
 from leafmill.scratch import settle
 
-Verify = Callable[[DataFrame], DataFrame]
-"""From candidate pairs (a, b) to those that are linked."""
+Verify = Callable[[DataFrame, DataFrame], DataFrame]
+"""From candidate pairs (a, b), and the contents of their ids, to those pairs that are linked."""
 
 ROUNDS = 3
 
@@ -60,21 +60,28 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def shared(members: DataFrame) -> DataFrame:
-    """Those (bucket, id) whose bucket has another id."""
-    sizes = settle(
-        members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes"
-    )
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    return settle(attach(members, sizes, ["bucket"], "n", total), "shared")
+    """Those (bucket, id), once each, whose bucket has another id.
+
+    A bucket's repeated ids are counted where they are.  The join is one that Spark can split.
+    """
+    ends = members.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    open_ = settle(ends.where("low < high").select("bucket"), "open")
+    return settle(members.join(open_, "bucket").distinct(), "shared")
 
 
-def classes(members: DataFrame, verify: Verify, rounds: int = ROUNDS) -> DataFrame:
-    """(id, label) of all ids that are linked to another; ``members``: written, distinct (bucket, id).
+def classes(
+    members: DataFrame, verify: Verify, contents: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS
+) -> DataFrame:
+    """(id, label) of all ids that are linked to another, from ``members`` (bucket, id).
 
-    ``label`` is the smallest id of the class.
+    ``contents`` gives what ``verify`` compares, for ids (id) that share a bucket.  ``label`` is the
+    smallest id of the class.
     """
     rows = shared(members)
     total = rows.count()
+    if not total:
+        return rows.select("id", F.col("id").alias("label"))
+    held = contents(settle(rows.select("id").distinct(), "candidates"))
     labels: DataFrame | None = None
     links: DataFrame | None = None
     tested: DataFrame | None = None
@@ -113,7 +120,7 @@ def classes(members: DataFrame, verify: Verify, rounds: int = ROUNDS) -> DataFra
                 break
             continue
         tested = pairs if tested is None else tested.union(pairs)
-        found = settle(verify(pairs), "found")
+        found = settle(verify(pairs, held), "found")
         links = found if links is None else links.union(found)
         if not found.isEmpty():
             labels = components(links)

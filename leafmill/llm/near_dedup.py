@@ -147,14 +147,14 @@ def similarity(sa: bytes, ca: bytes, sb: bytes, cb: bytes) -> tuple[float, float
     return float(weighted), float(plain)
 
 
-def verifier(features: DataFrame, least: float):
+def verifier(least: float):
     """Keep pairs whose probability or plain Jaccard reaches ``least``."""
 
     @F.pandas_udf("boolean")
     def alike(sa: pd.Series, ca: pd.Series, sb: pd.Series, cb: pd.Series) -> pd.Series:
         return pd.Series([max(similarity(*x)) >= least - 1e-12 for x in zip(sa, ca, sb, cb, strict=True)], dtype=bool)
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def verify(pairs: DataFrame, features: DataFrame) -> DataFrame:
         one = features.select(F.col("rid").alias("a"), F.col("shingles").alias("sa"), F.col("counts").alias("ca"))
         two = features.select(F.col("rid").alias("b"), F.col("shingles").alias("sb"), F.col("counts").alias("cb"))
         half = settle(pairs.join(one, "a"), "half")
@@ -200,7 +200,12 @@ def near_dedup(
     )
     alone = features.select("rid", "bands").join(groups.select(F.col("rep").alias("rid")), "rid", "left_semi")
     members = settle(alone.select(F.explode("bands").alias("bucket"), F.col("rid").alias("id")), "members")
-    labels = classes(members, verifier(features.select("rid", "shingles", "counts"), least))
+
+    def contents(ids: DataFrame) -> DataFrame:
+        some = features.join(ids.select(F.col("id").alias("rid")), "rid", "left_semi")
+        return settle(some.select("rid", "shingles", "counts"), "contents")
+
+    labels = classes(members, verifier(least), contents)
 
     named = settle(
         groups.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").withColumn(

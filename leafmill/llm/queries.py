@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import bpe
 from leafmill.llm import exact_dedup as exact
+from leafmill.llm import line_dedup as line
 from leafmill.llm import lm_scoring as lm
 from leafmill.llm import near_dedup as near
 from leafmill.llm import packing
@@ -64,6 +65,11 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_dedup(docs).drop("rid").withColumnRenamed("id", "doc_id")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return line.line_dedup(docs).drop("rid").withColumnRenamed("id", "doc_id")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return bpe.encode(docs, tokenizer(), full=False).withColumnRenamed("id", "doc_id")
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_secrets": op4_secrets,
     "op5_near_dedup": op5_near_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op7_bpe": op7_bpe,
     "op8_warc": op8_warc,
     "op9_lm_scoring": op9_lm_scoring,
