@@ -25,6 +25,7 @@ from itertools import count, islice
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from leafmill.llm.common import texts_of
@@ -306,17 +307,15 @@ def encode(
     no decoder, prescribes.  Rows are independent: repeated rows, null ids and an empty table need
     no care, and other columns are ignored.
     """
-    rows = texts_of(docs, id_col, text_col)
-    id_type = rows.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    schema += ", ids array<int>, decoded string" if full else ""
+    names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if full else [])]
+    kinds = ["long", "string", "string", "array<int>", "string"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=False)))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = codec(tokenizer)
-        for df in batches:
-            texts = df["text"].tolist()
+        for batch in batches:
+            texts, out = batch.tolist(), []
             for part in slices(texts):
-                out = []
                 flat, ends = own.encode(texts[part])
                 for ids in np.split(flat, ends[:-1]):
                     ids = ids.tolist()
@@ -327,12 +326,10 @@ def encode(
                         hashlib.sha256(text).hexdigest(),
                     )
                     out.append(row + ((ids, text.decode()) if full else ()))
-                names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if full else [])]
-                made = pd.DataFrame(out, columns=names)
-                made.insert(0, "id", df["id"].iloc[part].to_numpy())
-                yield made
+            yield pd.DataFrame(out, columns=names)
 
-    return rows.mapInPandas(run, schema)
+    rows = texts_of(docs, id_col, text_col)
+    return rows.select("id", run("text").alias("r")).select("id", "r.*")
 
 
 def decode(ids: Iterable[int], tokenizer: str) -> str:

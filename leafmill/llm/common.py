@@ -20,20 +20,29 @@ HOT_SHARE = 512
 """A group with over 1/512 of all rows is hot; there are fewer than 512 such groups at any size."""
 
 
-def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text) of a table that may have any other columns; a null text is empty."""
+def texts_of(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rid_col: str | None = None
+) -> DataFrame:
+    """(rid, id, text) of a table that may have any other columns; a null text is empty.
+
+    ``rid_col`` names a column that numbers the rows; without one they are numbered here.
+    """
     return docs.select(
+        (F.col(f"`{rid_col}`") if rid_col else F.monotonically_increasing_id()).alias("rid"),
         F.col(f"`{id_col}`").alias("id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
     )
 
 
-def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """A written copy with a row id ``rid``, so that null or repeated ids of the table don't matter.
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A written copy with a row number in a new column, and that column's name.
 
-    The ids are stored with the rows: a lost executor can't renumber them.
+    So null or repeated ids don't matter, and a lost executor can't renumber the rows.
     """
-    return settle(docs.withColumn("rid", F.monotonically_increasing_id()), name)
+    rid_col = "rid"
+    while rid_col in docs.columns:
+        rid_col += "_"
+    return settle(docs.withColumn(rid_col, F.monotonically_increasing_id()), name), rid_col
 
 
 def bucket_of(id_col: Column, n: int) -> Column:

@@ -25,12 +25,14 @@ BLOCK_BITS = 15  # a block has 2^15 slots: 4 KB for "seen" and 4 KB for "seen tw
 BLOCK = 1 << BLOCK_BITS
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rid_col: str | None = None
+) -> DataFrame:
     """(rid, id, sha, n_chars, h): the digest of each text without ASCII white space."""
-    rows = texts_of(docs, id_col, text_col)
+    rows = texts_of(docs, id_col, text_col, rid_col)
     bare = F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")
     return rows.select(
-        F.monotonically_increasing_id().alias("rid"),
+        "rid",
         "id",
         F.unhex(F.sha2(bare.cast("binary"), 256)).alias("sha"),
         F.char_length("text").cast("long").alias("n_chars"),
@@ -116,6 +118,7 @@ def exact_dedup(
     text_col: str = "text",
     bits_per_row: int = 16,
     max_filter_bytes: int = 32 << 20,
+    rid_col: str | None = None,
 ) -> DataFrame:
     """One row per input row: (rid, id, keep_id, group_size, kept, text_sha256).
 
@@ -125,7 +128,7 @@ def exact_dedup(
     """
     spark = docs.sparkSession
     path = scratch(spark, "fingerprints")
-    fingerprints(docs, id_col, text_col).write.parquet(path)
+    fingerprints(docs, id_col, text_col, rid_col).write.parquet(path)
     n_rows = spark.read.parquet(path).count()
     segments = max(1, -(-n_rows * bits_per_row // 8 // max_filter_bytes))
     prints = spark.read.parquet(path)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import WORD, attach, texts_of
+from leafmill.llm.common import WORD, attach, numbered, texts_of
 from leafmill.llm.linkage import classes
 from leafmill.scratch import settle
 
@@ -20,13 +20,12 @@ TAU = 2
 LEAST_CHARS = 24
 
 
-def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lines_of(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rid_col: str | None = None
+) -> DataFrame:
     """(rid, id, line_no, line, k): lines that have a word, numbered from 0, and their hash."""
-    rows = texts_of(docs, id_col, text_col)
-    rid = F.monotonically_increasing_id() if "rid" not in docs.columns else F.col("rid")
-    if "rid" in docs.columns:
-        rows = docs.select("rid", F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    each = rows.select(rid.alias("rid"), "id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    rows = texts_of(docs, id_col, text_col, rid_col)
+    each = rows.select("rid", "id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     return each.where(F.col("line").rlike(WORD)).withColumn("k", F.xxhash64("line"))
 
 
@@ -58,6 +57,7 @@ def line_dedup(
     text_col: str = "text",
     tau: int = TAU,
     least_chars: int = LEAST_CHARS,
+    rid_col: str | None = None,
 ) -> DataFrame:
     """One row per line with a word: (rid, id, line_no, keep_id, keep_line, group_size, kept).
 
@@ -67,7 +67,7 @@ def line_dedup(
     such lines; repeated rows repeat their lines; an empty table gives no rows; other columns are
     ignored.  Lines are told apart by 64-bit hashes.
     """
-    lines = lines_of(docs, id_col, text_col)
+    lines = lines_of(docs, id_col, text_col, rid_col)
     seen = settle(lines.select("rid", "id", "line_no", "k"), "lines")
     total = seen.count()
     counts = settle(
@@ -115,12 +115,13 @@ def line_dedup(
 
 
 def without_repeats(docs: DataFrame, *, text_col: str = "text", **how: object) -> DataFrame:
-    """``docs``, which has a ``rid``, with lines that aren't kept taken out of its texts."""
-    told = line_dedup(docs, text_col=text_col, **how)
-    drop = told.where(~F.col("kept")).groupBy("rid").agg(F.collect_set("line_no").alias("_drop"))
-    rest = F.filter(F.split(F.col(f"`{text_col}`"), "\n", -1), lambda x, i: ~F.array_contains("_drop", i))
-    return (
-        docs.join(drop, "rid", "left")
-        .withColumn(text_col, F.when(F.col("_drop").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(rest, "\n")))
-        .drop("_drop")
+    """``docs`` with the lines that aren't kept taken out of its texts."""
+    held, row = numbered(docs, "documents")
+    told = line_dedup(held, text_col=text_col, rid_col=row, **how)
+    drop = told.where(~F.col("kept")).groupBy(F.col("rid").alias(row)).agg(F.collect_set("line_no").alias("_drop"))
+    text = F.col(f"`{text_col}`")
+    rest = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("_drop", i))
+    cut = held.join(drop, row, "left").withColumn(
+        text_col, F.when(F.col("_drop").isNull(), text).otherwise(F.array_join(rest, "\n"))
     )
+    return cut.drop("_drop", row)

@@ -172,6 +172,7 @@ def near_dedup(
     least: float = SIMILARITY,
     bands: int = BANDS,
     rows: int = ROWS,
+    rid_col: str | None = None,
 ) -> DataFrame:
     """One row per text: (rid, id, class_id, group_size, kept).
 
@@ -180,13 +181,9 @@ def near_dedup(
     (null last, then the first of identical rows) and its id is the class.  A text of fewer than
     ``words`` words has one shingle; texts without words, null ones among them, are one class.  An
     empty table gives no rows; other columns are ignored.  Words are runs without ASCII white space.
-    Where ``docs`` has a column ``rid`` that numbers its rows, it is passed on.
+    ``rid_col`` names a column that numbers the rows, if there is one.
     """
-    base = texts_of(docs, id_col, text_col)
-    if "rid" in docs.columns:
-        base = docs.select("rid", F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    else:
-        base = base.withColumn("rid", F.monotonically_increasing_id())
+    base = texts_of(docs, id_col, text_col, rid_col)
     made = base.select("rid", "id", featurizer(words, bands, rows)("text").alias("f")).select("rid", "id", "f.*")
     features = settle(made, "features")
     total = features.count()

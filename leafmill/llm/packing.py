@@ -135,34 +135,33 @@ def pieces_of(
 
     ``local`` numbers the pieces of a length within the task ``part``.
     """
-    rows = texts_of(docs, id_col, text_col)
-    id_type = rows.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, piece int, start long, length long, ids_crc32 long, part int, local long"
-    schema += ", ids array<int>" if with_ids else ""
-    names = [c.split()[0] for c in schema.split(", ")]
+    piece = "piece:int,start:long,length:long,ids_crc32:long,part:int,local:long"
+    piece += ",ids:array<int>" if with_ids else ""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(f"array<struct<{piece}>>")
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own, part = codec(tokenizer), TaskContext.get().partitionId()
         used = [0] * (size + 1)
-        for df in batches:
-            texts = df["text"].tolist()
+        for batch in batches:
+            texts, out = batch.tolist(), []
             for some in slices(texts):
                 flat, ends = own.encode(texts[some])
-                out = []
                 begin = 0
-                for doc, end in zip(df["id"].iloc[some], ends.tolist(), strict=True):
+                for end in ends.tolist():
                     ids = np.append(flat[begin:end], end_id).astype("<u4")
                     begin = end
+                    pieces = []
                     for k, start in enumerate(range(0, len(ids), size)):
-                        cut = ids[start : start + size]
-                        n = len(cut)
-                        row = (doc, k, start, n, zlib.crc32(cut.tobytes()), part, used[n])
-                        out.append(row + ((cut.astype(np.int32),) if with_ids else ()))
+                        held = ids[start : start + size]
+                        n = len(held)
+                        row = (k, start, n, zlib.crc32(held.tobytes()), part, used[n])
+                        pieces.append(row + ((held.astype(np.int32).tolist(),) if with_ids else ()))
                         used[n] += 1
-                made = pd.DataFrame(out, columns=names)
-                yield made.astype({"id": df["id"].dtype})
+                    out.append(pieces)
+            yield pd.Series(out)
 
-    return rows.mapInPandas(run, schema)
+    rows = texts_of(docs, id_col, text_col)
+    return rows.select("id", F.explode(cut("text")).alias("p")).select("id", "p.*")
 
 
 def pack(
