@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import WORD
+from leafmill.llm.common import WORD, texts_of
 from leafmill.scratch import settle
 
 BUCKETS = 1 << 16
 TRUSTED_ROWS = 20_000
-THRESHOLD = -0.1
-SMOOTHING = 0.5
+THRESHOLD = -0.07
+SMOOTHING = 30.0
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
@@ -130,10 +130,11 @@ def bucket_ratios(
     if not n_target:
         return every.select("bucket", F.lit(0.0).alias("ratio"))
     held = every.join(counts, "bucket", "left").na.fill(0, ["raw", "target"])
-    share = (F.col("target") + smoothing) / (n_target + smoothing * buckets)
+    # The same share of pseudo-counts goes to both multinomials, so that what either has hardly
+    # seen says nothing: log of (target + s) / N_target over (raw + s N_raw / N_target) / N_raw.
+    expected = F.col("raw") * (n_target / n_raw)
     return held.select(
-        "bucket",
-        (F.log(share) - F.log((F.col("raw") + smoothing) / (n_raw + smoothing * buckets))).alias("ratio"),
+        "bucket", F.log((F.col("target") + smoothing) / (expected + smoothing)).alias("ratio")
     )
 
 
@@ -146,21 +147,17 @@ def quality_rules(
     threshold: float = THRESHOLD,
     buckets: int = BUCKETS,
     trusted_rows: int = TRUSTED_ROWS,
+    rid_col: str | None = None,
 ) -> DataFrame:
     """One row per text: (rid, id, the counts, base_failed, llr, kept).
 
     A null or empty text has no words and fails the base rules.  Without trusted texts every score
     is 0 and the base rules decide.  An empty table gives no rows.  Repeated rows are judged alike,
     and other columns are ignored.  Windows are compared by a 64-bit hash of their words' hashes.  The broadcast tables
-    have ``buckets`` and at most ``trusted_rows`` rows, whatever the input.  Where ``docs`` has a
-    column ``rid`` that numbers its rows, it is passed on.
+    have ``buckets`` and at most ``trusted_rows`` rows, whatever the input.  ``rid_col`` names a
+    column that numbers the rows, if there is one.
     """
-    rid = F.col("rid") if "rid" in docs.columns else F.monotonically_increasing_id().alias("rid")
-    rows = docs.select(
-        rid,
-        F.col(f"`{id_col}`").alias("id"),
-        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
-    )
+    rows = texts_of(docs, id_col, text_col, rid_col)
     ratios = bucket_ratios(rows, trusted_ids(labels, rows=trusted_rows), buckets)
     # All of a text's n-grams follow each other in one task, so its sum is nearly done there.
     grams = base_rules(rows).select(
