@@ -166,7 +166,7 @@ def segment_features(model: Model):
 def karlin_lambda(score: np.ndarray, p: np.ndarray) -> float:
     """The positive root of sum p exp(lambda s) = 1; the mean score is negative."""
     low, high = 0.0, 1.0
-    if not (score > 0).any() or (score * p).sum() >= 0:
+    if not ((score > 0) & (p > 0)).any() or (score * p).sum() >= 0:
         return 1.0
     f = lambda x: float((p * np.exp(np.minimum(x * score, 600.0))).sum()) - 1
     while f(high) < 0:
@@ -205,7 +205,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def train(
     docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, vocabulary: int = VOCABULARY,
-    z: float = 4.0, prior: float = 200.0, drift: float = 0.1, folds: int = 4, held_fold: int = 2,
+    z: float = 3.0, prior: float = 50.0, drift: float = 0.1, folds: int = 4, held_fold: int = 2,
 ) -> Model:
     """Fit on at most ``rows`` labelled texts, chosen by hash, outside the held-out fold.
 
@@ -244,9 +244,11 @@ def train(
     found = texts.mapInPandas(
         segment_features(model), "n long, segments array<double>, toxic boolean, grid array<long>"
     ).toPandas()
-    grid = np.sum([g for g in found["grid"] if g is not None], axis=0)
+    grid = np.sum([g for g in found["grid"] if g is not None], axis=0).astype(float)
+    highest = max(model.words.values(), default=0.0) - drift
+    grid[np.digitize(max(highest, 0.1), GRID)] += 0.5  # clean texts may hold no such word
     value = np.append(GRID[0], GRID) + 0.025
-    model.lam = karlin_lambda(value, grid / max(grid.sum(), 1))
+    model.lam = karlin_lambda(value, grid / grid.sum())
     segments = [np.asarray(s, float) for s in found["segments"]]
     n, y = found["n"].to_numpy(float), found["toxic"].to_numpy(float)
     best = np.array([s.max(initial=0.0) for s in segments])
@@ -279,14 +281,13 @@ def toxicity(
     rows = texts_of(docs, id_col, text_col)
     model = train(rows, labels, folds=folds, held_fold=held_fold, **fit)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    id_type = rows.schema["id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(f"score double, predicted int, n_words int, passages {PASSAGES}")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = held.value
-        for df in batches:
-            texts = df["text"].tolist()
+        for batch in batches:
+            texts, out = batch.tolist(), []
             for some in slices(texts):
-                out = []
                 for text, (n, found) in zip(texts[some], scan(texts[some], m), strict=True):
                     if m.weights is None:
                         score = m.prior
@@ -299,10 +300,7 @@ def toxicity(
                         spans = [w.span() for w in LETTERS.finditer(text)]
                         chance = [(spans[b][0], spans[e - 1][1], s, float(v)) for b, e, s, v in chance]
                     out.append((float(score), int(score >= threshold), n, chance))
-                made = pd.DataFrame(out, columns=["score", "predicted", "n_words", "passages"])
-                made.insert(0, "id", df["id"].iloc[some].to_numpy())
-                made.insert(1, "held_out", df["held_out"].iloc[some].to_numpy())
-                yield made.astype({"id": df["id"].dtype})
+            yield pd.DataFrame(out, columns=["score", "predicted", "n_words", "passages"])
 
-    schema = f"id {id_type}, held_out boolean, score double, predicted int, n_words int, passages {PASSAGES}"
-    return rows.withColumn("held_out", bucket_of(F.col("id"), folds) == held_fold).mapInPandas(run, schema)
+    fold = bucket_of(F.col("id"), folds) == held_fold
+    return rows.select("id", fold.alias("held_out"), run("text").alias("r")).select("id", "held_out", "r.*")
