@@ -61,9 +61,9 @@ def count_slots(n_slots: int):
             once = np.union1d(once, slot)
         again = np.isin(once, twice, assume_unique=True)
         blocks = once >> BLOCK_BITS
-        edges = np.flatnonzero(np.diff(blocks, prepend=-1))
+        edges = np.append(np.flatnonzero(np.diff(blocks, prepend=-1)), len(once))
         out = []
-        for a, b in zip(edges, np.append(edges[1:], len(once)), strict=True):
+        for a, b in zip(edges, edges[1:], strict=False):
             part, rep = once[a:b] & (BLOCK - 1), again[a:b]
             out.append((int(blocks[a]), part.astype("<u2").tobytes(), np.packbits(rep).tobytes()))
             if len(out) == 2000:
