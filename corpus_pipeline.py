@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import numbered, shipped
+from leafmill.llm.common import numbered, only, shipped
 from leafmill.llm.exact_dedup import exact_dedup
 from leafmill.llm.near_dedup import near_dedup
 from leafmill.llm.packing import pack
@@ -24,8 +24,8 @@ from leafmill.scratch import settle
 def kept(docs: DataFrame, judge: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps; rows are matched by number, not by id."""
     held, row = numbered(docs, "documents")
-    stay = judge(held, row).where("kept").select(F.col("rid").alias(row))
-    return held.join(stay, row, "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    stay = settle(judge(held, row).where("kept").select(F.col("rid").alias(row)), "kept")
+    return only(held, stay, row).select(*[f"`{c}`" for c in docs.columns])
 
 
 @shipped

@@ -8,6 +8,7 @@ import tempfile
 from collections.abc import Callable, Sequence
 from functools import wraps
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,14 +36,26 @@ def texts_of(
 
 
 def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """A written copy with a row number in a new column, and that column's name.
+    """``docs`` with a row number in a new column, and that column's name.
 
-    So null or repeated ids don't matter, and a lost executor can't renumber the rows.
+    So null or repeated ids don't matter.  Rows of a Parquet table are numbered by file and place in
+    it, which no rerun changes and which costs no copy; those of any other plan are written once with
+    a number.  The driver sees the names of the files.
     """
     rid_col = "rid"
     while rid_col in docs.columns:
         rid_col += "_"
-    return settle(docs.withColumn(rid_col, F.monotonically_increasing_id()), name), rid_col
+    file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    try:
+        located = docs.select("*", file.alias(f"{rid_col}_file"), place.alias(f"{rid_col}_row"))
+    except AnalysisException:
+        return settle(docs.withColumn(rid_col, F.monotonically_increasing_id()), name), rid_col
+    spark = docs.sparkSession
+    paths = sorted(r[0] for r in docs.select(file).distinct().collect())
+    files = spark.createDataFrame(list(enumerate(paths)), f"{rid_col}_no long, {rid_col}_file string")
+    rid = F.shiftleft(F.col(f"{rid_col}_no"), 40) + F.col(f"{rid_col}_row")
+    rows = located.join(F.broadcast(files), f"{rid_col}_file")
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], rid.alias(rid_col)), rid_col
 
 
 def bucket_of(id_col: Column, n: int) -> Column:
@@ -66,6 +79,20 @@ def attach(
     return still.unionByName(rest)
 
 
+BROADCAST_KEYS = 1 << 20
+"""So many keys of a few bytes each may be broadcast."""
+
+
+def only(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows whose ``on`` is among ``keys``, a written table of distinct values.
+
+    Up to BROADCAST_KEYS keys are broadcast, after counting them, so that wide rows stay where they
+    are; more are joined by a shuffle.
+    """
+    few = keys.count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(keys) if few else keys, on, "left_semi")
+
+
 _shipped: set[str] = set()
 
 
