@@ -13,8 +13,8 @@ INVISIBLE = (
     r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!doctype[^>]*>"
 )
 # Marks that stand for structural tags; they are removed from the input first.
-MARKS = "\x01\x02\x03\x04"
-PIECE, TAG_END, ROW, CELL = MARKS
+MARKS = "\x01\x02\x03\x04\x05\x06"
+PIECE, TAG_END, ROW, CELL, CAPTION, CAPTION_END = MARKS
 TABLE, TABLE_END = PIECE, TAG_END
 REST = 2147483646
 
@@ -24,14 +24,38 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(F.translate(html, MARKS, ""), INVISIBLE, "")
 
 
+def _character(code: Column) -> Column:
+    """A code point as text; what is no character stays out."""
+    real = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    # UTF-32 writes a code point as its number
+    wide = F.unhex(F.lpad(F.hex(code), 8, "0"))
+    return F.when(real, F.decode(wide, "UTF-32")).otherwise("")
+
+
+def _numeric(c: Column) -> Column:
+    """Decimal and hexadecimal character references decoded, piece by piece after each ``&#``."""
+    def decoded(piece: Column, i: Column) -> Column:
+        code = F.regexp_extract(piece, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+        value = F.when(
+            F.lower(F.left(code, F.lit(1))) == "x", F.conv(F.substring(code, 2, 6), 16, 10)
+        ).otherwise(code)
+        rest = F.substring(piece, F.length(code) + 2, F.length(piece))
+        return (
+            F.when(i == 0, piece)
+            .when(code == "", F.concat(F.lit("&#"), piece))
+            .otherwise(F.concat(_character(value.cast("int")), rest))
+        )
+
+    return F.array_join(F.transform(F.split(c, "&#"), decoded), "")
+
+
 def unescape(c: Column) -> Column:
     # The entities that are decoded; the ampersand goes last.
-    out = c
+    out = F.when(F.contains(c, F.lit("&#")), _numeric(c)).otherwise(c)
     for entity, char in (
         ("&lt;", "<"),
         ("&gt;", ">"),
         ("&quot;", '"'),
-        ("&#39;", "'"),
         ("&apos;", "'"),
         ("&nbsp;", " "),
         ("&amp;", "&"),
@@ -72,57 +96,121 @@ def pieces(html: Column) -> Column:
     return F.filter(parsed, lambda x: x["text"] != "")
 
 
-def grids(html: Column) -> Column:
-    """Array of grids, one per table; nested tables are read as following tables."""
+def tables(html: Column) -> Column:
+    """Array of (caption, grid), one per table in order of its opening tag.
+
+    The page is cut at table tags only; a fold over those few cuts tells which table each stretch
+    belongs to, so rows and cells of an outer table go on after a nested one.
+    """
     marked = visible(html)
     for pattern, mark in (
         (r"<table\b[^>]*>", TABLE),
         (r"</table\s*>", TABLE_END),
         (r"<tr\b[^>]*>", ROW),
         (r"<t[dh]\b[^>]*>", CELL),
+        (r"<caption\b[^>]*>", CAPTION),
+        (r"</caption\s*>", CAPTION_END),
     ):
         marked = F.regexp_replace(marked, f"(?i){pattern}", mark)
-    bodies = F.slice(F.split(_untagged(marked), TABLE), F.lit(2), F.lit(REST))
+    stretches = F.split(_untagged(marked), f"(?=[{TABLE}{TABLE_END}])")
+    none = F.array().cast("array<int>")
+
+    def step(acc: Column, x: Column) -> Column:
+        opens = F.startswith(x, F.lit(TABLE))
+        stack = (
+            F.when(opens, F.concat(acc["stack"], F.array(acc["next"])))
+            .when(
+                F.startswith(x, F.lit(TABLE_END)),
+                F.slice(acc["stack"], F.lit(1), F.greatest(F.size(acc["stack"]) - 1, F.lit(0))),
+            )
+            .otherwise(acc["stack"])
+        )
+        owner = F.coalesce(F.try_element_at(stack, F.lit(-1)), F.lit(-1))
+        held = F.struct(owner.alias("table"), F.translate(x, TABLE + TABLE_END, "").alias("text"))
+        return F.struct(
+            stack.alias("stack"),
+            (acc["next"] + F.when(opens, 1).otherwise(0)).alias("next"),
+            F.concat(acc["held"], F.array(held)).alias("held"),
+        )
+
+    begin = F.struct(
+        none.alias("stack"),
+        F.lit(0).alias("next"),
+        F.array().cast("array<struct<table:int,text:string>>").alias("held"),
+    )
+
+    def collect(done: Column) -> Column:
+        def one(t: Column) -> Column:
+            own = F.filter(done["held"], lambda x: x["table"] == t)
+            body = F.array_join(F.transform(own, lambda x: x["text"]), "")
+            said = F.regexp_extract(body, f"{CAPTION}([^{CAPTION_END}{ROW}]*)", 1)
+            rest = F.regexp_replace(body, f"{CAPTION}[^{CAPTION_END}{ROW}]*{CAPTION_END}?", "")
+            rows = F.transform(F.split(F.translate(rest, CAPTION + CAPTION_END, ""), ROW), cells)
+            grid = F.filter(rows, lambda r: F.size(r) > 0)
+            return F.struct(_text(said).alias("caption"), grid.alias("grid"))
 
-    def grid(body: Column) -> Column:
-        rows = F.transform(F.split(F.substring_index(body, TABLE_END, 1), ROW), cells)
-        return F.filter(rows, lambda r: F.size(r) > 0)
+        numbers = F.filter(F.sequence(F.lit(0), done["next"]), lambda t: t < done["next"])
+        return F.transform(numbers, one)
 
     def cells(row: Column) -> Column:
         return F.transform(F.slice(F.split(row, CELL), F.lit(2), F.lit(REST)), _text)
 
-    return F.transform(bodies, grid)
+    return F.aggregate(stretches, begin, step, collect)
+
+
+def grids(html: Column) -> Column:
+    """Array of grids, one per table."""
+    return F.transform(tables(html), lambda x: x["grid"])
+
+
+# A name and its value, quoted either way or bare; values are skipped over whole.
+ATTRIBUTE = r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Double-quoted attribute of one tag; null when absent."""
-    value = F.regexp_extract(tag, rf'(?i)\b{name}\s*=\s*"([^"]*)"', 1)
-    return F.nullif(unescape(value), F.lit(""))
+    """Attribute of one tag by its whole name; null when absent or empty.  The first one counts."""
+    names = F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
+    values = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2))
+    at = F.array_position(names, name).cast("int")
+    value = F.when(at > 0, F.get(values, at - 1))
+    bare = F.regexp_replace(value, r"""^["']|["']$""", "")
+    return F.nullif(unescape(bare), F.lit(""))
 
 
 def images(html: Column) -> Column:
-    """Array of (image_path, caption, width, height), one per image tag."""
-    found = F.regexp_extract_all(visible(html), F.lit(r"(?i)<img\b[^>]*>"), F.lit(0))
-    return F.transform(
-        found,
-        lambda t: F.struct(
-            attribute(t, "src").alias("image_path"),
-            F.coalesce(attribute(t, "alt"), F.lit("")).alias("caption"),
-            attribute(t, "width").try_cast("int").alias("width"),
-            attribute(t, "height").try_cast("int").alias("height"),
-        ),
-    )
+    """Array of (image_path, caption, width, height), one per image tag.
+
+    The caption is that of the figure the image stands in, else its alternative text.
+    """
+    found = F.slice(F.split(visible(html), r"(?i)<img\b"), F.lit(2), F.lit(REST))
+
+    def one(piece: Column) -> Column:
+        tag = F.substring_index(piece, ">", 1)
+        figure = F.regexp_extract(piece, r"(?is)^(.*?)</figure\s*>", 1)
+        said = plain(F.regexp_extract(figure, r"(?is)<figcaption\b[^>]*>(.*?)(?:</figcaption|$)", 1))
+        return F.struct(
+            attribute(tag, "src").alias("image_path"),
+            F.coalesce(F.nullif(said, F.lit("")), attribute(tag, "alt"), F.lit("")).alias("caption"),
+            attribute(tag, "width").try_cast("int").alias("width"),
+            attribute(tag, "height").try_cast("int").alias("height"),
+        )
+
+    return F.transform(found, one)
 
 
 def links(html: Column) -> Column:
-    """Array of (image_path, caption): target and text of each link."""
-    found = F.regexp_extract_all(
-        visible(html), F.lit(r'(?i)<a\b[^>]*href="[^"]*"[^>]*>[^<]*'), F.lit(0)
-    )
-    return F.transform(
+    """Array of (image_path, caption): target and whole text of each link.
+
+    A link that isn't closed ends where the next one begins.
+    """
+    marked = F.regexp_replace(visible(html), r"(?i)</a\s*>", ROW)
+    marked = F.regexp_replace(marked, r"(?i)<a\b([^>]*)>", f"{PIECE}$1{TAG_END}")
+    found = F.slice(F.split(marked, PIECE), F.lit(2), F.lit(REST))
+    parsed = F.transform(
         found,
-        lambda t: F.struct(
-            attribute(t, "href").alias("image_path"),
-            plain(F.substring_index(t, ">", -1)).alias("caption"),
+        lambda p: F.struct(
+            attribute(F.substring_index(p, TAG_END, 1), "href").alias("image_path"),
+            plain(F.substring_index(F.substring_index(p, TAG_END, -1), ROW, 1)).alias("caption"),
         ),
     )
+    return F.filter(parsed, lambda x: x["image_path"].isNotNull())

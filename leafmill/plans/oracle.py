@@ -387,15 +387,16 @@ SELECT page_id AS doc_id, row_number() OVER (PARTITION BY page_id ORDER BY n) AS
 FROM parsed WHERE text <> ''""",
 )
 
-LINK = r"""(?i)<a\b[^>]*href="[^"]*"[^>]*>[^<]*"""
+CUT_LINKS = f"""regexp_replace(regexp_replace({VISIBLE}, '(?i)</a\\s*>', chr(3), 'g'),
+  '(?i)<a\\b([^>]*)>', chr(1) || '\\1' || chr(2), 'g')"""
 add(
     "page_links_as_figures",
-    f"""WITH found AS (
-  SELECT page_id, regexp_extract_all({VISIBLE}, '{LINK}') AS a FROM pages),
-each_link AS (SELECT page_id, unnest(a) AS t, generate_subscripts(a, 1) AS ord FROM found)
-SELECT page_id AS doc_id, ord,
-  nullif({unescape('''regexp_extract(t, '(?i)\\bhref\\s*=\\s*"([^"]*)"', 1)''')}, '') AS image_path,
-  {plain("regexp_extract(t, '>([^>]*)$', 1)")} AS caption FROM each_link""",
+    f"""WITH cut AS (SELECT page_id, string_split({CUT_LINKS}, chr(1))[2:] AS a FROM pages),
+piece AS (SELECT page_id, unnest(a) AS p, generate_subscripts(a, 1) AS n FROM cut),
+each_link AS (SELECT page_id, n, regexp_extract(split_part(p, chr(2), 1), '(?i)\\shref="([^"]*)"', 1) AS href,
+  split_part(split_part(p, chr(2), 2), chr(3), 1) AS t FROM piece)
+SELECT page_id AS doc_id, row_number() OVER (PARTITION BY page_id ORDER BY n) AS ord,
+  {unescape("href")} AS image_path, {plain("t")} AS caption FROM each_link WHERE href <> ''""",
 )
 
 WORDS_OF = "list_filter(regexp_split_to_array({0}, '[\\s\\x0b]+'), lambda w: w <> '')"
@@ -411,7 +412,8 @@ SELECT doc_id, 1 AS ord, rows[1] AS header, len(rows) - 1 AS n_rows,
 add(
     "page_images",
     """SELECT conv_id || '-' || turn AS doc_id, 1 AS ord, 'img/' || conv_id || '.png' AS image_path,
-  text AS caption, length(text) AS width, NULL::INTEGER AS height FROM conversations""",
+  trim(regexp_replace(text, '\s+', ' ', 'g')) AS caption, length(text) AS width,
+  NULL::INTEGER AS height FROM conversations""",
 )
 
 # --- normalization -----------------------------------------------------------

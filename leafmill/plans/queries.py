@@ -165,7 +165,7 @@ def _escaped(c: Column) -> Column:
 
 @query
 def page_tables(spark, sf_dir):
-    """Each document written as one HTML table (unclosed cells) and read back."""
+    """Each document written as one HTML table (unclosed cells, one nested) and read back."""
 
     def row(line: Column) -> Column:
         cells = F.transform(
@@ -176,9 +176,17 @@ def page_tables(spark, sf_dir):
     body = F.array_join(F.transform(B.lines(F.col("text")), row), "\n")
     pages = documents(spark, sf_dir).select(
         "doc_id",
-        F.concat(F.lit("<p>x<table border=1>"), body, F.lit("</table><p>after")).alias("html"),
+        F.concat(
+            F.lit("<p>x<table border=1><caption>t</caption>"),
+            F.replace(body, F.lit("<TR>"), F.lit("<TR><td><table><tr><td>in</table>")),
+            F.lit("</table><p>after"),
+        ).alias("html"),
+    )
+    found = markup.page_tables(pages).where("caption = 't'")
+    words = lambda r: F.filter(r, lambda x: x != "")
+    found = found.withColumn("header", words(F.col("header"))).withColumn(
+        "rows", F.transform("rows", words)
     )
-    found = markup.page_tables(pages)
     return found.select(
         "doc_id",
         "ord",
@@ -190,19 +198,19 @@ def page_tables(spark, sf_dir):
 
 @query
 def page_images(spark, sf_dir):
-    """Each conversation turn written as an image tag and read back."""
+    """Each conversation turn written as a captioned figure, attributes quoted in all ways."""
     talk = B.table(spark, sf_dir, "conversations")
     pages = talk.select(
         "conv_id",
         "turn",
         F.concat(
-            F.lit('<div><img src="img/'),
+            F.lit("<div><figure><img data-src='lazy.png' src='img/"),
             F.col("conv_id").cast("string"),
-            F.lit('.png" alt="'),
-            _escaped(F.col("text")),
-            F.lit('" width="'),
+            F.lit(".png' width="),
             F.length("text").cast("string"),
-            F.lit('" height="auto"></div>'),
+            F.lit(' height=auto alt="no src=x"><figcaption><b>'),
+            _escaped(F.col("text")),
+            F.lit("</b></figcaption></figure></div>"),
         ).alias("html"),
     ).withColumn("doc_id", F.concat_ws("-", "conv_id", "turn"))
     return markup.page_figures(pages).select(

@@ -30,13 +30,13 @@ def page_items(pages: DataFrame, *, doc: str = "doc_id", html: str = "html") ->
 def page_tables(pages: DataFrame, *, doc: str = "doc_id", html: str = "html") -> DataFrame:
     """(doc_id, ord, page, caption, header, rows): one raw table per table element."""
     cut = pages.select(
-        F.col(doc).alias("doc_id"), F.posexplode(M.grids(F.col(html))).alias("pos", "grid")
-    )
+        F.col(doc).alias("doc_id"), F.posexplode(M.tables(F.col(html))).alias("pos", "x")
+    ).select("doc_id", "pos", "x.caption", "x.grid")
     return cut.select(
         "doc_id",
         (F.col("pos") + 1).cast("bigint").alias("ord"),
         F.lit(1).alias("page"),
-        F.lit("").alias("caption"),
+        "caption",
         F.get("grid", F.lit(0)).alias("header"),
         F.slice("grid", F.lit(2), F.greatest(F.size("grid") - 1, F.lit(0))).alias("rows"),
     )

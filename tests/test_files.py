@@ -112,10 +112,28 @@ def test_markup(spark):
     pics = [(r.ord, r.image_path, r.caption, r.width, r.height) for r in figures.orderBy("ord").collect()]
     assert pics == [(1, "i/1.png", 'A "cap"', 10, 49), (2, "2.png", "", None, None)]
     link = markup.page_links_as_figures(pages).first()
-    assert (link.image_path, link.caption) == ("/l?x=1&y=2", "Link")
+    assert (link.image_path, link.caption) == ("/l?x=1&y=2", "Link x")
     assert markup.extract_structure(pages, images=False, tables=False)[1:] == (None, None)
 
 
+def test_markup_corners(spark):
+    page = (
+        "<table><caption>C &#233;</caption><tr><td>a<tr><td>x<table><tr><td>in</td></tr></table>y</td></tr>"
+        "<tr><td>LOST</td></tr></table><table><tr><td>last</table>"
+        "<img data-src='lazy.png' alt='src=no.png' src = real.png width='7'>"
+        "<figure><img src=\"f.png\" alt=a><figcaption>F <b>c</b> &#x1F600;</figcaption></figure><img alt=b src=g.png>"
+        "<a href='s'><b>bold</b> tail</a> out <a name=n>none</a><a class=k href=bare>pre <i>it</i> post"
+    )
+    pages = spark.createDataFrame([("d", page)], "doc_id string, html string")
+    _, tables, figures = markup.extract_structure(pages)
+    got = [(t.caption, t.header, t.rows) for t in tables.orderBy("ord").collect()]
+    assert got == [("C é", ["a"], [["xy"], ["LOST"]]), ("", ["in"], []), ("", ["last"], [])]
+    pics = [(f.image_path, f.caption, f.width) for f in figures.orderBy("ord").collect()]
+    assert pics == [("real.png", "src=no.png", 7), ("f.png", "F c 😀", None), ("g.png", "b", None)]
+    links = [(x.image_path, x.caption) for x in markup.page_links_as_figures(pages).orderBy("ord").collect()]
+    assert links == [("s", "bold tail"), ("bare", "pre it post")]
+
+
 def test_runs(spark, tmp_path):
     path = str(tmp_path / "t")
     ddl = "doc_id string, v int"
