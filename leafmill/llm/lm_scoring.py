@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count
+from itertools import count
 from math import log10
 
 import numpy as np
@@ -29,13 +29,19 @@ from leafmill.llm.bpe import slices
 from leafmill.llm.common import bucket_of, texts_of
 from leafmill.scratch import settle
 
-HOT_WORDS = 1 << 20
+COUNT_CHARS = 8 << 20
+SCORE_CHARS = 2 << 20
+HOT_WORDS = 1 << 18
 PROBES = 3
 LEAST_BITS = 1 << 20
 END = b""  # no word is empty
 START = np.uint64(0x51_7C_C1_B7_27_22_0A_95)
 PAIR = np.uint64(0x9E_37_79_B9_7F_4A_7C_15)
 FLAT = 0.1
+SCORED = (
+    "n_tokens long, hot_known long, hot_score double, score double, "
+    "c1 array<long>, c2 array<long>, times array<long>"
+)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -51,10 +57,12 @@ class Tokens:
     def __init__(self, texts: list[str]):
         number = defaultdict(count().__next__)
         number[END]
-        # bytes.lower() and bytes.split() know ASCII letters and white space only
-        parts = [[*t.encode().lower().split(), END] for t in texts]
-        self.size = np.fromiter(map(len, parts), np.int64, len(parts))
-        self.word = np.fromiter(map(number.__getitem__, chain.from_iterable(parts)), np.int64)
+        by_text = []
+        for t in texts:  # bytes.lower() and bytes.split() know ASCII letters and white space only
+            words = [*t.encode().lower().split(), END]
+            by_text.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+        self.size = np.fromiter(map(len, by_text), np.int64, len(by_text))
+        self.word = np.concatenate(by_text).astype(np.int64)
         digests = b"".join(map(xxhash.xxh3_128_digest, number))
         both = np.frombuffer(digests, "<u8").reshape(-1, 2)
         self.h1, self.h2 = both[:, 0].copy(), both[:, 1].copy()
@@ -72,7 +80,7 @@ class Tokens:
 def word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for df in batches:
         texts = df["text"].tolist()
-        for some in slices(texts):
+        for some in slices(texts, COUNT_CHARS):
             t = Tokens(texts[some])
             n = np.bincount(t.word, minlength=len(t.h1))
             yield pd.DataFrame({"h1": t.h1.view(np.int64), "h2": t.h2.view(np.int64), "n": n})
@@ -85,7 +93,7 @@ def gram_counts(shards: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
             texts = df["text"].tolist()
-            for some in slices(texts):
+            for some in slices(texts, COUNT_CHARS):
                 cur, _, pair = Tokens(texts[some]).grams()
                 h, n = np.unique(np.concatenate([cur, pair]), return_counts=True)
                 shard = (h >> shift).astype(np.int64) if shift is not None else np.zeros(len(h), np.int64)
@@ -195,12 +203,13 @@ def scorer(filter_of, hot_of, stats: dict[str, float], weight: float):
     """Per text: its model score, the base score of its hot words, and its other words."""
     total = stats["tokens"] + FLAT * (stats["words"] + 1)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(SCORED)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bloom, hot = filter_of.value, hot_of.value
         keys = hot[:, 0].view(np.uint64) if len(hot) else np.empty(0, np.uint64)
-        for df in batches:
-            texts = df["text"].tolist()
-            for some in slices(texts):
+        for batch in batches:
+            texts, made = batch.tolist(), []
+            for some in slices(texts, SCORE_CHARS):
                 t = Tokens(texts[some])
                 at = np.minimum(np.searchsorted(keys, t.h1), max(len(keys) - 1, 0))
                 is_hot = np.zeros(len(t.h1), bool)
@@ -227,20 +236,20 @@ def scorer(filter_of, hot_of, stats: dict[str, float], weight: float):
                 owner, word = code // len(t.h1), code % len(t.h1)
                 cut = np.searchsorted(owner, np.arange(1, len(t.size)))
                 h1, h2 = t.h1.view(np.int64), t.h2.view(np.int64)
-                yield pd.DataFrame(
-                    {
-                        "rid": df["rid"].iloc[some].to_numpy(),
-                        "id": df["id"].iloc[some].to_numpy(),
-                        "held_out": df["held_out"].iloc[some].to_numpy(),
-                        "n_tokens": t.size,
-                        "hot_known": known,
-                        "hot_score": base,
-                        "score": score,
-                        "c1": np.split(h1[word], cut),
-                        "c2": np.split(h2[word], cut),
-                        "times": np.split(times.astype(np.int64), cut),
-                    }
-                ).astype({"id": df["id"].dtype})
+                made.append(
+                    pd.DataFrame(
+                        {
+                            "n_tokens": t.size,
+                            "hot_known": known,
+                            "hot_score": base,
+                            "score": score,
+                            "c1": np.split(h1[word], cut),
+                            "c2": np.split(h2[word], cut),
+                            "times": np.split(times.astype(np.int64), cut),
+                        }
+                    )
+                )
+            yield pd.concat(made, ignore_index=True)
 
     return run
 
@@ -266,10 +275,8 @@ def lm_scores(
     table gives no rows; other columns are ignored.  Words are told apart by 128-bit hashes.
     """
     spark = docs.sparkSession
-    rows = (
-        texts_of(docs, id_col, text_col)
-        .withColumn("rid", F.monotonically_increasing_id())
-        .withColumn("held_out", bucket_of(F.col("id"), folds) == held_fold)
+    rows = texts_of(docs, id_col, text_col).withColumn(
+        "held_out", bucket_of(F.col("id"), folds) == held_fold
     )
     train = rows.where(~F.col("held_out"))
     counts = settle(
@@ -288,14 +295,9 @@ def lm_scores(
     bloom = send(build_filter(train, stats["tokens"], max_bits))
     known = send(hot_words(counts, hot))
 
-    id_type = rows.schema["id"].dataType.simpleString()
-    schema = (
-        f"rid long, id {id_type}, held_out boolean, n_tokens long, hot_known long, hot_score double, "
-        "score double, c1 array<long>, c2 array<long>, times array<long>"
-    )
     scored = settle(
-        rows.select("rid", "id", "held_out", "text").mapInPandas(
-            scorer(bloom, known, stats, weight), schema
+        rows.select("rid", "id", "held_out", scorer(bloom, known, stats, weight)("text").alias("s")).select(
+            "rid", "id", "held_out", "s.*"
         ),
         "scored",
     )
