@@ -71,7 +71,7 @@ def _page(df: DataFrame) -> Column:
 
 
 def normalize_blocks(raw: DataFrame, *, dense: bool = False) -> DataFrame:
-    """Defaults, casts and ``blk_`` ids."""
+    """Defaults, casts and ``blk_`` ids; ``ord`` becomes the dense number that the id shows."""
     headings = (
         F.coalesce(F.col("headings"), F.array().cast("array<string>"))
         if "headings" in raw.columns
@@ -79,7 +79,7 @@ def normalize_blocks(raw: DataFrame, *, dense: bool = False) -> DataFrame:
     )
     return assign_ids(raw, "blk", dense=dense).select(
         "doc_id",
-        "ord",
+        T.ordinal_of("id").alias("ord"),
         "id",
         _text(raw, "type", "text").alias("type"),
         _page(raw).alias("page"),
@@ -119,7 +119,7 @@ def normalize_tables(
     stem = F.concat_ws("/", F.lit(root), F.col("doc_id").cast("string"), F.lit("tables"), F.col("id"))
     return assign_ids(raw, "table", dense=dense).select(
         "doc_id",
-        "ord",
+        T.ordinal_of("id").alias("ord"),
         "id",
         _page(raw).alias("page"),
         _bbox(raw).alias("bbox"),

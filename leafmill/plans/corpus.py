@@ -69,6 +69,23 @@ class Corpus:
     def report(self) -> DataFrame:
         return report.report_entries(self.figures)
 
+    def nested(self) -> DataFrame:
+        """The documents themselves: nested records, in parts of a fixed number of children."""
+        counts = F.struct("page_count", "block_count", "table_count", "figure_count")
+        docs = self.docs.drop("page_count").join(self.stats(), "doc_id")
+        source = F.struct(*[c for c in self.docs.columns if c not in ("doc_id", "page_count")])
+        docs = docs.select("doc_id", source.alias("source"), counts.alias("doc_stats"))
+        children = {"blocks": self.blocks}
+        if self.tables is not None:
+            children["tables"] = self.tables
+        if self.figures is not None:
+            children["figures"] = self.figures.withColumnRenamed("figure_id", "id")
+        return export.assemble_documents(docs, **children)
+
+    def index(self) -> DataFrame:
+        """What each document produced."""
+        return export.artifact_index(self.docs, self.tables, self.figures, self.options.root)
+
     def audit(self) -> DataFrame:
         return lifecycle.audit_consistency(self.report(), self.statuses)
 
@@ -96,15 +113,20 @@ def enrich(
 
     tables = None
     if raw_tables is not None and not options.no_tables:
-        tables = filters.filter_pages(
-            normalize.normalize_tables(raw_tables, root=options.root, vocabulary=options.tags),
-            options.pages,
+        tables = settle(
+            filters.filter_pages(
+                normalize.normalize_tables(raw_tables, root=options.root, vocabulary=options.tags),
+                options.pages,
+            ),
+            "tables",
         )
 
     if raw_figures is None or options.no_images:
         return Corpus(docs, blocks, tables, None, None, options)
 
-    figures = normalize.normalize_figures(raw_figures, vocabulary=options.tags)
+    # Pictures without an image leave a gap in the ids and don't count towards the limit.
+    pictures = normalize.drop_imageless(raw_figures)
+    figures = normalize.normalize_figures(pictures, dense=True, vocabulary=options.tags)
     figures = filters.limit_per_document(figures, options.max_figures)
     figures = filters.filter_pages(figures, options.pages)
     ruled = context.classify_figures(figures, blocks, options.figure_rules)
@@ -128,12 +150,21 @@ def enrich(
 
 
 def write(corpus: Corpus, path: str, run: int) -> None:
-    """Store every artifact of a run; a rerun of a document replaces what it had."""
+    """Store every artifact of a run; a rerun of a document replaces what it had.
+
+    What covers the whole run, not a document, lies under ``run=N`` of its own.
+    """
     docs = corpus.docs.select("doc_id")
 
     def store(name: str, rows: DataFrame) -> None:
         write_run(rows, docs, f"{path}/{name}", run)
 
+    def store_whole(name: str, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/{name}/run={run:019d}")
+
+    index = settle(corpus.index(), "index")
+    store("documents", corpus.nested())
+    store("index", export.index_records(index))
     store("blocks", corpus.blocks)
     store("doc_stats", corpus.stats())
     if corpus.tables is not None:
@@ -145,8 +176,13 @@ def write(corpus: Corpus, path: str, run: int) -> None:
         store("figures", corpus.figures)
         store("statuses", corpus.statuses)
         store("figure_markdown", report.figure_markdown(corpus.figures))
-        entries = corpus.report()
+        entries = settle(corpus.report(), "entries")
         store("report", entries)
         store("report_markdown", report.report_markdown(entries, corpus.docs))
         store("rollup", corpus.rollup())
+        store("rollup_detail", rollup.rollup_detail(corpus.statuses))
         store("rollup_markdown", report.rollup_markdown(corpus.statuses, corpus.docs))
+        store_whole("global_report", report.global_report_markdown(entries))
+        store_whole("global_rollup", corpus.rollup_global())
+    kinds = index.select("doc_id", "kind").unionByName(docs.withColumn("kind", F.lit("index")))
+    store("failures", rollup.smoke_checks(corpus.docs, corpus.stats(), kinds))

@@ -412,7 +412,7 @@ SELECT doc_id, 1 AS ord, rows[1] AS header, len(rows) - 1 AS n_rows,
 add(
     "page_images",
     """SELECT conv_id || '-' || turn AS doc_id, 1 AS ord, 'img/' || conv_id || '.png' AS image_path,
-  trim(regexp_replace(text, '\s+', ' ', 'g')) AS caption, length(text) AS width,
+  trim(regexp_replace(text, '\\s+', ' ', 'g')) AS caption, length(text) AS width,
   NULL::INTEGER AS height FROM conversations""",
 )
 
@@ -1078,3 +1078,59 @@ add(
     f"""WITH {APPLIED} SELECT doc_id, figure_id, status, confidence, local_llm_description, version
 FROM applied""",
 )
+
+# --- a whole run ---------------------------------------------------------------
+
+# Pictures without an image are left out, and page context comes from packed blocks.
+PICTURES = (
+    FIGURES.replace("\nfigures AS (", "\nevery AS (")
+    + ", figures AS (SELECT * FROM every WHERE image_path IS NOT NULL)"
+)
+PACKED = f"""
+packed_blocks AS ({ORACLE['chunk_greedy']}),
+ctx AS (
+  SELECT doc_id, page, string_agg(left(text, 200), ' ' ORDER BY section, chunk) AS context
+  FROM packed_blocks GROUP BY doc_id, page)
+"""
+
+
+def whole_run(sql: str) -> str:
+    """Shared inputs as a whole run sees them."""
+    kept = "FROM labels l WHERE l.doc_id IN (SELECT doc_id FROM figures WHERE ord = 1)"
+    return (
+        sql.replace(FIGURES, PICTURES)
+        .replace(CONTEXT, PACKED)
+        .replace("FROM labels l WHERE l.doc_id IN (SELECT doc_id FROM documents)", kept)
+    )
+
+
+add(
+    "corpus_documents",
+    f"""WITH {PICTURES}, {PACKED},
+b AS (SELECT doc_id, count(*) AS n, md5(string_agg(text, {NL} ORDER BY section, chunk)) AS m
+  FROM packed_blocks GROUP BY doc_id),
+f AS (SELECT doc_id, count(*) AS n, md5(string_agg(figure_id, {NL} ORDER BY ord)) AS m
+  FROM figures GROUP BY doc_id)
+SELECT doc_id, 0::BIGINT AS part, coalesce(b.n, 0)::INTEGER AS n_blocks, 1 AS n_tables,
+  coalesce(f.n, 0)::INTEGER AS n_figures, coalesce(b.m, md5('')) AS blocks_md5,
+  coalesce(f.m, md5('')) AS figures_md5
+FROM documents LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id)""",
+)
+add(
+    "corpus_stats",
+    f"""WITH {PICTURES}, {PACKED},
+b AS (SELECT doc_id, count(*) AS n FROM packed_blocks GROUP BY doc_id),
+f AS (SELECT doc_id, count(*) AS n FROM figures GROUP BY doc_id)
+SELECT doc_id, ceil(len(string_split(text, {NL})) / 5)::BIGINT AS page_count,
+  coalesce(b.n, 0) AS block_count, 1::BIGINT AS table_count, coalesce(f.n, 0) AS figure_count
+FROM documents LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id)""",
+)
+add(
+    "corpus_report",
+    f"""WITH {whole_run(ENTRIES)} SELECT doc_id, figure_id, page::INTEGER AS page, type, class_confidence,
+  action AS recommended_manual_action, reason FROM entries""",
+)
+add(
+    "corpus_rollup",
+    f"WITH {whole_run(STATUSES)} SELECT doc_id, {counts()} FROM statuses GROUP BY doc_id",
+)

@@ -25,6 +25,7 @@ from leafmill.operators import (
     triage,
 )
 from leafmill.plans import bindings as B
+from leafmill.plans import corpus
 from leafmill.plans.session import configure
 from leafmill.scratch import scratch, settle
 from leafmill.sinks import runs
@@ -868,6 +869,74 @@ def assemble_documents(spark, sf_dir):
     )
 
 
+def corpus_run(spark: SparkSession, sf_dir: str) -> str:
+    """The whole path over all documents, stored; returns the folder of the run."""
+    docs = documents(spark, sf_dir).select(
+        "doc_id",
+        F.concat_ws("/", "source", F.format_string("%d.txt", "doc_id")).alias("path"),
+        F.ceil(F.size(B.lines(F.col("text"))) / F.lit(B.BLOCKS_PER_PAGE)).alias("page_count"),
+    )
+    done = corpus.enrich(
+        docs,
+        B.items(spark, sf_dir),
+        B.raw_tables(spark, sf_dir),
+        B.raw_figures(spark, sf_dir).drop("reply"),
+        B.responses(spark, sf_dir),
+        B.existing_statuses(spark, sf_dir),
+        options=corpus.Options(
+            model=B.MODEL,
+            max_tokens=CHUNK,
+            figure_rules=B.CORPUS_FIGURE_RULES,
+            description_rules=B.CORPUS_DESCRIPTION_RULES,
+            tags=B.CORPUS_TAGS,
+        ),
+        now=F.lit(B.RUN_STAMP),
+    )
+    path = scratch(spark, "corpus")
+    corpus.write(done, path, 1)
+    return path
+
+
+@query
+def corpus_documents(spark, sf_dir):
+    """Stored nested documents of a whole run, checked through digests of their children."""
+    stored = runs.read_runs(spark, f"{corpus_run(spark, sf_dir)}/documents")
+    return stored.select(
+        "doc_id",
+        "part",
+        F.size("blocks").alias("n_blocks"),
+        F.size("tables").alias("n_tables"),
+        F.size("figures").alias("n_figures"),
+        F.md5(F.array_join(F.transform("blocks", lambda x: x["text"]), "\n")).alias("blocks_md5"),
+        F.md5(F.array_join(F.transform("figures", lambda x: x["id"]), "\n")).alias("figures_md5"),
+    )
+
+
+@query
+def corpus_stats(spark, sf_dir):
+    return runs.read_runs(spark, f"{corpus_run(spark, sf_dir)}/doc_stats")
+
+
+@query
+def corpus_report(spark, sf_dir):
+    stored = runs.read_runs(spark, f"{corpus_run(spark, sf_dir)}/report")
+    return stored.select(
+        "doc_id",
+        "figure_id",
+        "page",
+        F.col("classification.type").alias("type"),
+        F.col("classification.confidence").alias("class_confidence"),
+        "recommended_manual_action",
+        "reason",
+    )
+
+
+@query
+def corpus_rollup(spark, sf_dir):
+    stored = runs.read_runs(spark, f"{corpus_run(spark, sf_dir)}/rollup")
+    return stored.where("total_figures > 0")
+
+
 @query
 def artifact_index(spark, sf_dir):
     return _index(spark, sf_dir)

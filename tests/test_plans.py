@@ -4,11 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from leafmill.plans.oracle import ORACLE
+from leafmill.plans.queries import QUERIES
 
 TABLES = "documents pages conversations events labels benchmark lineitem orders part".split()
 # Operators whose answer is one row or one group by nature, or whose rows come from a model hook.
 PYTHON_OK = {"describe_then_triage"}
-ACTIONS = {n for n in entry.queries() if n.startswith(("stream_", "chunk_"))} | {"rerun_documents", "status_files_round_trip"}
+ACTIONS = {n for n in QUERIES if n.startswith(("stream_", "chunk_"))} | {"rerun_documents", "status_files_round_trip"}
 SINGLE_OK = {"global_report_markdown"}
 
 
@@ -27,20 +29,20 @@ def cells(rows):
     return sorted(tuple(cell(v) for v in row) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_against_sql(spark, sf, db, name):
-    df = entry.queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     columns = sorted(df.columns)
     got = cells(tuple(r[c] for c in columns) for r in df.collect())
-    relation = db.sql(entry.oracle_sql()[name])
+    relation = db.sql(ORACLE[name])
     assert sorted(relation.columns) == columns
     want = cells(relation.select(*[duckdb.ColumnExpression(c) for c in columns]).fetchall())
     assert got == want and got
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ACTIONS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - ACTIONS))
 def test_plan_stays_distributed(spark, sf, name):
-    plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     if name not in SINGLE_OK:
         assert "SinglePartition" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -55,7 +57,7 @@ def test_pushdown_and_pruning(spark, sf):
     docs = B.table(spark, sf, "documents").withColumnRenamed("n_chars", "page")
     plan = L.filter_pages(docs.select("doc_id", "page"), "1-3,7")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(" in plan and "ReadSchema: struct<doc_id:bigint,n_chars:bigint>" in plan
-    files = entry.queries()["source_manifest"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    files = QUERIES["source_manifest"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "lang" not in files
 
 
@@ -65,4 +67,5 @@ def test_entry(spark, sf):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
