@@ -5,7 +5,9 @@ task.  Here each key is cut into segments of ``width`` consecutive positions, so
 no task sorts more than ``width`` rows of a key:
 
 1. one partial-aggregated total per (key, segment);
-2. a running carry over those totals, one small row per segment;
+2. a running carry over those totals, one small row per segment, which is itself
+   cut into segments of segments, so that sparse positions (each row a segment of
+   its own) don't bring a key together either;
 3. the window runs inside (key, segment) and the carry is added.
 
 The position column must be an integer that is unique within its key.
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 SEGMENT_WIDTH = 1 << 20
 _SEG = "__segment"
+_GROUP = "__segments"
 
 
 def segment_of(order: str, width: int) -> Column:
@@ -49,16 +52,8 @@ def with_running(
         *[F.sum(e).alias(f"__t_{n}") for n, e in sums.items()],
         *[F.max(e).alias(f"__t_{n}") for n, e in maxes.items()],
     )
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy(_SEG)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carry = totals.select(
-        *group,
-        *[F.sum(f"__t_{n}").over(before).alias(f"__c_{n}") for n in sums],
-        *[F.max(f"__t_{n}").over(before).alias(f"__c_{n}") for n in maxes],
-    )
+    names = [f"__t_{n}" for n in sums], [f"__t_{n}" for n in maxes]
+    carry = _carry(totals, keys, *names, width)
 
     inside = (
         Window.partitionBy(*group)
@@ -80,6 +75,43 @@ def with_running(
     )
 
 
+def _carry(
+    totals: DataFrame, keys: Sequence[str], sums: Sequence[str], maxes: Sequence[str], width: int
+) -> DataFrame:
+    """Per (key, segment), what the segments before it add up to: columns ``__c_`` for ``__t_``."""
+    cut = totals.withColumn(_GROUP, segment_of(_SEG, width))
+    far = cut.groupBy(*keys, _GROUP).agg(
+        *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxes]
+    )
+
+    def earlier(group: Sequence[str], order: str):
+        return Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    over = earlier(keys, _GROUP)
+    before = far.select(
+        *keys,
+        _GROUP,
+        *[F.sum(c).over(over).alias(f"__far{c}") for c in sums],
+        *[F.max(c).over(over).alias(f"__far{c}") for c in maxes],
+    )
+    near = earlier([*keys, _GROUP], _SEG)
+    zero = F.lit(0)
+    return cut.join(before, [*keys, _GROUP]).select(
+        *keys,
+        _SEG,
+        *[
+            (F.coalesce(F.col(f"__far{c}"), zero) + F.coalesce(F.sum(c).over(near), zero)).alias(
+                c.replace("__t_", "__c_", 1)
+            )
+            for c in sums
+        ],
+        *[
+            F.greatest(F.col(f"__far{c}"), F.max(c).over(near)).alias(c.replace("__t_", "__c_", 1))
+            for c in maxes
+        ],
+    )
+
+
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],

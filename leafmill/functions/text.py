@@ -60,7 +60,7 @@ def is_valid_description(c: Column | str) -> Column:
     Ten letters imply that the text is neither blank nor empty without its tokens.
     """
     cleaned = without_special_tokens(c)
-    ratio = printable_count(cleaned) / F.length(cleaned)
+    ratio = F.try_divide(printable_count(cleaned), F.length(cleaned))
     return F.coalesce(
         cleaned.rlike(AT_LEAST_TEN_LETTERS) & (ratio >= F.lit(MIN_PRINTABLE_RATIO)), F.lit(False)
     )

@@ -79,14 +79,27 @@ def plot_points(analyses: DataFrame) -> DataFrame:
     )
 
 
+def csv_cells(line: Column) -> Column:
+    """Cells of a CSV line; quotes around a cell are taken off."""
+    found = F.regexp_extract_all(line, F.lit(r'''(?:^|,)(\s*"(?:[^"]|"")*+"[^,]*|[^,]*)'''), F.lit(1))
+
+    def bare(cell: Column) -> Column:
+        inner = F.regexp_extract(cell, r'''^\s*"(.*)"\s*$''', 1)
+        quoted = F.startswith(F.ltrim(cell), F.lit('"')) & F.endswith(F.rtrim(cell), F.lit('"'))
+        return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(cell)
+
+    return F.transform(found, bare)
+
+
 def plot_csv_long(analyses: DataFrame) -> DataFrame:
     """(key, row, col, name, value, number) from the CSV text of a plot.
 
-    Lines end with a line feed or with a literal backslash-n.
+    Lines end with a line feed or with a literal backslash-n.  A quoted cell may
+    hold commas and doubled quotes; a line break ends it.
     """
     lines = F.filter(F.split(_part("csv", "string"), r"\n|\\n"), lambda x: F.trim(x) != "")
     cut = analyses.where(F.col("classification") == "plot").select(
-        *KEY, F.transform(lines, lambda x: F.split(x, ",")).alias("grid")
+        *KEY, F.transform(lines, csv_cells).alias("grid")
     )
     rows = cut.select(
         *KEY,

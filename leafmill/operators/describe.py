@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as t
 
+from leafmill.scratch import settle
+
 # Fixed value: the default instruction handed to the model.
 PROMPT = "Describe this image from an electronics datasheet."
 
@@ -39,3 +41,19 @@ def describe_figures(
             yield batch.assign(response=[safely(v) for v in batch[image]])
 
     return figures.mapInPandas(run, schema)
+
+
+def settled_responses(
+    figures: DataFrame,
+    load_model: Callable[[], Callable[[str, str], str]],
+    *,
+    prompt: str = PROMPT,
+    image: str = "image_path",
+) -> DataFrame:
+    """(doc_id, figure_id, response), asked once for each figure and written before it is used.
+
+    A plan that reads a description twice would otherwise run the model twice, and a model that
+    isn't deterministic would contradict itself.
+    """
+    asked = describe_figures(figures.select("doc_id", "figure_id", image), load_model, prompt=prompt, image=image)
+    return settle(asked.select("doc_id", "figure_id", "response"), "responses")

@@ -569,14 +569,8 @@ def describe_then_triage(spark, sf_dir):
         return reply
 
     raw = normalize.assign_ids(B.talk_figures(spark, sf_dir), "fig", out="figure_id")
-    described = describe.describe_figures(
-        raw.select("doc_id", "figure_id", "image_path", "width", "height"), load_model
-    )
-    done = triage.triage(
-        described.drop("response"),
-        described.select("doc_id", "figure_id", "response"),
-        now=F.lit(B.RUN_STAMP),
-    )
+    responses = describe.settled_responses(raw, load_model)
+    done = triage.triage(raw, responses, now=F.lit(B.RUN_STAMP))
     return done.select(
         "doc_id",
         "figure_id",

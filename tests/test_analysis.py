@@ -147,3 +147,18 @@ def test_shapes(spark, tmp_path):
     ).first()
     assert tuple(result) == ("plot", "p")
     a.unpersist()
+
+
+def test_csv_cells_keep_quoted_commas(spark):
+    from leafmill.operators.analysis import csv_cells
+
+    lines = {
+        'a,b,,c': ["a", "b", "", "c"],
+        '"x, y",2,"say ""hi"""': ["x, y", "2", 'say "hi"'],
+        '': [""],
+        ' "q" , 1': ["q", " 1"],
+        'open "quote, 2': ['open "quote', " 2"],
+    }
+    df = spark.createDataFrame([(k,) for k in lines], "line string")
+    got = {r.line: r.cells for r in df.withColumn("cells", csv_cells(F.col("line"))).collect()}
+    assert got == lines

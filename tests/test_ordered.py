@@ -63,3 +63,14 @@ def test_ids_widen_past_four_digits(spark):
     assert got == ["fig_9999", "fig_10000"]
     again = assign_ids(df, "fig")
     assert [r.id for r in again.orderBy("ord").collect()] == ["fig_0001", "fig_0002"]
+
+
+def test_sparse_positions_of_one_hot_key(spark):
+    """Each row is a segment of its own; no window then holds the key's segments together."""
+    step = 1 << 31
+    df = spark.range(3000).selectExpr("1 AS k", f"id * {step} AS ord", "id AS v")
+    got = with_running(df, ["k"], "ord", sums={"s": F.col("v")}, maxes={"m": F.col("v")}, width=1 << 10)
+    rows = sorted((r.ord // step, r.s, r.m) for r in got.collect())
+    assert rows == [(i, i * (i + 1) // 2, i) for i in range(3000)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") >= 3
