@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import WORD, attach, numbered, texts_of
+from leafmill.llm.common import WORD, attach, numbered, only, texts_of
 from leafmill.llm.linkage import classes
 from leafmill.scratch import settle
 
@@ -29,25 +29,60 @@ def lines_of(
     return each.where(F.col("line").rlike(WORD)).withColumn("k", F.xxhash64("line"))
 
 
-def probes(line: Column, n: Column, tau: int, least: int) -> Column:
-    """Hashes of (length, segment number, substring) under which a line of n code points is looked up.
+def parities(line: Column) -> Column:
+    """Which of 64 classes of characters, and of neighbouring pairs, a line has an odd number of.
 
-    Those for its own length at the segments' own places are its index entries.  Null where the
-    other line would be shorter than ``least``.
+    An edit flips two classes of characters and four of pairs at most.
+    """
+    bits = F.array(*[F.lit((1 << k) - (1 << 64) * (k == 63)).cast("long") for k in range(64)])
+    chars = F.split(line, "")
+
+    def odd(items: Column) -> Column:
+        return F.aggregate(
+            items,
+            F.lit(0).cast("long"),
+            lambda a, c: a.bitwiseXOR(F.element_at(bits, F.pmod(F.hash(c), F.lit(64)) + 1)),
+        )
+
+    pairs = F.transform(chars, lambda c, i: F.struct(c, F.get(chars, i + 1)))
+    return F.struct(odd(chars).alias("chars"), odd(pairs).alias("pairs"))
+
+
+def probes(lines: DataFrame, tau: int, least: int) -> DataFrame:
+    """(id, bucket): the hashes of (length, segment number, substring) under which a line is looked up.
+
+    ``lines`` is (id, line).  Those for a line's own length at the segments' own places are its index
+    entries.  Lines that would be shorter than ``least`` are not looked for.  Places are columns of
+    their own, so that the compiled expression stays small.
     """
     parts = tau + 1
-    out = []
-    for d in range(parts):
-        length = n - d
-        short = parts - length % parts  # so many segments are one shorter than the rest
-        base = F.floor(length / parts).cast("int")
-        for i in range(parts):
-            at = 1 + i * base + F.greatest(F.lit(0), i - short)
-            size = base + F.when(i >= short, 1).otherwise(0)
-            for off in range(max(-i, d - (tau - i)), min(i, d + (tau - i)) + 1):
-                key = F.xxhash64(F.lit(i), length, F.substring(line, at + off, size))
-                out.append(F.when(length >= least, key))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
+    # UTF-32 has four bytes a code point, so that cutting needs no counting
+    rows = lines.select("id", F.char_length("line").alias("n"), F.encode("line", "UTF-32").alias("wide"))
+    rows = rows.where(F.col("n") >= least)
+    sizes = rows.select(
+        "*",
+        *[F.expr(f"int((n - {d}) div {parts})").alias(f"base{d}") for d in range(parts)],
+        *[F.expr(f"{parts} - (n - {d}) % {parts}").alias(f"short{d}") for d in range(parts)],
+    )
+    each = [(d, i) for d in range(parts) for i in range(parts)]
+    placed = sizes.select(
+        "id",
+        "n",
+        "wide",
+        *[F.expr(f"4 * ({i} * base{d} + greatest(0, {i} - short{d})) + 1").alias(f"at{d}_{i}") for d, i in each],
+        *[F.expr(f"4 * (base{d} + int({i} >= short{d}))").alias(f"size{d}_{i}") for d, i in each],
+    )
+    keys = [
+        F.when(
+            F.col("n") >= least + d,
+            F.xxhash64(
+                F.lit(i), F.col("n") - d, F.substring("wide", F.col(f"at{d}_{i}") + 4 * off, F.col(f"size{d}_{i}"))
+            ),
+        )
+        for d, i in each
+        for off in range(max(-i, d - (tau - i)), min(i, d + (tau - i)) + 1)
+    ]
+    return placed.select("id", F.explode(F.array(*keys)).alias("bucket")).where("bucket is not null")
 
 
 def line_dedup(
@@ -77,21 +112,25 @@ def line_dedup(
         ),
         "counts",
     )
-    long = lines.select("k", "line", F.char_length("line").alias("n")).where(F.col("n") >= least_chars)
-    members = long.select(F.explode(probes(F.col("line"), F.col("n"), tau, least_chars)).alias("bucket"), F.col("k").alias("id"))
+    members = probes(lines.select(F.col("k").alias("id"), "line"), tau, least_chars)
 
     def texts(ids: DataFrame) -> DataFrame:
         """The lines that may be linked, once each."""
-        some = lines.select("k", "line").join(ids.select(F.col("id").alias("k")), "k", "left_semi")
-        return settle(some.groupBy("k").agg(F.first("line").alias("line")), "texts")
+        some = only(lines.select(F.col("k").alias("id"), "line"), ids, "id")
+        held = some.groupBy("id").agg(F.first("line").alias("line"))
+        return settle(held.select("id", "line", parities(F.col("line")).alias("sketch")), "texts")
+
+    def few_flips(a: Column, b: Column) -> Column:
+        flips = lambda k: F.bit_count(a[k].bitwiseXOR(b[k]))
+        return (flips("chars") <= 2 * tau) & (flips("pairs") <= 4 * tau)
 
     def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
-        one = held.select(F.col("k").alias("a"), F.col("line").alias("la"))
-        two = held.select(F.col("k").alias("b"), F.col("line").alias("lb"))
+        one = held.select(F.col("id").alias("a"), F.col("line").alias("la"))
+        two = held.select(F.col("id").alias("b"), F.col("line").alias("lb"))
         near = F.levenshtein("la", "lb", tau) >= 0
         return pairs.join(one, "a").join(two, "b").where(near).select("a", "b")
 
-    labels = classes(members, verify, texts)
+    labels = classes(members, texts, few_flips, verify)
     named = settle(
         counts.join(labels.select(F.col("id").alias("k"), "label"), "k", "left").withColumn(
             "label", F.coalesce("label", "k")
