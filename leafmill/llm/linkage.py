@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import attach
+from leafmill.llm.common import attach, only
 from leafmill.scratch import settle
 
 Verify = Callable[[DataFrame, DataFrame], DataFrame]
@@ -60,28 +60,31 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def shared(members: DataFrame) -> DataFrame:
-    """Those (bucket, id), once each, whose bucket has another id.
-
-    A bucket's repeated ids are counted where they are.  The join is one that Spark can split.
-    """
+    """Those (bucket, id), once each, whose bucket has another id."""
     ends = members.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     open_ = settle(ends.where("low < high").select("bucket"), "open")
-    return settle(members.join(open_, "bucket").distinct(), "shared")
+    return settle(only(members, open_, "bucket").distinct(), "shared")
 
 
 def classes(
-    members: DataFrame, verify: Verify, contents: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS
+    members: DataFrame,
+    contents: Callable[[DataFrame], DataFrame],
+    may: Callable[[Column, Column], Column],
+    verify: Verify,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """(id, label) of all ids that are linked to another, from ``members`` (bucket, id).
 
-    ``contents`` gives what ``verify`` compares, for ids (id) that share a bucket.  ``label`` is the
-    smallest id of the class.
+    ``contents`` gives what is compared, for written ids (id) that share a bucket: a table with id and
+    sketch, a few bytes.  ``may`` is a condition on two sketches that every link fulfils; pairs that
+    don't are never made.  ``label`` is the smallest id of the class.
     """
     rows = shared(members)
     total = rows.count()
     if not total:
         return rows.select("id", F.col("id").alias("label"))
     held = contents(settle(rows.select("id").distinct(), "candidates"))
+    rows = settle(rows.join(held.select("id", "sketch"), "id"), "sketched")
     labels: DataFrame | None = None
     links: DataFrame | None = None
     tested: DataFrame | None = None
@@ -93,24 +96,33 @@ def classes(
                 rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled"
             )
         if turn < rounds:
-            lead = F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "label")).alias("lead")
+            lead = F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "label", "sketch")).alias("lead")
             heads = settle(
                 now.groupBy("bucket")
                 .agg(lead, F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
                 .where("low != high")
-                .select("bucket", "size", F.col("lead.id").alias("head"), F.col("lead.label").alias("of")),
+                .select(
+                    "bucket", "size", F.col("lead.id").alias("head"), F.col("lead.label").alias("of"),
+                    F.col("lead.sketch").alias("other"),
+                ),
                 "heads",
-            )
-            met = attach(now, heads, ["bucket"], "size", total).where("label != of").select("id", "head")
+            )
+            near = (F.col("label") != F.col("of")) & may(F.col("sketch"), F.col("other"))
+            met = attach(now, heads, ["bucket"], "size", total).where(near).select("id", "head")
         else:
             # what the rounds have left: pairs of one bucket in different classes
             left = settle(
                 now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket"),
                 "left",
             )
-            rest = settle(now.join(left, "bucket"), "rest")
-            other = rest.select("bucket", F.col("id").alias("head"), F.col("label").alias("of"))
-            met = rest.join(other, "bucket").where("label < of").select("id", "head")
+            rest = settle(now.join(left, "bucket"), "rest").alias("x")
+            other = rest.select("bucket", F.col("id").alias("head"), F.col("label").alias("of"), F.col("sketch").alias("other")).alias("y")
+            near = (
+                (F.col("x.bucket") == F.col("y.bucket"))
+                & (F.col("label") < F.col("of"))
+                & may(F.col("x.sketch"), F.col("other"))
+            )
+            met = rest.join(other, near).select("id", "head")
         pairs = met.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

@@ -14,16 +14,16 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.bpe import slices
-from leafmill.llm.common import attach, texts_of
+from leafmill.llm.common import attach, only, texts_of
 from leafmill.llm.linkage import classes
 from leafmill.llm.lm_scoring import mix
 from leafmill.scratch import settle
@@ -32,9 +32,9 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 """A pair of similarity 0.8 is missed by all bands with probability (1 - 0.8^5)^24 = 8e-5."""
-SLICE_CHARS = 6 << 20
+SLICE_CHARS = 2 << 20
 PRIME = np.uint64(0x9E3779B97F4A7C15)
-FEATURES = "e1 long, e2 long, bands array<long>, shingles binary, counts binary"
+FEATURES = "e1 long, e2 long, bands array<long>, sketch array<long>, shingles binary, counts binary"
 
 
 def shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
@@ -43,11 +43,13 @@ def shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray, np.n
     A text of fewer words has one shingle of them all; one without words has none.
     """
     number = defaultdict(count().__next__)
-    parts = [t.encode().split() for t in texts]
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
-    word = np.fromiter(map(number.__getitem__, chain.from_iterable(parts)), np.int64)
-    exact = [xxhash.xxh3_128_intdigest(b" ".join(p)) for p in parts]
-    del parts
+    by_text, exact = [], []
+    for t in texts:  # one text's words at a time: they are many small objects
+        ws = t.encode().split()
+        by_text.append(np.fromiter(map(number.__getitem__, ws), np.int32, len(ws)))
+        exact.append(xxhash.xxh3_128_intdigest(b" ".join(ws)))
+    size = np.fromiter(map(len, by_text), np.int64, len(by_text))
+    word = np.concatenate([*by_text, np.empty(0, np.int32)])
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))[word]
     begin = np.cumsum(size) - size
     runs = np.where(size == 0, 0, np.maximum(size - words + 1, 1))
@@ -103,7 +105,8 @@ def featurizer(words: int, bands: int, rows: int):
             for some in slices(texts, SLICE_CHARS):
                 n = len(texts[some])
                 text, x, times, exact = shingles(texts[some], words)
-                keys = band_keys(prob_minhash(text, x, times.astype(float), n, bands * rows), bands, rows)
+                held = prob_minhash(text, x, times.astype(float), n, bands * rows)
+                keys, four = band_keys(held, bands, rows), sketches(held)
                 edge = np.searchsorted(text, np.arange(n + 1))
                 short = (x >> np.uint64(32)).astype("<u4")
                 times = times.astype("<u4")
@@ -111,11 +114,11 @@ def featurizer(words: int, bands: int, rows: int):
                     a, b = edge[k], edge[k + 1]
                     made.append(
                         (
-                            e1 - (1 << 63), e2 - (1 << 63), keys[k] if b > a else [],
+                            e1 - (1 << 63), e2 - (1 << 63), keys[k] if b > a else [], four[k],
                             short[a:b].tobytes(), times[a:b].tobytes() if (times[a:b] > 1).any() else b"",
                         )
                     )
-            yield pd.DataFrame(made, columns=["e1", "e2", "bands", "shingles", "counts"])
+            yield pd.DataFrame(made, columns=["e1", "e2", "bands", "sketch", "shingles", "counts"])
 
     return run
 
@@ -147,6 +150,38 @@ def similarity(sa: bytes, ca: bytes, sb: bytes, cb: bytes) -> tuple[float, float
     return float(weighted), float(plain)
 
 
+def sketches(held: np.ndarray) -> np.ndarray:
+    """Four bits of each register, sixteen registers to a long."""
+    n, registers = held.shape
+    four = np.zeros((n, -(-registers // 16) * 16), np.uint64)
+    four[:, :registers] = mix(held) & np.uint64(15)
+    shift = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return (four.reshape(n, -1, 16) << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def agree_enough(registers: int, least: float):
+    """A condition on two sketches: no more registers differ than ``least`` may explain.
+
+    At that similarity the number that differ exceeds the bound, five standard deviations above its
+    mean, once in some million pairs; candidates far below it never become rows.
+    """
+    share = (1 - least) * 15 / 16
+    bound = int(registers * share + 5 * (registers * share * (1 - share)) ** 0.5)
+    ones = F.lit(0x1111111111111111)
+
+    def may(a: Column, b: Column) -> Column:
+        total = F.lit(0)
+        for k in range(-(-registers // 16)):
+            x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+            any_ = x
+            for by in (1, 2, 3):
+                any_ = any_.bitwiseOR(F.shiftrightunsigned(x, by))
+            total = total + F.bit_count(any_.bitwiseAND(ones))
+        return total <= bound
+
+    return may
+
+
 def verifier(least: float):
     """Keep pairs whose probability or plain Jaccard reaches ``least``."""
 
@@ -155,10 +190,11 @@ def verifier(least: float):
         return pd.Series([max(similarity(*x)) >= least - 1e-12 for x in zip(sa, ca, sb, cb, strict=True)], dtype=bool)
 
     def verify(pairs: DataFrame, features: DataFrame) -> DataFrame:
-        one = features.select(F.col("rid").alias("a"), F.col("shingles").alias("sa"), F.col("counts").alias("ca"))
-        two = features.select(F.col("rid").alias("b"), F.col("shingles").alias("sb"), F.col("counts").alias("cb"))
-        half = settle(pairs.join(one, "a"), "half")
-        return half.join(two, "b").where(alike("sa", "ca", "sb", "cb")).select("a", "b")
+        one = features.select(F.col("id").alias("a"), F.col("shingles").alias("sa"), F.col("counts").alias("ca"))
+        two = features.select(F.col("id").alias("b"), F.col("shingles").alias("sb"), F.col("counts").alias("cb"))
+        # a text that leads many pairs is a hot key: both joins are ones that Spark can split
+        both = pairs.join(one, "a").join(two, "b")
+        return both.where(alike("sa", "ca", "sb", "cb")).select("a", "b")
 
     return verify
 
@@ -199,10 +235,10 @@ def near_dedup(
     members = settle(alone.select(F.explode("bands").alias("bucket"), F.col("rid").alias("id")), "members")
 
     def contents(ids: DataFrame) -> DataFrame:
-        some = features.join(ids.select(F.col("id").alias("rid")), "rid", "left_semi")
-        return settle(some.select("rid", "shingles", "counts"), "contents")
+        each = features.select(F.col("rid").alias("id"), "sketch", "shingles", "counts")
+        return settle(only(each, ids, "id"), "contents")
 
-    labels = classes(members, verifier(least), contents)
+    labels = classes(members, contents, agree_enough(bands * rows, least), verifier(least))
 
     named = settle(
         groups.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").withColumn(

@@ -92,6 +92,17 @@ def test_registers_agree_by_probability_jaccard():
     assert np.allclose(got, jaccards(Counter(a), Counter(b)))
 
 
+def test_sketches_rule_out_only_the_unlike(spark):
+    rng = np.random.default_rng(6)
+    held = rng.integers(1, 2**63, (2, 120)).astype(np.uint64)
+    alike = held[0].copy()
+    alike[:24] = rng.integers(1, 2**63, 24)  # four fifths agree
+    rows = [(s.tolist(), t.tolist()) for s, t in ((N.sketches(held)[0], x) for x in N.sketches(np.stack([alike, held[1], held[0]])))]
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>")
+    may = N.agree_enough(120, 0.8)
+    assert [r[0] for r in df.select(may(df["a"], df["b"])).collect()] == [True, False, True]
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (4, 5), (5, 6), (10, 20), (30, 20), (7, 8)] + [(100, k) for k in range(101, 160)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
@@ -109,7 +120,8 @@ def test_one_bucket_of_unlike_members_loses_no_link(spark):
         seen.append(pairs.count())
         return pairs.where("abs(a - b) <= 2")
 
-    label = {r["id"]: r["label"] for r in classes(members, verify, lambda ids: ids).collect()}
+    told = classes(members, lambda ids: ids.withColumn("sketch", ids["id"]), lambda a, b: a >= 0, verify)
+    label = {r["id"]: r["label"] for r in told.collect()}
     assert {label[k] for k in range(0, 40, 2)} == {0}
     assert len(set(label.values())) == 1 or {label[k] for k in range(41, 80, 2)} == {41}
     assert sum(seen) <= 40 * 39 / 2
