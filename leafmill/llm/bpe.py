@@ -31,9 +31,9 @@ from tokenizers import Tokenizer
 from leafmill.llm.common import texts_of
 
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+| ")
-CACHE_PIECES = 500_000
+CACHE_PIECES = 400_000
 CACHE_HITS = 4
-BATCH_CHARS = 16 << 20
+BATCH_CHARS = 8 << 20
 
 
 class PairIndex:

@@ -354,7 +354,7 @@ def scanner(docs: DataFrame, model: Model):
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             texts = texts.tolist()
-            rows = chain.from_iterable(find(texts[s], sent.value) for s in slices(texts, 4 << 20))
+            rows = chain.from_iterable(find(texts[s], sent.value) for s in slices(texts, 1 << 20))
             yield pd.DataFrame(list(rows), columns=["n_assign", "n_access", "n_hex", "spans"])
 
     return scan
@@ -382,7 +382,7 @@ def redacted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         for texts in batches:
             texts = texts.tolist()
             out: list[str] = []
-            for s in slices(texts, 4 << 20):
+            for s in slices(texts, 1 << 20):
                 for text, (*_, spans) in zip(texts[s], find(texts[s], sent.value), strict=True):
                     parts, at = [], 0
                     for _, begin, end in spans:
