@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from leafmill.llm.common import texts_of
+from leafmill.llm.common import release, texts_of
 
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+| ")
 CACHE_PIECES = 400_000
 CACHE_HITS = 4
+REST_HITS = 8
 BATCH_CHARS = 8 << 20
 
 
@@ -188,6 +189,11 @@ class Codec:
         self.begin = np.cumsum(self.length) - self.length
         self.hits = np.zeros(len(pieces), np.int64)
 
+    def rest(self) -> None:
+        """At the end of a task: only what is used most stays in the table."""
+        self.keep(np.flatnonzero(self.hits >= REST_HITS))
+        release()
+
     def words(self, piece: str) -> list[str | int]:
         """Byte-level words of one piece; an added token is its id."""
         out: list[str | int] = []
@@ -327,6 +333,7 @@ def encode(
                     )
                     out.append(row + ((ids, text.decode()) if full else ()))
             yield pd.DataFrame(out, columns=names)
+        own.rest()
 
     rows = texts_of(docs, id_col, text_col)
     return rows.select("id", run("text").alias("r")).select("id", "r.*")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -79,6 +82,16 @@ def attach(
     return still.unionByName(rest)
 
 
+def release() -> None:
+    """Give freed memory back to the system: an idle worker stays for a while beside other stages."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 BROADCAST_KEYS = 1 << 20
 """So many keys of a few bytes each may be broadcast."""
 

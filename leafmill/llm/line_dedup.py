@@ -29,22 +29,18 @@ def lines_of(
     return each.where(F.col("line").rlike(WORD)).withColumn("k", F.xxhash64("line"))
 
 
-def parities(line: Column) -> Column:
+def parities(chars: Column) -> Column:
     """Which of 64 classes of characters, and of neighbouring pairs, a line has an odd number of.
 
-    An edit flips two classes of characters and four of pairs at most.
+    An edit flips two classes of characters and four of pairs at most.  ``chars`` is a column of its
+    own: within a lambda an expression would be computed for each element.
     """
-    bits = F.array(*[F.lit((1 << k) - (1 << 64) * (k == 63)).cast("long") for k in range(64)])
-    chars = F.split(line, "")
 
     def odd(items: Column) -> Column:
-        return F.aggregate(
-            items,
-            F.lit(0).cast("long"),
-            lambda a, c: a.bitwiseXOR(F.element_at(bits, F.pmod(F.hash(c), F.lit(64)) + 1)),
-        )
+        bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(c), F.lit(64)))
+        return F.aggregate(items, F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(bit(c)))
 
-    pairs = F.transform(chars, lambda c, i: F.struct(c, F.get(chars, i + 1)))
+    pairs = F.transform(chars, lambda c, i: F.hash(c, F.get(chars, i + 1)))
     return F.struct(odd(chars).alias("chars"), odd(pairs).alias("pairs"))
 
 
@@ -118,7 +114,8 @@ def line_dedup(
         """The lines that may be linked, once each."""
         some = only(lines.select(F.col("k").alias("id"), "line"), ids, "id")
         held = some.groupBy("id").agg(F.first("line").alias("line"))
-        return settle(held.select("id", "line", parities(F.col("line")).alias("sketch")), "texts")
+        cut = held.select("id", "line", F.split("line", "").alias("chars"))
+        return settle(cut.select("id", "line", parities(F.col("chars")).alias("sketch")), "texts")
 
     def few_flips(a: Column, b: Column) -> Column:
         flips = lambda k: F.bit_count(a[k].bitwiseXOR(b[k]))

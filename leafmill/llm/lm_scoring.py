@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.bpe import slices
-from leafmill.llm.common import bucket_of, texts_of
+from leafmill.llm.common import bucket_of, release, texts_of
 from leafmill.scratch import settle
 
 COUNT_CHARS = 8 << 20
@@ -250,6 +250,7 @@ def scorer(filter_of, hot_of, stats: dict[str, float], weight: float):
                     )
                 )
             yield pd.concat(made, ignore_index=True)
+        release()
 
     return run
 

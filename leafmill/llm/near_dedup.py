@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.bpe import slices
-from leafmill.llm.common import attach, only, texts_of
+from leafmill.llm.common import attach, only, release, texts_of
 from leafmill.llm.linkage import classes
 from leafmill.llm.lm_scoring import mix
 from leafmill.scratch import settle
@@ -119,6 +119,7 @@ def featurizer(words: int, bands: int, rows: int):
                         )
                     )
             yield pd.DataFrame(made, columns=["e1", "e2", "bands", "sketch", "shingles", "counts"])
+        release()
 
     return run
 

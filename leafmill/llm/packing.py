@@ -159,6 +159,7 @@ def pieces_of(
                         used[n] += 1
                     out.append(pieces)
             yield pd.Series(out)
+        own.rest()
 
     rows = texts_of(docs, id_col, text_col)
     return rows.select("id", F.explode(cut("text")).alias("p")).select("id", "p.*")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.bpe import ragged, slices
-from leafmill.llm.common import texts_of
+from leafmill.llm.common import release, texts_of
 
 # Patterns and least lengths of the base kinds, in the order in which ties are listed.
 ASSIGN = re.compile(
@@ -356,6 +356,7 @@ def scanner(docs: DataFrame, model: Model):
             texts = texts.tolist()
             rows = chain.from_iterable(find(texts[s], sent.value) for s in slices(texts, 1 << 20))
             yield pd.DataFrame(list(rows), columns=["n_assign", "n_access", "n_hex", "spans"])
+        release()
 
     return scan
 
@@ -391,6 +392,7 @@ def redacted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                         at = max(at, end)
                     out.append("".join([*parts, text[at:]]) if spans else text)
             yield pd.Series(out, dtype=object)
+        release()
 
     text: Column = F.col(f"`{text_col}`")
     masked = clean(F.coalesce(text.cast("string"), F.lit("")))
