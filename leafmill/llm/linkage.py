@@ -3,8 +3,9 @@
 No bucket is ever compared with itself in full.  In each round a bucket has one leader, and only
 members of another class than the leader's are compared with it; links merge classes at once, so a
 bucket whose members are all alike is finished after one round.  After a few rounds, members of one
-bucket that are still in different classes and haven't been compared are compared directly.  That
-loses no link: two members of a bucket end up in one class or have been found different.
+bucket that are still in different classes and haven't been compared are compared directly, also
+where no leader was like any member.  That loses no link: two members of a bucket end up in one class
+or have been found different.
 """
 
 from __future__ import annotations
@@ -127,9 +128,7 @@ def classes(
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = settle(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn == 0 or turn >= rounds:
-                break
+        if pairs.isEmpty():  # this leader is unlike the others, which may yet be alike
             continue
         tested = pairs if tested is None else tested.union(pairs)
         found = settle(verify(pairs, held), "found")

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 
 from leafmill.llm import near_dedup as N
-from leafmill.llm.linkage import classes, components
+from leafmill.llm.linkage import ROUNDS, classes, components
 from leafmill.scratch import settle
 
 
@@ -125,3 +125,13 @@ def test_one_bucket_of_unlike_members_loses_no_link(spark):
     assert {label[k] for k in range(0, 40, 2)} == {0}
     assert len(set(label.values())) == 1 or {label[k] for k in range(41, 80, 2)} == {41}
     assert sum(seen) <= 40 * 39 / 2
+
+
+def test_leaders_unlike_all_others_lose_no_link(spark):
+    ids = spark.range(20)
+    leads = {min(ids.selectExpr(f"xxhash64(id, {turn}) AS h", "id").collect())["id"] for turn in range(ROUNDS)}
+    pair = [k for k in range(20) if k not in leads][:2]
+    members = settle(ids.selectExpr("1L AS bucket", "id"), "members")
+    contents = lambda ids: ids.selectExpr("id", f"if(id IN ({pair[0]}, {pair[1]}), -1L, id) AS sketch")
+    told = classes(members, contents, lambda a, b: a == b, lambda pairs, held: pairs.select("a", "b")).collect()
+    assert {(r["id"], r["label"]) for r in told} == {(k, pair[0]) for k in pair}
