@@ -4,7 +4,9 @@ A text's weighted shingles are its runs of five words with their counts.  Each s
 a Poisson process, at a rate of its weight, to random registers; a register keeps the shingle whose
 point came first, so two texts agree on a register with the probability Jaccard of their shingles.
 A shingle stops as soon as its next point comes later than every register of its text.  Texts that
-agree on a band of registers are candidates; their shingles are then compared exactly.
+agree on a band of registers are candidates; their shingles are then compared exactly.  A text that
+repeats a shingle is also hashed with all weights 1, so that plain Jaccard finds its candidates too; for
+any other text both are the same.
 
 Texts with the same words are one group from the start, however many copies there are, and only one of
 each takes part in banding.
@@ -13,7 +15,7 @@ each takes part in banding.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
@@ -108,13 +110,24 @@ def featurizer(words: int, bands: int, rows: int):
                 held = prob_minhash(text, x, times.astype(float), n, bands * rows)
                 keys, four = band_keys(held, bands, rows), sketches(held)
                 edge = np.searchsorted(text, np.arange(n + 1))
+                again = np.unique(text[times > 1])  # texts that repeat a shingle
+                plain_keys, plain_four = {}, {}
+                if len(again):
+                    mine = np.isin(text, again)
+                    owner = np.searchsorted(again, text[mine])
+                    plain = prob_minhash(owner, x[mine], np.ones(len(owner)), len(again), bands * rows)
+                    plain_keys = dict(zip(again.tolist(), band_keys(plain, bands, rows), strict=True))
+                    plain_four = dict(zip(again.tolist(), sketches(plain), strict=True))
                 short = (x >> np.uint64(32)).astype("<u4")
                 times = times.astype("<u4")
                 for k, (e1, e2) in enumerate(exact):
                     a, b = edge[k], edge[k + 1]
+                    key, sketch = keys[k] if b > a else [], four[k]
+                    if k in plain_keys:
+                        key, sketch = np.union1d(key, plain_keys[k]), np.append(sketch, plain_four[k])
                     made.append(
                         (
-                            e1 - (1 << 63), e2 - (1 << 63), keys[k] if b > a else [], four[k],
+                            e1 - (1 << 63), e2 - (1 << 63), key, sketch,
                             short[a:b].tobytes(), times[a:b].tobytes() if (times[a:b] > 1).any() else b"",
                         )
                     )
@@ -163,6 +176,7 @@ def sketches(held: np.ndarray) -> np.ndarray:
 def agree_enough(registers: int, least: float):
     """A condition on two sketches: no more registers differ than ``least`` may explain.
 
+    A sketch may be followed by a second one, by weights 1: one of both measures has to allow it.
     At that similarity the number that differ exceeds the bound, five standard deviations above its
     mean, once in some million pairs; candidates far below it never become rows.
     """
@@ -170,15 +184,23 @@ def agree_enough(registers: int, least: float):
     bound = int(registers * share + 5 * (registers * share * (1 - share)) ** 0.5)
     ones = F.lit(0x1111111111111111)
 
-    def may(a: Column, b: Column) -> Column:
+    longs = -(-registers // 16)
+
+    def differ(a: Column, b: Column, word: Callable[[Column, int], Column]) -> Column:
         total = F.lit(0)
-        for k in range(-(-registers // 16)):
-            x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+        for k in range(longs):
+            x = word(a, k).bitwiseXOR(word(b, k))
             any_ = x
             for by in (1, 2, 3):
                 any_ = any_.bitwiseOR(F.shiftrightunsigned(x, by))
             total = total + F.bit_count(any_.bitwiseAND(ones))
-        return total <= bound
+        return total
+
+    def may(a: Column, b: Column) -> Column:
+        counted = lambda s, k: F.get(s, F.lit(k))
+        plain = lambda s, k: F.coalesce(F.get(s, F.lit(longs + k)), F.get(s, F.lit(k)))
+        two = F.greatest(F.size(a), F.size(b)) > longs
+        return (differ(a, b, counted) <= bound) | (two & (differ(a, b, plain) <= bound))
 
     return may
 

@@ -135,3 +135,14 @@ def test_leaders_unlike_all_others_lose_no_link(spark):
     contents = lambda ids: ids.selectExpr("id", f"if(id IN ({pair[0]}, {pair[1]}), -1L, id) AS sketch")
     told = classes(members, contents, lambda a, b: a == b, lambda pairs, held: pairs.select("a", "b")).collect()
     assert {(r["id"], r["label"]) for r in told} == {(k, pair[0]) for k in pair}
+
+
+def test_repeated_passages_are_found_by_plain_jaccard(spark):
+    rows = []
+    for f in range(8):
+        words = [f"w{f}x{k}" for k in range(200)]
+        for times in (0, 10, 25):  # the last 20 words so many times more
+            rows.append((len(rows), " ".join(words + words[-20:] * times)))
+        rows.append((len(rows), " ".join(words[:180] + words[:30] * 15)))
+    assert jaccards(grams(rows[0][1]), grams(rows[1][1]))[0] < 0.6
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
