@@ -4,8 +4,10 @@ Words and word pairs of the training texts are counted; a count is quantised to
 scale, and an n-gram of level q is put into the filter as the q items (n-gram, 1) .. (n-gram, q).
 Probing levels upwards until one is missing gives back the level, never a lower one.  The filter is
 split by hash into shards: counts of a shard are merged and set in one task, and no two shards
-share bits.  Its size follows the training tokens up to ``max_bits``, so what is broadcast is bounded;
-beyond that all n-grams still go in and only false hits become more frequent.
+share bits.  Its size follows the training tokens at any size.  What is broadcast is bounded: beyond
+``max_bits`` the shards are dealt to segments, each text sends the hashes of its distinct n-grams to
+their segments, one segment at a time is broadcast and probed, and the levels are joined back to the
+text.  Scores are those of the whole filter.
 
 The exact word counts of the base score never meet in one place.  Words of the most frequent levels,
 at most ``HOT_WORDS``, are broadcast; of the others each text sends one row per distinct word to a
@@ -22,12 +24,12 @@ from math import log10
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm.bpe import slices
-from leafmill.llm.common import bucket_of, release, texts_of
-from leafmill.scratch import settle
+from leafmill.llm.common import bucket_of, numbered, release, texts_of
+from leafmill.scratch import scratch, settle
 
 COUNT_CHARS = 8 << 20
 SCORE_CHARS = 2 << 20
@@ -138,18 +140,24 @@ def shard_bits(bits: int):
     return run
 
 
+def middle(level: np.ndarray) -> np.ndarray:
+    """The middle of the count range of each level; 0 for level 0."""
+    return np.where(level > 0, (3.0 * 2.0**level / 2 - 1) / 2, 0.0)
+
+
 class Filter:
-    """The whole filter, as it is broadcast."""
+    """The filter as it is broadcast: of its ``shards``, as many as ``held`` has, from ``first`` on."""
 
-    def __init__(self, held: np.ndarray, shards: int):
-        self.held, self.shards = held, shards
+    def __init__(self, held: np.ndarray, shards: int, bits: int, first: int = 0):
+        self.held, self.shards, self.bits, self.first = held, shards, bits // shards, first
 
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        """The middle of the count range of each n-gram's level; 0 if it isn't in the filter."""
-        bits = len(self.held) * 8 // self.shards
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        """The level of each n-gram; 0 if it isn't in the filter."""
+        bits = self.bits
         base = np.zeros(len(h), np.int64)
         if self.shards > 1:
-            base = (h >> np.uint64(64 - (self.shards - 1).bit_length())).astype(np.int64) * (bits // 8)
+            shard = (h >> np.uint64(64 - (self.shards - 1).bit_length())).astype(np.int64)
+            base = (shard - self.first) * (bits // 8)
         level = np.zeros(len(h), np.int64)
         alive, q = np.arange(len(h)), 0
         while len(alive) and q < 63:
@@ -161,27 +169,114 @@ class Filter:
                 there &= (byte >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
             alive = alive[there]
             level[alive] = q
-        return np.where(level > 0, (3.0 * 2.0**level / 2 - 1) / 2, 0.0)
+        return level
 
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        """The middle of the count range of each n-gram's level; 0 if it isn't in the filter."""
+        return middle(self.levels(h))
 
-def build_filter(train: DataFrame, tokens: int, max_bits: int) -> Filter:
-    """The filter of all words and pairs of ``train``, about four bits for each token."""
+
+class Layout:
+    """How large the filter of so many tokens is, about four bits for each, and how it is cut."""
+
+    def __init__(self, tokens: int, max_bits: int, partitions: int):
+        self.bits = LEAST_BITS
+        while self.bits < 4 * tokens:
+            self.bits *= 2
+        self.segments = 1
+        while self.bits // self.segments > max(max_bits, 512):
+            self.segments *= 2
+        self.shards = self.segments
+        while self.shards < max(4 * partitions, tokens >> 22) and self.bits // self.shards > 512:
+            self.shards *= 2
+        self.each = self.shards // self.segments
+
+
+def layout(spark: SparkSession, tokens: int, max_bits: int) -> Layout:
+    return Layout(tokens, max_bits, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def segment_filters(train: DataFrame, at: Layout) -> Iterator[Filter]:
+    """The filter of all words and pairs of ``train``, one segment after the other."""
     spark = train.sparkSession
-    bits = LEAST_BITS
-    while bits < min(4 * tokens, max_bits):
-        bits *= 2
-    shards = 1
-    while shards < max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), tokens >> 22) and bits // shards > 512:
-        shards *= 2
     rows = train.select("text").mapInPandas(
-        gram_counts(shards), "shard long, hashes binary, counts binary"
+        gram_counts(at.shards), "shard long, hashes binary, counts binary"
     )
-    made = rows.groupBy("shard").applyInPandas(shard_bits(bits // shards), "shard long, bits binary")
-    held = np.zeros(bits // 8, np.uint8)
-    width = bits // 8 // shards
-    for row in settle(made, "filter").toLocalIterator():
-        held[row["shard"] * width :][:width] = np.frombuffer(row["bits"], np.uint8)
-    return Filter(held, shards)
+    made = rows.groupBy("shard").applyInPandas(shard_bits(at.bits // at.shards), "shard long, bits binary")
+    path = scratch(spark, "filter")
+    made.withColumn("seg", F.expr(f"shard div {at.each}")).write.partitionBy("seg").parquet(path)
+    table = spark.read.schema("shard long, bits binary, seg long").parquet(path)
+    width = at.bits // 8 // at.shards
+    for seg in range(at.segments):
+        held = np.zeros(width * at.each, np.uint8)
+        for row in table.where(F.col("seg") == seg).toLocalIterator():
+            held[(row["shard"] - seg * at.each) * width :][:width] = np.frombuffer(row["bits"], np.uint8)
+        yield Filter(held, at.shards, at.bits, seg * at.each)
+
+
+def build_filter(train: DataFrame, tokens: int, max_bits: int) -> Filter:
+    """The whole filter, which has to fit into ``max_bits``."""
+    at = layout(train.sparkSession, tokens, max_bits)
+    if at.segments > 1:
+        raise ValueError("the filter has several segments")
+    return next(segment_filters(train, at))
+
+
+def distinct_grams(cur: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of a text's words and pairs, in order, and the place of each among them."""
+    return np.unique(np.concatenate([cur, pair]), return_inverse=True)
+
+
+def gram_hashes(segments: int):
+    """Rows (rid, seg, hashes): the distinct n-grams of each text, by segment."""
+    shift = np.uint64(64 - (segments - 1).bit_length())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in batches:
+            texts, rids = df["text"].tolist(), df["rid"].to_numpy()
+            for some in slices(texts, SCORE_CHARS):
+                t = Tokens(texts[some])
+                cur, _, pair = t.grams()
+                out = []
+                for rid, a, b in zip(rids[some].tolist(), t.ends - t.size, t.ends, strict=True):
+                    h, _ = distinct_grams(cur[a:b], pair[a:b])
+                    seg = (h >> shift).astype(np.int64)
+                    first = np.flatnonzero(np.diff(seg, prepend=-1))
+                    for i, j in zip(first, np.append(first[1:], len(h)), strict=True):
+                        out.append((rid, int(seg[i]), h[i:j].tobytes()))
+                yield pd.DataFrame(out, columns=["rid", "seg", "hashes"])
+
+    return run
+
+
+def prober(sent):
+    @F.pandas_udf("binary")
+    def probe(hashes: pd.Series) -> pd.Series:
+        ends = np.cumsum([len(x) // 8 for x in hashes])
+        level = sent.value.levels(np.frombuffer(b"".join(hashes), np.uint64)).astype(np.uint8)
+        return pd.Series([x.tobytes() for x in np.split(level, ends[:-1])], dtype=object)
+
+    return probe
+
+
+def probed_levels(rows: DataFrame, train: DataFrame, at: Layout) -> DataFrame:
+    """(rid, levels): of each text's distinct n-grams in order, a byte each, segment by segment."""
+    spark = rows.sparkSession
+    path = scratch(spark, "grams")
+    rows.select("rid", "text").mapInPandas(gram_hashes(at.segments), "rid long, seg long, hashes binary").write.partitionBy(
+        "seg"
+    ).parquet(path)
+    table = spark.read.schema("rid long, hashes binary, seg long").parquet(path)
+    every = None
+    for seg, bloom in enumerate(segment_filters(train, at)):
+        sent = spark.sparkContext.broadcast(bloom)
+        some = table.where(F.col("seg") == seg).select("rid", F.lit(seg).alias("seg"), prober(sent)("hashes").alias("levels"))
+        part = settle(some, "levels")
+        sent.destroy()
+        every = part if every is None else every.union(part)
+    parts = F.sort_array(F.collect_list(F.struct("seg", "levels")))
+    whole = F.aggregate(parts["levels"], F.lit(b""), lambda a, x: F.concat(a, x))
+    return every.groupBy("rid").agg(whole.alias("levels"))
 
 
 def hot_words(counts: DataFrame, most: int) -> np.ndarray:
@@ -199,16 +294,31 @@ def hot_words(counts: DataFrame, most: int) -> np.ndarray:
     return held[np.argsort(held[:, 0].view(np.uint64), kind="stable")]
 
 
+def told_counts(
+    t: Tokens, cur: np.ndarray, pair: np.ndarray, levels: list[bytes]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of each token and pair from the levels of each text's distinct n-grams."""
+    single, both = np.empty(len(cur)), np.empty(len(cur))
+    for a, b, told in zip(t.ends - t.size, t.ends, levels, strict=True):
+        _, at = distinct_grams(cur[a:b], pair[a:b])
+        n = middle(np.frombuffer(told, np.uint8).astype(np.int64))[at]
+        single[a:b], both[a:b] = n[: b - a], n[b - a :]
+    return single, both
+
+
 def scorer(filter_of, hot_of, stats: dict[str, float], weight: float):
-    """Per text: its model score, the base score of its hot words, and its other words."""
+    """Per text: its model score, the base score of its hot words, and its other words.
+
+    Levels of n-grams come from the whole filter or, without one, from a second column.
+    """
     total = stats["tokens"] + FLAT * (stats["words"] + 1)
 
-    @F.pandas_udf(SCORED)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bloom, hot = filter_of.value, hot_of.value
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        bloom, hot = filter_of and filter_of.value, hot_of.value
         keys = hot[:, 0].view(np.uint64) if len(hot) else np.empty(0, np.uint64)
-        for batch in batches:
+        for batch, *more in batches:
             texts, made = batch.tolist(), []
+            levels = more[0].tolist() if more else []
             for some in slices(texts, SCORE_CHARS):
                 t = Tokens(texts[some])
                 at = np.minimum(np.searchsorted(keys, t.h1), max(len(keys) - 1, 0))
@@ -223,10 +333,13 @@ def scorer(filter_of, hot_of, stats: dict[str, float], weight: float):
                 base = np.add.reduceat(base[t.word], t.ends - t.size)
 
                 cur, before, pair = t.grams()
-                single = bloom.counts(mix(t.h1))[t.word]
+                if bloom:
+                    single, both = bloom.counts(mix(t.h1))[t.word], bloom.counts(pair)
+                else:
+                    single, both = told_counts(t, cur, pair, levels[some])
                 history = np.append(0.0, single[:-1])
                 history[t.ends - t.size] = stats["texts"]
-                both = np.minimum(bloom.counts(pair), history)
+                both = np.minimum(both, history)
                 p = (both + weight * (single + FLAT) / total) / (history + weight)
                 score = np.add.reduceat(np.log10(np.minimum(p, 1.0)), t.ends - t.size)
 
@@ -252,6 +365,17 @@ def scorer(filter_of, hot_of, stats: dict[str, float], weight: float):
             yield pd.concat(made, ignore_index=True)
         release()
 
+    if filter_of:
+
+        @F.pandas_udf(SCORED)
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            return score((batch,) for batch in batches)
+    else:
+
+        @F.pandas_udf(SCORED)
+        def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            return score(batches)
+
     return run
 
 
@@ -274,6 +398,7 @@ def lm_scores(
     single words with ``weight``; all counts of the model come from the filter.  Without training
     texts every word is as likely.  Repeated rows count and score as often as they occur; an empty
     table gives no rows; other columns are ignored.  Words are told apart by 128-bit hashes.
+    ``max_bits`` bounds what is broadcast at once, not the filter.
     """
     spark = docs.sparkSession
     rows = texts_of(docs, id_col, text_col).withColumn(
@@ -293,11 +418,18 @@ def lm_scores(
     ends = counts.where((F.col("h1") == e1) & (F.col("h2") == e2)).first()
     stats = {"tokens": whole["tokens"] or 0, "words": whole["words"], "texts": ends["n"] if ends else 0}
     send = spark.sparkContext.broadcast
-    bloom = send(build_filter(train, stats["tokens"], max_bits))
+    at = layout(spark, stats["tokens"], max_bits)
+    if at.segments == 1:
+        bloom, given = send(next(segment_filters(train, at))), ["text"]
+    else:
+        held, row = numbered(docs, "documents")
+        rows = texts_of(held, id_col, text_col, row).withColumn("held_out", bucket_of(F.col("id"), folds) == held_fold)
+        rows = rows.join(probed_levels(rows, train, at), "rid")
+        bloom, given = None, ["text", "levels"]
     known = send(hot_words(counts, hot))
 
     scored = settle(
-        rows.select("rid", "id", "held_out", scorer(bloom, known, stats, weight)("text").alias("s")).select(
+        rows.select("rid", "id", "held_out", scorer(bloom, known, stats, weight)(*given).alias("s")).select(
             "rid", "id", "held_out", "s.*"
         ),
         "scored",

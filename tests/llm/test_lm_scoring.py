@@ -70,3 +70,20 @@ def test_pairs_are_learnt(spark, prose):
     got = {r["id"]: r for r in L.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     held = [r for r in got.values() if r["held_out"]]
     assert held and all(r["score"] > r["base_score"] / 2 for r in held)
+
+
+def test_the_filter_grows_beyond_what_is_broadcast(spark, edge, prose, monkeypatch):
+    monkeypatch.setattr(L, "LEAST_BITS", 1 << 10)
+    rows = [(i, " ".join(f"{w}{prose.rng.integers(0, 40)}" for w in prose(150).split())) for i in range(120)]
+    df = edge.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string")).repartition(4)
+    key = lambda r: (str(r["id"]), r["n_tokens"], r["base_score"])
+    whole = sorted(L.lm_scores(df).collect(), key=key)
+    cut = sorted(check(df, max_bits=1 << 15), key=key)
+    assert [r["id"] for r in whole] == [r["id"] for r in cut]
+    assert all(math.isclose(a["score"], b["score"], rel_tol=1e-9) for a, b in zip(whole, cut, strict=True))
+
+
+def test_bits_a_token_are_the_same_at_every_size():
+    for tokens in (10**7, 10**9, 5 * 10**9, 10**12):
+        at = L.Layout(tokens, 1 << 31, 200)
+        assert 4 <= at.bits / tokens < 8 and at.bits // at.segments <= 1 << 31 and at.each * at.segments == at.shards
