@@ -4,7 +4,7 @@ Tokens of a line are tagged O (outside), B (begin) or I (inside).  A token's sco
 its own shape, of the words around it and of its file; the chain adds a weight for each transition,
 and Viterbi's algorithm finds the best tags of a line.  The model is fitted here, on a bounded sample
 of texts whose labels are the patterns' own values, so it learns what secrets look like and where they
-stand, and finds ones that no pattern names.  Lines on which no tag can gain over O are skipped: the
+stand, and finds ones that no pattern names; the sample is taken among all rows that have one.  Lines on which no tag can gain over O are skipped: the
 bound is exact, so the result is that of the full search.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm.bpe import ragged, slices
 from leafmill.llm.common import release, texts_of
+from leafmill.scratch import settle
 
 # Patterns and least lengths of the base kinds, in the order in which ties are listed.
 ASSIGN = re.compile(
@@ -32,8 +33,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "crf")
 TOKEN = re.compile(r"[\w+/.-]+|[^\w\s]")
+ANY = (
+    r"""(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,})"""
+    r"|AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}"
+)
+"""For Spark: whether a text has any base kind."""
 SAMPLE = 4000
 PLAIN = 300
+EXCERPT = 8 << 10
+FIT_CHARS = 2 << 20
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 RESULT = f"n_assign long, n_access long, n_hex long, spans {SPANS}"
 O, B, I = range(3)
@@ -337,13 +345,54 @@ def find(texts: list[str], model: Model) -> list[tuple[int, int, int, list[tuple
     return out
 
 
+def excerpt(text: str, most: int = EXCERPT) -> str:
+    """A text of up to ``most`` characters, or that much of it in whole lines, nearest to its values first."""
+    if len(text) <= most:
+        return text
+    lines = text.split("\n")
+    begin = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
+    start = np.array([v for v, _ in value_spans(text)] or [0])
+    hit = np.unique(np.searchsorted(begin, start, side="right") - 1)
+    k = np.arange(len(lines))
+    at = np.searchsorted(hit, k)
+    far = np.minimum(abs(hit[np.maximum(at - 1, 0)] - k), abs(hit[np.minimum(at, len(hit) - 1)] - k))
+    kept, left = [], most
+    for k in np.argsort(far, kind="stable").tolist():
+        if len(lines[k]) >= left:
+            continue
+        kept.append(k)
+        left -= len(lines[k]) + 1
+    if not kept:  # one line is longer than that
+        first = max(int(begin[hit[0]]), int(start[0]) - most // 2)
+        return text[first : first + most].split("\n")[0]
+    return "\n".join(lines[k] for k in sorted(kept))
+
+
 def train(docs: DataFrame, sample: int = SAMPLE, plain: int = PLAIN) -> Model:
-    """Fit on the texts with a pattern, and ``plain`` without, among ``sample`` ids chosen by hash."""
-    ids = docs.select("id").where("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = docs.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id", "text").limit(sample)
-    texts = [r["text"] for r in rows.select("text").collect()]
-    held = [t for t in texts if value_spans(t)]
-    return fit(held + [t for t in texts if not value_spans(t)][:plain])
+    """Fit on texts with a pattern, and ``plain`` without, chosen by hash among all of either sort.
+
+    All rows are searched first, so that rare patterns are learnt from too; then at most ``sample``
+    different texts with a pattern are taken, in ``excerpt``s, up to FIT_CHARS of either sort.
+    """
+
+    @F.pandas_udf("string")
+    def excerpts(texts: pd.Series) -> pd.Series:
+        return pd.Series([excerpt(t) for t in texts], dtype=object)
+
+    known = docs.where("id is not null").select("text", F.xxhash64("id", "text").alias("h"))
+    marks = settle(known.select("h", F.col("text").rlike(ANY).alias("hit")), "marks")
+    some = lambda of, n: marks.where(of).select("h").distinct().orderBy("h").limit(n)
+    chosen = settle(some("hit", sample).union(some("not hit", plain)), "chosen")
+    rows = known.join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("text").alias("text"))
+    texts = [r["text"] for r in rows.select("h", excerpts("text").alias("text")).orderBy("h").collect()]
+    held, others = [], []
+    for sort, want in ((held, True), (others, False)):
+        left = FIT_CHARS
+        for t in texts:
+            if bool(value_spans(t)) == want and len(t) <= left:
+                sort.append(t)
+                left -= len(t)
+    return fit(held + others[:plain])
 
 
 def scanner(docs: DataFrame, model: Model):
@@ -367,7 +416,7 @@ def secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     ``spans`` are (kind, start, end) in code points, end exclusive, by start and then kind; those of
     the model that overlap a pattern's are left out.  A null or empty text has none.  Repeated rows
     are scanned alike; null ids are kept but not learnt from; an empty table gives no rows; other
-    columns are ignored.  Where the sample has no pattern, the model adds nothing.
+    columns are ignored.  Where no text has a pattern, the model adds nothing.
     """
     rows = texts_of(docs, id_col, text_col)
     scan = scanner(docs, train(rows, sample))

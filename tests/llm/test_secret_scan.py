@@ -100,3 +100,22 @@ def test_edges_and_redaction(spark, edge, empty, prose):
     for r in clean.collect():
         assert r["text"] is None or not S.base_spans(r["text"])
     assert sum(r["text"] is None for r in clean.collect()) == 1
+
+
+def test_rare_patterns_are_all_learnt_from(spark, prose, monkeypatch):
+    hits = [t for t in texts(prose, 40) if S.value_spans(t)]
+    hits[0] = "\n".join([prose(3000).replace("\n", " ")] * 3 + [hits[0]] + [prose(3000)])
+    rows = list(enumerate(hits + [prose(15) for _ in range(3000)])) + [(5, hits[5])] * 50
+    seen = []
+    monkeypatch.setattr(S, "fit", lambda some: seen.extend(some))
+    S.train(spark.createDataFrame(rows, "id long, text string").repartition(4), sample=40)
+    learnt = [t for t in seen if S.value_spans(t)]
+    assert len(learnt) == len(hits) and len(seen) == len(hits) + S.PLAIN
+    assert max(map(len, seen)) <= S.EXCERPT and set(hits[1:]) <= set(learnt)
+
+
+def test_excerpts_keep_whole_lines_around_values():
+    text = "\n".join([*(f"line {k}" for k in range(2000)), f"key {KEY}", *(f"line {k}" for k in range(2000))])
+    some = S.excerpt(text, 500)
+    assert len(some) <= 500 and KEY in some and set(some.split("\n")) <= set(text.split("\n"))
+    assert KEY in S.excerpt("x " * 5000 + KEY + " y" * 5000, 500) and S.excerpt("short", 500) == "short"
