@@ -208,7 +208,7 @@ def train(
     docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, vocabulary: int = VOCABULARY,
     z: float = 3.0, prior: float = 50.0, drift: float = 0.1, folds: int = 4, held_fold: int = 2,
 ) -> Model:
-    """Fit on at most ``rows`` labelled texts, chosen by hash, outside the held-out fold.
+    """Fit on at most ``rows`` labelled texts, of as many ids, chosen by hash, outside the held-out fold.
 
     ``docs`` is (id, text), ``labels`` has doc_id and toxic; of several labels of an id the largest
     counts, null labels don't.  At most ``vocabulary`` words are kept, by z value.
@@ -219,9 +219,12 @@ def train(
         .groupBy("id").agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("id"), "id").limit(rows)
     )
-    texts = settle(
-        docs.join(F.broadcast(chosen), "id").select("text", (F.col("toxic") > 0).alias("toxic")), "labelled"
-    )
+    found = docs.join(F.broadcast(chosen), "id").select("id", "text", (F.col("toxic") > 0).alias("toxic"))
+    texts = settle(found.withColumn("h", F.xxhash64("id", "text", F.monotonically_increasing_id())), "labelled")
+    if texts.count() > rows:  # an id may have any number of rows: the bound is on texts too
+        last = texts.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+        texts = texts.where(F.col("h") <= last)
+    texts = texts.select("text", "toxic")
     counts = settle(
         texts.mapInPandas(word_counts, "word string, toxic long, clean long")
         .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),

@@ -85,3 +85,13 @@ def test_extreme_value_law():
     n = rng.integers(50, 500, 4000).astype(float)
     best = (np.log(0.3 * n) + rng.gumbel(size=4000)) / 1.7
     assert 0.25 < T.fit_k(n, best, 1.7) < 0.36
+
+
+def test_the_bound_is_on_texts_of_repeated_ids_too(spark, prose, monkeypatch):
+    docs, labels, _ = table(spark, prose, 60)
+    hot = spark.createDataFrame([(1, prose(30)) for _ in range(300)], "doc_id long, text string")
+    seen = []
+    fitted = T.logistic
+    monkeypatch.setattr(T, "logistic", lambda x, y: seen.append(len(y)) or fitted(x, y))
+    T.train(docs.union(hot).withColumnRenamed("doc_id", "id"), labels, rows=100)
+    assert seen == [100]
