@@ -1,6 +1,7 @@
 """How the driver's tables stand in for documents, figures, statuses and analyses.
 
-Every binding reads a whole table and whole texts.
+Bindings read whole tables and whole texts, except that ``talk_figures`` reads user turns only and
+``analyses`` assistant turns only.
 """
 
 from __future__ import annotations
