@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import bpe
 from leafmill.llm import exact_dedup as exact
+from leafmill.llm import filter_audit as audit
 from leafmill.llm import line_dedup as line
 from leafmill.llm import lm_scoring as lm
 from leafmill.llm import near_dedup as near
 from leafmill.llm import packing
 from leafmill.llm import quality_rules as quality
 from leafmill.llm import secret_scan as secret
+from leafmill.llm import simhash
 from leafmill.llm import toxicity as tox
+from leafmill.llm import vector_codes as codes
 from leafmill.llm import warc
 from leafmill.llm.common import shipped
 from leafmill.scratch import scratch
@@ -95,6 +98,23 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return coded.withColumnRenamed("id", "vec_id").withColumn(
+        "codebooks_sha256", F.lit(codes.books_sha256(books))
+    )
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return simhash.simhash_dedup(docs).withColumnRenamed("id", "doc_id")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return audit.filter_audit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -106,10 +126,112 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_simhash": op12_simhash,
+    "op13_filter_audit": op13_filter_audit,
 }
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 
+
+
+def codes_sql() -> str:
+    """The rounds of op11 one after the other, each over the codebooks of the one before."""
+    rounds = []
+    for k in range(codes.ROUNDS + 1):
+        rounds.append(f"""
+        a{k} AS MATERIALIZED (
+            SELECT p.rn, p.part, min(list_sum(list_transform(list_zip(p.sub, c.sub),
+                lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT * {codes.ENTRIES} + c.entry) AS best
+            FROM p JOIN c{k} c USING (part) GROUP BY ALL
+        )""")
+        if k < codes.ROUNDS:
+            rounds.append(f"""
+        s{k} AS (
+            SELECT part, best % {codes.ENTRIES} AS entry, unnest(sub) AS x, unnest(range(len(sub))) AS place
+            FROM a{k} JOIN p USING (rn, part)
+        ), t{k} AS (
+            SELECT part, entry, place, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM s{k} GROUP BY ALL
+        ), m{k} AS (
+            SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY place) AS sub
+            FROM t{k} GROUP BY ALL
+        ), c{k + 1} AS MATERIALIZED (
+            SELECT part, entry, coalesce(m.sub, c.sub) AS sub FROM c{k} c LEFT JOIN m{k} m USING (part, entry)
+        )""")
+    return f"""
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id) AS rn, vec_id, label,
+                list_transform(embedding, lambda x: floor({codes.SCALE} * x)::BIGINT) AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), p AS MATERIALIZED (
+            SELECT rn, part, q[part * len(q) // {codes.PARTS} + 1 : (part + 1) * len(q) // {codes.PARTS}] AS sub
+            FROM v, range({codes.PARTS}) r(part)
+        ), c0 AS MATERIALIZED (
+            SELECT part, rn - 1 AS entry, sub FROM p WHERE rn <= {codes.ENTRIES}
+        ), {",".join(rounds)},
+        e AS (
+            SELECT rn, list(best % {codes.ENTRIES} ORDER BY part) AS entries,
+                sum(best // {codes.ENTRIES})::BIGINT AS error
+            FROM a{codes.ROUNDS} GROUP BY rn
+        ), b AS (
+            SELECT sha256(string_agg(array_to_string(sub, ','), ',' ORDER BY part, entry)) AS sha
+            FROM c{codes.ROUNDS}
+        )
+        SELECT vec_id,
+            array_to_string(list_transform(entries, lambda x: format('{{:02x}}', x::INT)), '') AS code,
+            error,
+            (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+            (SELECT sha FROM b) AS codebooks_sha256
+        FROM e JOIN v USING (rn)
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op11_vector_codes": codes_sql(),
+    "op13_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+        ), w AS (
+            SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+                min(doc_id) OVER (PARTITION BY t) AS least
+            FROM d
+        ), m AS (
+            SELECT doc_id, part, (len(ws) < 50)::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT
+                + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t))::INT
+                + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * (doc_id > least)::INT AS mask
+            FROM w
+        ), l AS (
+            SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+        ), c AS MATERIALIZED (
+            SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+            FROM m LEFT JOIN l USING (doc_id) GROUP BY ALL
+        ), f AS (
+            SELECT chr(65 + i::INT) AS x FROM range(5) r(i)
+        ), o AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), s AS (
+            SELECT filter_order, k::INT AS step, 1 << (ascii(filter_order[k::INT]) - 65) AS own,
+                coalesce(list_sum(list_transform(range(1, k), lambda i: 1 << (ascii(filter_order[i::INT]) - 65))), 0)::INT
+                    AS earlier
+            FROM o, range(1, 6) r(k)
+        ), r AS (
+            SELECT part, filter_order, step, own,
+                sum(n) FILTER (mask & (earlier | own) = 0) AS kept,
+                sum(n) FILTER (mask & earlier = 0 AND mask & own != 0) AS removed,
+                sum(n) FILTER (mask & earlier != 0 AND mask & own != 0) AS redundant,
+                sum(n) FILTER (mask = own) AS unique_fails,
+                sum(good) FILTER (mask & earlier = 0 AND mask & own != 0) AS good_lost,
+                sum(toxic) FILTER (mask & earlier = 0 AND mask & own != 0) AS toxic_lost
+            FROM c, s GROUP BY ALL
+        )
+        SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+            coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+            coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+            (sum(coalesce(removed, 0)) OVER (PARTITION BY part, own))::BIGINT AS shapley
+        FROM r
+    """,
     "op8_warc": r"""
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
