@@ -1,8 +1,8 @@
 """Ordered keyword rules kept as data.
 
 A rule hits when any of its needles is a substring of the lower-cased text; the
-first rule that hits decides.  Short lists become one CASE chain; long ones a
-literal array searched in order.  Both are narrow expressions.
+first rule that hits decides.  A list becomes one CASE chain; a table of rules, of
+any size, is searched by ``operators/rule_index.py``.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ FIGURE_RULES: tuple[Rule, ...] = (
 )
 NO_RULE = Rule((), "other", 0.4, "no rule matched")
 
-# Description rules, in order.
+# Description rules, in order.  A needle that holds another one of its rule is left out: it hits nothing more.
 DESCRIPTION_RULES: tuple[Rule, ...] = (
     Rule(("logo",), "logo"),
     Rule(("icon", "symbol", "arrow"), "icon"),
@@ -69,33 +69,6 @@ TAGS: tuple[str, ...] = (
     "power",
 )
 
-CASE_CHAIN_LIMIT = 64
-MAX_TABLE_RULES = 5000
-
-
-def rules_from_table(table: DataFrame, max_rules: int = MAX_TABLE_RULES) -> tuple[Rule, ...]:
-    """Read a rule table (priority, needles, label, confidence, rationale, caption_only).
-
-    Rules are configuration: this is the one place that brings rows to the driver,
-    and it refuses a table of more than ``max_rules`` rows.
-    """
-    rows = table.orderBy("priority").limit(max_rules + 1).collect()
-    if len(rows) > max_rules:
-        raise ValueError(f"more than {max_rules} rules")
-    if len({r["priority"] for r in rows}) != len(rows):
-        raise ValueError("rule priorities must be unique")
-    return tuple(
-        Rule(
-            tuple(n.lower() for n in r["needles"]),
-            r["label"],
-            float(r["confidence"]),
-            r["rationale"],
-            bool(r["caption_only"]),
-        )
-        for r in rows
-    )
-
-
 def hits(text: Column, rule: Rule) -> Column:
     """Does a rule hit text that is already lower-cased?"""
     found = F.lit(False)
@@ -134,7 +107,6 @@ def classify(
     default: Rule = NO_RULE,
     *,
     out: str = "classification",
-    as_array: bool | None = None,
 ) -> DataFrame:
     """Add the first-match class of a caption and its surrounding text: (type, confidence, rationale).
 
@@ -150,46 +122,11 @@ def classify(
     )
     low_caption, low_both = F.col("__low_caption"), F.col("__low_both")
     ordered = ordered_rules(rules)
-    if as_array is None:
-        as_array = len(ordered) > CASE_CHAIN_LIMIT
-    if as_array:
-        found = _array_search(low_caption, low_both, ordered, default)
-    else:
-        tests = [
-            (hits(low_caption if r.caption_only else low_both, r), verdict(r)) for r in ordered
-        ]
-        found = case_chain(tests, verdict(default))
+    tests = [(hits(low_caption if r.caption_only else low_both, r), verdict(r)) for r in ordered]
+    found = case_chain(tests, verdict(default))
     return lowered.select(*df.columns, found.alias(out))
 
 
-def _array_search(
-    low_caption: Column, low_both: Column, ordered: Sequence[Rule], default: Rule
-) -> Column:
-    table = F.array(
-        *[
-            F.struct(
-                F.array(*[F.lit(n) for n in r.needles]).alias("needles"),
-                F.lit(r.caption_only).alias("caption_only"),
-                verdict(r).alias("verdict"),
-            )
-            for r in ordered
-        ]
-    )
-    first = F.get(
-        F.filter(
-            table,
-            lambda r: F.exists(
-                r["needles"],
-                lambda n: F.contains(
-                    F.when(r["caption_only"], low_caption).otherwise(low_both), n
-                ),
-            ),
-        ),
-        F.lit(0),
-    )
-    return F.coalesce(first["verdict"], verdict(default))
-
-
 def infer_label(
     df: DataFrame,
     text: Column | str,

@@ -16,21 +16,24 @@ from pyspark.sql import functions as F
 from leafmill.functions import rules as R
 from leafmill.functions.ordered import segment_of
 from leafmill.functions.rules import Rule
+from leafmill.operators import rule_index
+from leafmill.scratch import settle
 
 # Fixed value: characters of each block that count as context.
 CONTEXT_CHARS = 200
 PART_WIDTH = 4096
 
 
-def page_context(blocks: DataFrame, *, width: int = PART_WIDTH) -> DataFrame:
-    """(doc_id, page, part, context): block starts joined by spaces.
+def page_context(
+    blocks: DataFrame, *, width: int = PART_WIDTH, chars: int | None = CONTEXT_CHARS
+) -> DataFrame:
+    """(doc_id, page, part, context): block starts of ``chars`` characters (None: whole) joined by spaces.
 
     ``part`` is the block position divided by ``width``; a page whose blocks lie
     within one such stretch has a single part, which is its whole context.
     """
-    ordered = F.sort_array(
-        F.collect_list(F.struct("ord", F.left("text", F.lit(CONTEXT_CHARS)).alias("start")))
-    )
+    start = F.col("text") if chars is None else F.left("text", F.lit(chars))
+    ordered = F.sort_array(F.collect_list(F.struct("ord", start.alias("start"))))
     return (
         blocks.withColumn("part", segment_of("ord", width))
         .groupBy("doc_id", "page", "part")
@@ -38,17 +41,12 @@ def page_context(blocks: DataFrame, *, width: int = PART_WIDTH) -> DataFrame:
     )
 
 
-def page_hits(
-    blocks: DataFrame, rules: Sequence[Rule] = R.FIGURE_RULES, *, width: int = PART_WIDTH
-) -> DataFrame:
-    """(doc_id, page, hits, head): which context rules hit the page, and how its context begins.
+def page_parts(blocks: DataFrame, reach: int, *, width: int, chars: int | None) -> DataFrame:
+    """(doc_id, page, part, whole): page parts, each with the first ``reach`` characters that follow it.
 
-    ``hits`` has one boolean per context rule.  Parts of a page overlap by the
-    longest needle, so a needle that straddles two parts is found as well.
+    So a needle of up to ``reach`` characters that straddles two parts is found in one of them.
     """
-    context_rules = [r for r in R.ordered_rules(rules) if not r.caption_only]
-    reach = max([len(n) for r in context_rules for n in r.needles], default=1)
-    parts = page_context(blocks, width=width)
+    parts = page_context(blocks, width=width, chars=chars)
     following = (
         Window.partitionBy("doc_id", "page").orderBy("part").rowsBetween(1, reach)
     )
@@ -63,18 +61,31 @@ def page_hits(
             F.lit(reach),
         ).alias("tail"),
     )
-    searched = parts.join(overlap, ["doc_id", "page", "part"]).withColumn(
-        "low", F.lower(F.concat("context", "tail"))
+    return parts.join(overlap, ["doc_id", "page", "part"]).select(
+        "doc_id", "page", "part", F.concat("context", "tail").alias("whole")
     )
+
+
+def page_hits(
+    blocks: DataFrame,
+    rules: Sequence[Rule] = R.FIGURE_RULES,
+    *,
+    width: int = PART_WIDTH,
+    chars: int | None = CONTEXT_CHARS,
+) -> DataFrame:
+    """(doc_id, page, hits, head): which context rules hit the page, and how its context begins.
+
+    ``hits`` has one boolean per context rule.
+    """
+    context_rules = [r for r in R.ordered_rules(rules) if not r.caption_only]
+    reach = max([len(n) for r in context_rules for n in r.needles], default=1)
+    searched = page_parts(blocks, reach, width=width, chars=chars).withColumn("low", F.lower("whole"))
     found = [
         F.bool_or(R.hits(F.col("low"), r)).alias(f"__r{i}") for i, r in enumerate(context_rules)
     ]
     return (
         searched.groupBy("doc_id", "page")
-        .agg(
-            *found,
-            F.min_by(F.left(F.concat("context", "tail"), F.lit(reach)), "part").alias("head"),
-        )
+        .agg(*found, F.min_by(F.left("whole", F.lit(reach)), "part").alias("head"))
         .select(
             "doc_id",
             "page",
@@ -93,9 +104,10 @@ def classify_figures(
     default: Rule = R.NO_RULE,
     *,
     width: int = PART_WIDTH,
+    chars: int | None = CONTEXT_CHARS,
 ) -> DataFrame:
     """Add ``classification`` from the caption and the text of the same page."""
-    pages = page_hits(blocks, rules, width=width)
+    pages = page_hits(blocks, rules, width=width, chars=chars)
     caption = F.coalesce("caption", F.lit(""))
     # Needles can also straddle the end of the caption and the start of the context.
     seam = F.concat(caption, F.lit(" "), F.coalesce("head", F.lit("")))
@@ -118,3 +130,38 @@ def _first_match(rules: Sequence[Rule], default: Rule) -> Column:
             tests.append((on_page | R.hits(F.col("__low_seam"), rule), R.verdict(rule)))
             n += 1
     return R.case_chain(tests, R.verdict(default))
+
+
+def classify_figures_by_table(
+    figures: DataFrame,
+    blocks: DataFrame,
+    rules: DataFrame,
+    default: Rule = R.NO_RULE,
+    *,
+    width: int = PART_WIDTH,
+    chars: int | None = CONTEXT_CHARS,
+) -> DataFrame:
+    """The same with a table of rules of any size.
+
+    Only the first rule counts, so a page is reduced to the first context rule that hits it before it
+    meets its figures; captions, and where they meet the context, are searched on their own.
+    """
+    needle = F.max(F.char_length("needle"))
+    reach = max(rules.select(F.explode("needles").alias("needle")).agg(needle).first()[0] or 1, 1)
+    parts = settle(page_parts(blocks, reach, width=width, chars=chars), "parts")
+    part, page, key = ["doc_id", "page", "part"], ["doc_id", "page"], ["doc_id", "figure_id"]
+    context_rules = rules.where("not coalesce(caption_only, false)")
+    hit = rule_index.first_rules(parts, part, context_rules, F.lit(""), F.col("whole"))
+    on_page = hit.groupBy(*page).agg(F.min("rank").alias("__page_rank"))
+    heads = parts.groupBy(*page).agg(F.min_by(F.left("whole", F.lit(reach)), "part").alias("__head"))
+    caption = F.coalesce("caption", F.lit(""))
+    seam = F.concat(caption, F.lit(" "), F.coalesce("__head", F.lit("")))
+    seamed = settle(
+        figures.join(heads, page, "left").select(*key, caption.alias("caption"), seam.alias("seam")), "seams"
+    )
+    own = rule_index.first_rules(seamed, key, rules, F.col("caption"), F.col("seam"))
+    ranked = figures.join(on_page, page, "left").join(own.withColumnRenamed("rank", "__own_rank"), key, "left")
+    rank = F.least("__own_rank", "__page_rank")
+    return ranked.select(
+        *[figures[c] for c in figures.columns], rule_index.verdict_of(rank, default).alias("classification")
+    )

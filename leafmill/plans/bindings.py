@@ -36,6 +36,27 @@ CORPUS_DESCRIPTION_RULES = (
 CORPUS_TAGS = ("tion", "the", "eau", "sch", "ing", "ción")
 
 
+LEAST_NEEDLE = 5
+
+
+def many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule for each longer word of each benchmark item, every fifth for captions only."""
+    word = F.lower("word")
+    return (
+        table(spark, sf_dir, "benchmark")
+        .select("item_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+        .where(F.char_length("word") >= LEAST_NEEDLE)
+        .select(
+            (F.col("item_id") * 100_000 + F.col("pos")).cast("bigint").alias("priority"),
+            F.array(word).alias("needles"),
+            F.format_string("item_%d", "item_id").alias("label"),
+            F.lit(0.5).alias("confidence"),
+            word.alias("rationale"),
+            (F.col("pos") % 5 == 0).alias("caption_only"),
+        )
+    )
+
+
 TEXT_TABLES = ("documents", "pages", "conversations")
 
 

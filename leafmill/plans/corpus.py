@@ -41,7 +41,8 @@ class Options:
     model: str = ""
     max_tokens: int = chunking.MAX_TOKENS
     root: str = "out"
-    figure_rules: Sequence[Rule] = R.FIGURE_RULES
+    figure_rules: Sequence[Rule] | DataFrame = R.FIGURE_RULES  # or a rule table, see operators/rule_index.py
+    context_chars: int | None = context.CONTEXT_CHARS
     description_rules: Sequence[Rule] = R.DESCRIPTION_RULES
     tags: Sequence[str] = R.TAGS
 
@@ -129,7 +130,8 @@ def enrich(
     figures = normalize.normalize_figures(pictures, dense=True, vocabulary=options.tags)
     figures = filters.limit_per_document(figures, options.max_figures)
     figures = filters.filter_pages(figures, options.pages)
-    ruled = context.classify_figures(figures, blocks, options.figure_rules)
+    by = context.classify_figures_by_table if isinstance(options.figure_rules, DataFrame) else context.classify_figures
+    ruled = by(figures, blocks, options.figure_rules, chars=options.context_chars)
     based = triage.baseline_description(ruled)
     if responses is None:
         responses = figures.select("doc_id", "figure_id", F.lit("").alias("response"))

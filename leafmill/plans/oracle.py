@@ -588,6 +588,34 @@ SELECT doc_id, ord, {figure_rules('caption', 'hay', 'type')} AS type,
 add("classify_by_rules", BY_RULES)
 add("classify_by_rule_table", BY_RULES)
 
+MANY_RULES = """
+words AS (
+  SELECT item_id, unnest(string_split(text, ' ')) AS word,
+    generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM benchmark),
+rules AS (
+  SELECT item_id * 100000 + pos AS priority, lower(word) AS needle, pos % 5 = 0 AS caption_only, item_id
+  FROM words WHERE length(word) >= 5),
+m AS (
+  SELECT doc_id, ord, min((NOT caption_only)::BIGINT * 1000000000000 + priority) AS rank
+  FROM h JOIN rules ON contains(CASE WHEN caption_only THEN c ELSE t END, needle) GROUP BY ALL),
+best AS (
+  SELECT h.*, coalesce('item_' || item_id, 'other') AS type,
+    CASE WHEN item_id IS NULL THEN 0.4 ELSE 0.5 END::DOUBLE AS confidence,
+    coalesce(needle, 'no rule matched') AS rationale
+  FROM h LEFT JOIN m USING (doc_id, ord) LEFT JOIN rules ON priority = rank % 1000000000000)"""
+add(
+    "classify_by_many_rules",
+    f"""WITH {FIGURES}, h AS (
+  SELECT doc_id, ord, lower(caption) AS c, lower(caption || ' ' || coalesce(reply, '')) AS t FROM figures),
+{MANY_RULES} SELECT doc_id, ord, type, confidence, rationale FROM best""",
+)
+add(
+    "classify_figures_by_table",
+    f"""WITH {FIGURES}, {RULED}, h AS (
+  SELECT doc_id, ord, figure_id, lower(coalesce(caption, '')) AS c, lower(hay) AS t FROM r0),
+{MANY_RULES} SELECT doc_id, figure_id, type, rationale FROM best""",
+)
+
 add(
     "classify_default_rules",
     """WITH h AS (SELECT doc_id, lower(source) AS c, lower(source || ' ' || text) AS t FROM documents),

@@ -22,6 +22,7 @@ from leafmill.operators import (
     normalize,
     report,
     rollup,
+    rule_index,
     triage,
 )
 from leafmill.plans import bindings as B
@@ -442,23 +443,40 @@ def _verdicts(df: DataFrame) -> DataFrame:
 @query
 def classify_by_rules(spark, sf_dir):
     """Each line as a caption with the next one as context, rules as a CASE chain."""
+    f = B.raw_figures(spark, sf_dir)
+    return _verdicts(R.classify(f, F.col("caption"), F.col("reply"), B.CORPUS_FIGURE_RULES))
+
+
+def _by_table(spark: SparkSession, sf_dir: str, rules: DataFrame) -> DataFrame:
     f = B.raw_figures(spark, sf_dir)
     return _verdicts(
-        R.classify(
-            f, F.col("caption"), F.col("reply"), B.CORPUS_FIGURE_RULES, as_array=False
-        )
+        rule_index.classify_by_rule_table(f, rules, ["doc_id", "ord"], F.col("caption"), F.col("reply"))
     )
 
 
 @query
 def classify_by_rule_table(spark, sf_dir):
-    """The same with the rules as a searched array."""
-    f = B.raw_figures(spark, sf_dir)
-    return _verdicts(
-        R.classify(
-            f, F.col("caption"), F.col("reply"), B.CORPUS_FIGURE_RULES, as_array=True
-        )
-    )
+    """The same with the rules as a table."""
+    rows = rule_index.rule_rows(B.CORPUS_FIGURE_RULES)
+    return _by_table(spark, sf_dir, spark.createDataFrame(rows, rule_index.SCHEMA))
+
+
+@query
+def classify_by_many_rules(spark, sf_dir):
+    """A rule table that grows with the tables: the names of parts, and what benchmark items begin with."""
+    return _by_table(spark, sf_dir, B.many_rules(spark, sf_dir))
+
+
+@query
+def classify_figures_by_table(spark, sf_dir):
+    """The same rules over captions and the text of the same page."""
+    raw = B.raw_figures(spark, sf_dir).drop("reply")
+    figures = normalize.normalize_figures(raw, dense=True, vocabulary=B.CORPUS_TAGS)
+    ruled = context.classify_figures_by_table(figures, B.raw_blocks(spark, sf_dir), B.many_rules(spark, sf_dir))
+    return ruled.select(
+        "doc_id", "figure_id", F.col("classification.type").alias("type"),
+        F.col("classification.rationale").alias("rationale"),
+    )
 
 
 @query

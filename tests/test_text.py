@@ -84,36 +84,17 @@ CAPTIONS = [
 ]
 
 
-@pytest.mark.parametrize("as_array", [False, True])
-def test_figure_rules(spark, as_array):
+def test_figure_rules(spark):
     df = spark.createDataFrame(
         [(i, a, b) for i, (a, b, *_) in enumerate(CAPTIONS)], "i int, caption string, ctx string"
     )
-    got = R.classify(df, F.col("caption"), F.col("ctx"), as_array=as_array).orderBy("i").collect()
+    got = R.classify(df, F.col("caption"), F.col("ctx")).orderBy("i").collect()
     assert [(r.classification.type, r.classification.confidence) for r in got] == [
         (c[2], c[3]) for c in CAPTIONS
     ]
     assert got[4].classification.rationale == "caption mentions state"
 
 
-def test_long_rule_lists_use_the_array(spark):
-    rules = [R.Rule((f"needle{i:03d}x",), f"c{i}", i / 1000) for i in range(150)]
-    df = spark.createDataFrame([("has needle149x", None), ("needle020x needle010x", None)], "caption string, ctx string")
-    got = R.classify(df, F.col("caption"), F.col("ctx"), rules).collect()
-    assert [r.classification.type for r in got] == ["c149", "c10"]
-
-
-def test_rule_table(spark):
-    rows = [(2, ["plot"], "plot", 0.5, "p", False), (1, ["Table"], "table", 0.6, "t", True)]
-    ddl = "priority int, needles array<string>, label string, confidence double, rationale string, caption_only boolean"
-    rules = R.rules_from_table(spark.createDataFrame(rows, ddl))
-    assert [r.label for r in rules] == ["table", "plot"] and rules[0].needles == ("table",)
-    with pytest.raises(ValueError):
-        R.rules_from_table(spark.createDataFrame(rows, ddl), max_rules=1)
-    with pytest.raises(ValueError):
-        R.rules_from_table(spark.createDataFrame([rows[0], rows[0]], ddl))
-
-
 def test_description_rules(spark):
     cases = {
         "the company logo": "logo",
