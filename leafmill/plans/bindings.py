@@ -70,9 +70,8 @@ def lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def blocks_of(docs: DataFrame) -> DataFrame:
     """One block per line of each document; five blocks to a page."""
-    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.posexplode(lines(F.col("text"))).alias("pos", "text")).select(
         "doc_id",
         (F.col("pos") + 1).cast("bigint").alias("ord"),
@@ -81,21 +80,26 @@ def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks_of(table(spark, sf_dir, "documents"))
+
+
+def items_of(docs: DataFrame) -> DataFrame:
     """Blocks with heading levels: short lines head the longer ones that follow."""
     n = F.length("text")
-    return raw_blocks(spark, sf_dir).withColumn(
-        "level", F.when(n <= 40, 1).when(n <= 60, 2).when(n <= 80, 3)
-    )
+    return blocks_of(docs).withColumn("level", F.when(n <= 40, 1).when(n <= 60, 2).when(n <= 80, 3))
 
 
-def raw_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return items_of(table(spark, sf_dir, "documents"))
+
+
+def raw_figures_of(docs: DataFrame) -> DataFrame:
     """One figure per document line: the line is its caption, the next line its response.
 
     Sizes come from the lengths of the line; a line without closing punctuation
     has no image.
     """
-    docs = table(spark, sf_dir, "documents")
     all_lines = lines(F.col("text"))
     replies = F.slice(all_lines, F.lit(2), F.size(all_lines))
     pairs = F.arrays_zip(all_lines.alias("caption"), replies.alias("reply"))
@@ -114,13 +118,25 @@ def raw_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_figures_of(table(spark, sf_dir, "documents"))
+
+
+def with_ids(raw: DataFrame) -> DataFrame:
     """Document-line figures with ids; positions are dense, so numbering needs no shuffle."""
-    return raw_figures(spark, sf_dir).withColumn("figure_id", T.numbered_id("fig", "ord"))
+    return raw.withColumn("figure_id", T.numbered_id("fig", "ord"))
+
+
+def figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_ids(raw_figures(spark, sf_dir))
+
+
+def responses_of(raw: DataFrame) -> DataFrame:
+    return with_ids(raw).select("doc_id", "figure_id", F.col("reply").alias("response"))
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return figures(spark, sf_dir).select("doc_id", "figure_id", F.col("reply").alias("response"))
+    return responses_of(raw_figures(spark, sf_dir))
 
 
 def existing_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,8 +189,11 @@ def talk_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_tables_of(table(spark, sf_dir, "documents"))
+
+
+def raw_tables_of(docs: DataFrame) -> DataFrame:
     """One ragged table per document: first line as header, further lines as rows, words as cells."""
-    docs = table(spark, sf_dir, "documents")
     grid = F.transform(lines(F.col("text")), lambda x: F.split(x, " "))
     return docs.select(
         "doc_id",

@@ -57,6 +57,12 @@ class Corpus:
     figures: DataFrame | None
     statuses: DataFrame | None
     options: Options
+    pictures: DataFrame | None = None
+
+    def orphans(self) -> DataFrame:
+        """Images that no figure refers to any more, after the limit and the page filter."""
+        artifacts = self.pictures.select("doc_id", F.col("image_path").alias("path"))
+        return lifecycle.orphans(artifacts, self.figures)
 
     def stats(self) -> DataFrame:
         return rollup.doc_stats(self.docs, self.blocks, self.tables, self.figures)
@@ -148,15 +154,16 @@ def enrich(
         "statuses",
     )
     folded = settle(lifecycle.fold_statuses(based, statuses), "figures")
-    return Corpus(docs, blocks, tables, folded, statuses, options)
+    return Corpus(docs, blocks, tables, folded, statuses, options, pictures)
 
 
-def write(corpus: Corpus, path: str, run: int) -> None:
+def write(corpus: Corpus, path: str, run: int, gone: DataFrame | None = None) -> None:
     """Store every artifact of a run; a rerun of a document replaces what it had.
 
-    What covers the whole run, not a document, lies under ``run=N`` of its own.
+    ``gone`` lists documents (doc_id) that no longer exist: all they had is cleared.  What covers the whole run, not a document, lies under ``run=N`` of its own.
     """
-    docs = corpus.docs.select("doc_id")
+    own = corpus.docs.select("doc_id")
+    docs = own if gone is None else own.unionByName(gone.select("doc_id"))
 
     def store(name: str, rows: DataFrame) -> None:
         write_run(rows, docs, f"{path}/{name}", run)
@@ -177,6 +184,7 @@ def write(corpus: Corpus, path: str, run: int) -> None:
     if corpus.figures is not None:
         store("figures", corpus.figures)
         store("statuses", corpus.statuses)
+        store("orphans", corpus.orphans())
         store("figure_markdown", report.figure_markdown(corpus.figures))
         entries = settle(corpus.report(), "entries")
         store("report", entries)
@@ -186,5 +194,5 @@ def write(corpus: Corpus, path: str, run: int) -> None:
         store("rollup_markdown", report.rollup_markdown(corpus.statuses, corpus.docs))
         store_whole("global_report", report.global_report_markdown(entries))
         store_whole("global_rollup", corpus.rollup_global())
-    kinds = index.select("doc_id", "kind").unionByName(docs.withColumn("kind", F.lit("index")))
+    kinds = index.select("doc_id", "kind").unionByName(own.withColumn("kind", F.lit("index")))
     store("failures", rollup.smoke_checks(corpus.docs, corpus.stats(), kinds))

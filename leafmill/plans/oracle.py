@@ -1106,6 +1106,25 @@ add(
     f"""WITH {APPLIED} SELECT doc_id, figure_id, status, confidence, local_llm_description, version
 FROM applied""",
 )
+add(
+    "status_store",
+    f"""WITH {LOG}, l AS ({LATEST.strip()})
+SELECT doc_id, figure_id, status, local_llm_classification FROM l
+WHERE (doc_id, figure_id) NOT IN (
+  SELECT (doc_id, figure_id) FROM log WHERE local_llm_classification = 'error')""",
+)
+add(
+    "source_changes",
+    """WITH now AS (
+  SELECT doc_id, source || '/' || doc_id || '.txt' AS path, sha256(text) AS sha FROM documents),
+before AS (
+  SELECT path, CASE WHEN toxic = 1 THEN reverse(sha) ELSE sha END AS old, toxic = 0 AS stamped
+  FROM now LEFT JOIN labels USING (doc_id) WHERE quality IS NULL OR quality = 1
+  UNION ALL SELECT 'gone/' || item_id || '.txt', sha256(text), NULL FROM benchmark)
+SELECT path, CASE WHEN old IS NULL THEN 'new' WHEN sha IS NULL THEN 'deleted' WHEN sha != old THEN 'changed'
+  WHEN stamped THEN 'touched' ELSE 'same' END AS change, sha AS sha256, old AS sha256_before
+FROM now FULL JOIN before USING (path)""",
+)
 
 # --- a whole run ---------------------------------------------------------------
 
@@ -1158,6 +1177,7 @@ add(
     f"""WITH {whole_run(ENTRIES)} SELECT doc_id, figure_id, page::INTEGER AS page, type, class_confidence,
   action AS recommended_manual_action, reason FROM entries""",
 )
+add("stream_corpus", ORACLE["corpus_report"])
 add(
     "corpus_rollup",
     f"WITH {whole_run(STATUSES)} SELECT doc_id, {counts()} FROM statuses GROUP BY doc_id",

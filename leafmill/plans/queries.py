@@ -29,6 +29,7 @@ from leafmill.plans import bindings as B
 from leafmill.plans import corpus
 from leafmill.plans.session import configure
 from leafmill.scratch import scratch, settle
+from leafmill.sinks import files as sink
 from leafmill.sinks import runs
 from leafmill.sources import files, markup
 from leafmill.streaming import jobs
@@ -579,10 +580,10 @@ def describe_then_triage(spark, sf_dir):
     """The model hook with a deterministic stand-in for the model."""
 
     def load_model():
-        def reply(prompt: str, path: str) -> str:
-            if not path:
+        def reply(prompt: str, paths: list[str]) -> list[str]:
+            if not all(paths):
                 raise ValueError("no image")
-            return f"  A board seen at {path} in this picture  "
+            return [f"  A board seen at {path} in this picture  " for path in paths]
 
         return reply
 
@@ -881,20 +882,20 @@ def assemble_documents(spark, sf_dir):
     )
 
 
-def corpus_run(spark: SparkSession, sf_dir: str) -> str:
-    """The whole path over all documents, stored; returns the folder of the run."""
-    docs = documents(spark, sf_dir).select(
-        "doc_id",
-        F.concat_ws("/", "source", F.format_string("%d.txt", "doc_id")).alias("path"),
-        F.ceil(F.size(B.lines(F.col("text"))) / F.lit(B.BLOCKS_PER_PAGE)).alias("page_count"),
-    )
-    done = corpus.enrich(
-        docs,
-        B.items(spark, sf_dir),
-        B.raw_tables(spark, sf_dir),
-        B.raw_figures(spark, sf_dir).drop("reply"),
-        B.responses(spark, sf_dir),
-        B.existing_statuses(spark, sf_dir),
+def enriched(docs: DataFrame, existing: DataFrame) -> corpus.Corpus:
+    """The whole path over some documents."""
+    raw = B.raw_figures_of(docs)
+    return corpus.enrich(
+        docs.select(
+            "doc_id",
+            F.concat_ws("/", "source", F.format_string("%d.txt", "doc_id")).alias("path"),
+            F.ceil(F.size(B.lines(F.col("text"))) / F.lit(B.BLOCKS_PER_PAGE)).alias("page_count"),
+        ),
+        B.items_of(docs),
+        B.raw_tables_of(docs),
+        raw.drop("reply"),
+        B.responses_of(raw),
+        existing,
         options=corpus.Options(
             model=B.MODEL,
             max_tokens=CHUNK,
@@ -904,8 +905,12 @@ def corpus_run(spark: SparkSession, sf_dir: str) -> str:
         ),
         now=F.lit(B.RUN_STAMP),
     )
+
+
+def corpus_run(spark: SparkSession, sf_dir: str) -> str:
+    """The whole path over all documents, stored; returns the folder of the run."""
     path = scratch(spark, "corpus")
-    corpus.write(done, path, 1)
+    corpus.write(enriched(documents(spark, sf_dir), B.existing_statuses(spark, sf_dir)), path, 1)
     return path
 
 
@@ -931,7 +936,11 @@ def corpus_stats(spark, sf_dir):
 
 @query
 def corpus_report(spark, sf_dir):
-    stored = runs.read_runs(spark, f"{corpus_run(spark, sf_dir)}/report")
+    return _stored_report(spark, corpus_run(spark, sf_dir))
+
+
+def _stored_report(spark: SparkSession, path: str) -> DataFrame:
+    stored = runs.read_runs(spark, f"{path}/report")
     return stored.select(
         "doc_id",
         "figure_id",
@@ -1160,17 +1169,20 @@ def analysis_quality(spark, sf_dir):
 # --- streaming ---------------------------------------------------------------
 
 
+def _stream_of(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """A table that may be one file or a folder of parts, as a path for a stream, and its schema."""
+    return f"{sf_dir}/{name}.parquet*", B.table(spark, sf_dir, name).schema
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = B.table(spark, sf_dir, "events").schema
-    return jobs.read_stream(spark, sf_dir, schema, glob="events.parquet")
+    return jobs.read_stream(spark, *_stream_of(spark, sf_dir, "events"))
 
 
 @query
 def stream_classify(spark, sf_dir):
     """Documents arriving as a stream, classified by the batch expression."""
     configure(spark)
-    schema = documents(spark, sf_dir).schema
-    stream = jobs.read_stream(spark, sf_dir, schema, glob="documents.parquet")
+    stream = jobs.read_stream(spark, *_stream_of(spark, sf_dir, "documents"))
     home = scratch(spark, "stream-classify")
     jobs.run_to_table(
         _verdicts(
@@ -1187,6 +1199,17 @@ def stream_classify(spark, sf_dir):
     return spark.read.parquet(f"{home}/out")
 
 
+@query
+def stream_corpus(spark, sf_dir):
+    """The whole path over documents that arrive: the stored report."""
+    configure(spark)
+    home = scratch(spark, "stream-corpus")
+    stream = jobs.read_stream(spark, *_stream_of(spark, sf_dir, "documents"))
+    existing = B.existing_statuses(spark, sf_dir)
+    jobs.corpus_stream(stream, f"{home}/checkpoint", f"{home}/out", lambda docs: enriched(docs, existing))
+    return _stored_report(spark, f"{home}/out")
+
+
 @query
 def stream_latest_status(spark, sf_dir):
     configure(spark)
@@ -1254,17 +1277,50 @@ def rerun_documents(spark, sf_dir):
 
 @query
 def status_files_round_trip(spark, sf_dir):
-    """Statuses written as JSON records and read back."""
-    from leafmill.schemas import STATUS
-    from leafmill.sinks.files import write_statuses
-
+    """Statuses stored, those with an external result upserted, and all read back."""
     configure(spark)
     home = scratch(spark, "statuses")
-    write_statuses(applied(spark, sf_dir), home)
-    back = spark.read.schema(
-        STATUS.replace("VARIANT", "STRING").replace("doc_id STRING", "doc_id BIGINT")
-    ).json(home)
-    result = F.variant_get(F.parse_json("external_llm_result"), "$.version", "int")
-    return back.select(
+    sink.write_statuses(statuses(spark, sf_dir), home, 1)
+    sink.store_analyses(_results(spark, sf_dir), home, 2)
+    result = F.variant_get("external_llm_result", "$.version", "int")
+    return files.read_statuses(spark, home).select(
         "doc_id", "figure_id", "status", "confidence", "local_llm_description", result.alias("version")
     )
+
+
+@query
+def status_store(spark, sf_dir):
+    """The status log put into the store week by week, some figures removed, runs merged, and read back."""
+    configure(spark)
+    home = scratch(spark, "status-store")
+    log = settle(B.status_log(spark, sf_dir).withColumn("week", F.date_trunc("week", "processed_at")), "log")
+    weeks = [r.week for r in log.select("week").distinct().orderBy("week").collect()]
+    blank = triage.new_status(log.select("doc_id", "figure_id", "image_path")).limit(0)
+    for n, week in enumerate(weeks):
+        newest = lifecycle.latest(log.where(F.col("week") == week), ["doc_id", "figure_id"], ["processed_at", "event_id"])
+        records = blank.unionByName(newest.drop("event_id", "week"), allowMissingColumns=True)
+        sink.write_statuses(records, home, n)
+        runs.merge_runs(spark, home, 2)
+    gone = log.where("local_llm_classification = 'error'").select("doc_id", "figure_id")
+    sink.remove_statuses(gone, home, len(weeks))
+    return files.read_statuses(spark, home).select("doc_id", "figure_id", "status", "local_llm_classification")
+
+
+@query
+def source_changes(spark, sf_dir):
+    """Documents against an earlier state: labelled ones differ by label, benchmark items are gone."""
+    now = manifest(spark, sf_dir)
+    labels = B.table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    before = (
+        now.join(labels, "doc_id", "left")
+        .where("quality is null or quality = 1")  # documents of low quality are new
+        .withColumn("sha256", F.when(F.col("toxic") == 1, F.reverse("sha256")).otherwise(F.col("sha256")))
+        .withColumn("mtime", F.when(F.col("toxic") == 0, F.lit(B.RUN_STAMP).cast("timestamp")))
+        .select("path", "sha256", "mtime")
+    )
+    gone = B.table(spark, sf_dir, "benchmark").select(
+        F.format_string("gone/%d.txt", "item_id").alias("path"),
+        F.sha2("text", 256).alias("sha256"),
+        F.lit(None).cast("timestamp").alias("mtime"),
+    )
+    return files.source_changes(now, before.unionByName(gone))

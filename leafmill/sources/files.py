@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from leafmill import schemas as S
 from leafmill.functions import text as T
+from leafmill.sinks import runs
 
 # Fixed value: the default file pattern; only it falls back to a recursive search.
 DEFAULT_GLOB = "*.pdf"
@@ -55,6 +56,25 @@ def source_manifest(files: DataFrame, content: str = "content", path: str = "pat
     )
 
 
+def source_changes(now: DataFrame, before: DataFrame) -> DataFrame:
+    """(path, change, sha256, sha256_before) of every source in either manifest.
+
+    ``change`` is new, changed, deleted, touched (another time, the same bytes) or same.
+    """
+    old = before.select(
+        "path", F.col("sha256").alias("sha256_before"), F.col("mtime").alias("__mtime"), F.lit(True).alias("__old")
+    )
+    both = now.withColumn("__new", F.lit(True)).join(old, "path", "full_outer")
+    change = (
+        F.when(F.col("__old").isNull(), "new")
+        .when(F.col("__new").isNull(), "deleted")
+        .when(~F.col("sha256").eqNullSafe(F.col("sha256_before")), "changed")
+        .when(~F.col("mtime").eqNullSafe(F.col("__mtime")), "touched")
+        .otherwise("same")
+    )
+    return both.select("path", change.alias("change"), "sha256", "sha256_before")
+
+
 def epoch_seconds(mtime: Column) -> Column:
     """Modification time as floating-point seconds."""
     return F.unix_micros(mtime) / F.lit(1e6)
@@ -75,11 +95,16 @@ def doc_of_path(path: Column, levels_up: int) -> Column:
 
 
 def read_statuses(spark: SparkSession, path: str, glob: str = "fig_*.json") -> DataFrame:
-    """Status files ``<doc>/processing/fig_*.json``; absent fields become null.
+    """Status records at ``path``: those of a store (see ``sinks.files.write_statuses``), else files.
+
+    Files are ``<doc>/processing/fig_*.json``; absent fields become null.  A tree of files is taken
+    over by writing what is read from it into a store.
 
     An early variant stores the external model under ``external_llm_meta``; it
     fills the model column when that is empty.
     """
+    if runs.has_runs(spark, path):
+        return runs.read_runs(spark, path).select(*S.STATUS_COLUMNS)
     raw = (
         spark.read.schema(S.STATUS_FILE)
         .option("multiLine", True)

@@ -1,3 +1,4 @@
+import datetime
 import hashlib
 import json
 import struct
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from leafmill import schemas as S
 from leafmill.operators import export
 from leafmill.operators import normalize as N
+from leafmill.operators import triage
 from leafmill.sinks import files as sink
 from leafmill.sinks import runs
 from leafmill.sources import files, markup
@@ -147,11 +149,92 @@ def test_runs(spark, tmp_path):
     assert state() == [("a", 9), ("b", 3)]
     runs.write_run(spark.createDataFrame([], ddl), spark.createDataFrame([("b",)], "doc_id string"), path, 3)
     assert state() == [("a", 9)]
-    # A run that died before naming its documents is not seen.
-    spark.createDataFrame([("a", 0)], ddl).write.parquet(f"{path}/rows/run={4:019d}")
+    # A run that died before its commit record is not seen.
+    spark.createDataFrame([("a", 0)], ddl).write.parquet(f"{path}/rows/level=0/run={4:019d}")
+    spark.createDataFrame([("a",)], "doc_id string").write.parquet(f"{path}/docs/level=0/run={4:019d}")
     assert state() == [("a", 9)]
-    runs.compact(spark, path, str(tmp_path / "c"))
-    assert [tuple(r) for r in runs.read_runs(spark, str(tmp_path / "c")).collect()] == [("a", 9)]
+    runs.compact(spark, path)
+    assert state() == [("a", 9)] and runs.live_runs(spark, path) == [(1, 3)]
+    # What the merged run holds already is not written again.
+    runs.write_run(spark.createDataFrame([("b", 7)], ddl), None, path, 3)
+    assert state() == [("a", 9)]
+    runs.write_run(spark.createDataFrame([("b", 8)], ddl), None, path, 5)
+    assert state() == [("a", 9), ("b", 8)]
+    with pytest.raises(ValueError):
+        runs.read_runs(spark, path, ("v",))
+    with pytest.raises(ValueError):
+        runs.read_runs(spark, str(tmp_path / "nothing"))
+
+
+def test_merged_runs(spark, tmp_path):
+    """Readers read live files only, keys that lost their rows stay cleared, and a dead merge is done again."""
+    path, ddl = str(tmp_path / "t"), "doc_id int, v int"
+    want = {}
+    for n in range(30):
+        rows = [(n % 7, n), (n % 5, n)] if n % 7 != n % 5 else [(n % 7, n)]
+        gone = [(20 + n % 3,), (n % 4,)] if n % 6 == 0 else []
+        rows = [r for r in rows if (r[0],) not in gone]
+        docs = spark.createDataFrame([(d,) for d, _ in rows] + gone, "doc_id int")
+        runs.write_run(spark.createDataFrame(rows, ddl), docs, path, n)
+        want.update(dict(rows))
+        for (d,) in gone:
+            want.pop(d, None)
+        if n == 10:  # died after its rows
+            spark.createDataFrame([(0, -1)], ddl).write.mode("overwrite").parquet(f"{path}/rows/level=1/run={n + 1:019d}")
+        runs.merge_runs(spark, path, 3)
+        assert {r.doc_id: r.v for r in runs.read_runs(spark, path).collect()} == want
+    live = runs.live_runs(spark, path)
+    assert live == [(3, 26), (1, 29)]
+    places = {f"/level={level}/run={run:019d}/" for level, run in live}
+    files_read = runs.read_runs(spark, path).inputFiles()
+    assert files_read and all(any(p in f for p in places) for f in files_read)
+    assert {r.doc_id for r in runs.covered(spark, path).collect()} >= {20}
+    runs.vacuum(spark, path)
+    assert runs.committed(spark, path) == sorted(live)
+    assert {p.name for p in (tmp_path / "t" / "rows").glob("*/*")} == {f"run={run:019d}" for _, run in live}
+    assert {r.doc_id: r.v for r in runs.read_runs(spark, path).collect()} == want
+
+
+def status(spark, rows):
+    base = spark.createDataFrame(rows, "doc_id string, figure_id string, status string, confidence double")
+    blank = triage.new_status(base.select("doc_id", "figure_id", F.lit("p").alias("image_path")))
+    return blank.drop("status", "confidence").join(base, ["doc_id", "figure_id"])
+
+
+def test_status_store(spark, tmp_path):
+    path = str(tmp_path / "store")
+    state = lambda: {(r.doc_id, r.figure_id): r.status for r in files.read_statuses(spark, path).collect()}
+    sink.write_statuses(status(spark, [("a", "f1", "needs_external", 0.3), ("a", "f2", "x", 0.3), ("b", "f1", "y", 0.3)]), path, 1)
+    sink.write_statuses(status(spark, [("a", "f1", "z", 0.3)]), path, 2)
+    assert state() == {("a", "f1"): "z", ("a", "f2"): "x", ("b", "f1"): "y"}  # neighbours keep theirs
+    results = spark.createDataFrame([("a", "f2", '{"k": 1}', "p", "m"), ("q", "f9", "{}", "p", "m")], "doc_id string, figure_id string, r string, provider string, model string")
+    sink.store_analyses(results.select("doc_id", "figure_id", F.parse_json("r").alias("result"), "provider", "model"), path, 3)
+    assert state() == {("a", "f1"): "z", ("a", "f2"): "resolved_external", ("b", "f1"): "y"}
+    row = files.read_statuses(spark, path).where("figure_id = 'f2'").select(F.variant_get("external_llm_result", "$.k", "int").alias("k"), "needs_external", "external_llm_model").first()
+    assert tuple(row) == (1, False, "m")
+    sink.remove_statuses(spark.createDataFrame([("b", "f1")], "doc_id string, figure_id string"), path, 4)
+    runs.merge_runs(spark, path, 2)
+    assert state() == {("a", "f1"): "z", ("a", "f2"): "resolved_external"}
+    assert tuple(files.read_statuses(spark, path).columns) == S.STATUS_COLUMNS
+
+
+def test_status_files_are_taken_over(spark, tmp_path):
+    home = tmp_path / "in" / "doc" / "processing"
+    home.mkdir(parents=True)
+    record = {"figure_id": "fig_0001", "status": "needs_external", "external_llm_result": {"a": [1]}}
+    (home / "fig_0001.json").write_text(json.dumps(record), encoding="utf-8")
+    sink.write_statuses(files.read_statuses(spark, str(tmp_path / "in")), str(tmp_path / "store"), 0)
+    r = files.read_statuses(spark, str(tmp_path / "store")).select("doc_id", "figure_id", F.variant_get("external_llm_result", "$.a[0]", "int")).first()
+    assert tuple(r) == ("doc", "fig_0001", 1)
+
+
+def test_source_changes(spark):
+    ddl = "path string, sha256 string, size bigint, mtime timestamp"
+    t = datetime.datetime(2024, 1, 1)
+    before = spark.createDataFrame([("a", "1", 1, t), ("b", "2", 1, t), ("c", "3", 1, t), ("d", "4", 1, t), ("e", None, 1, None)], ddl)
+    now = spark.createDataFrame([("a", "1", 1, t), ("b", "9", 1, t), ("c", "3", 1, t.replace(year=2025)), ("n", "5", 1, t), ("e", None, 1, None)], ddl)
+    got = {r.path: r.change for r in files.source_changes(now, before).collect()}
+    assert got == {"a": "same", "b": "changed", "c": "touched", "d": "deleted", "n": "new", "e": "same"}
 
 
 def test_lines_keep_their_order(spark, tmp_path):

@@ -10,7 +10,7 @@ from leafmill.plans.queries import QUERIES
 TABLES = "documents pages conversations events labels benchmark lineitem orders part".split()
 # Operators whose answer is one row or one group by nature, or whose rows come from a model hook.
 PYTHON_OK = {"describe_then_triage"}
-ACTIONS = {n for n in QUERIES if n.startswith(("stream_", "chunk_"))} | {"rerun_documents", "status_files_round_trip"}
+ACTIONS = {n for n in QUERIES if n.startswith(("stream_", "chunk_"))} | {"rerun_documents", "status_files_round_trip", "status_store"}
 SINGLE_OK = {"global_report_markdown"}
 
 

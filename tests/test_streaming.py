@@ -45,6 +45,22 @@ def test_latest_status_over_batches(spark, tmp_path):
     assert got == want == [("d", "f1", "z"), ("d", "f2", "x"), ("e", "f1", "n")]
 
 
+def test_readers_see_few_of_many_batches(spark, tmp_path):
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    key, by = ("doc_id", "figure_id"), ["processed_at", "event_id"]
+    for n in range(13):
+        put(spark, src, [("d", f"f{n % 4}", f"s{n}", f"2024-01-{n + 1:02d} 00:00:00", n)])
+    stream = jobs.read_stream(spark, src, spark.read.parquet(src).schema, files_per_batch=1)
+    jobs.upsert_to_runs(jobs.latest_stream(stream, key, by), out, ck, key, fan=3)
+    assert len(runs.committed(spark, out)) == 13 + 4 + 1
+    live = runs.live_runs(spark, out)
+    assert live == [(2, 8), (1, 11), (0, 12)]
+    state = runs.read_runs(spark, out, key)
+    assert sorted((r.figure_id, r.status) for r in state.collect()) == [("f0", "s12"), ("f1", "s9"), ("f2", "s10"), ("f3", "s11")]
+    read = state.inputFiles()
+    assert read and all(any(f"/level={a}/run={b:019d}/" in f for a, b in live) for f in read)
+
+
 def test_late_rows_are_dropped_and_open_windows_wait(spark, tmp_path):
     src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
 

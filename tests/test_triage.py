@@ -205,19 +205,39 @@ def test_smoke_checks(spark):
 
 def test_describe_figures(spark):
     def load():
-        calls = []
-
-        def reply(prompt, image):
-            calls.append(image)
-            if image == "bad":
+        def reply(prompt, images):
+            if "bad" in images:
                 raise RuntimeError("model")
-            return f" {prompt[:8]} {image} {len(calls)} "
+            return [f" {prompt[:8]} {image} " if image else None for image in images]
 
         return reply
 
-    df = spark.createDataFrame([("d", "a", "ok"), ("d", "b", "bad"), ("d", "c", "ok")], "doc_id string, figure_id string, image_path string").coalesce(1)
-    got = [r.response for r in describe.describe_figures(df, load).orderBy("figure_id").collect()]
-    assert got == ["Describe ok 1", "", "Describe ok 3"]
+    df = spark.createDataFrame([("d", "a", "ok"), ("d", "b", "bad"), ("d", "c", "ok"), ("d", "e", None)], "doc_id string, figure_id string, image_path string").coalesce(1)
+    got = describe.describe_figures(df, load).orderBy("figure_id").collect()
+    assert [(r.response, r.error) for r in got] == [("Describe ok", None), ("", "RuntimeError: model"), ("Describe ok", None), ("", None)]
+    assert [r.response for r in describe.describe_figures(df, load, batch_size=1).orderBy("figure_id").collect()] == [r.response for r in got]
+    assert describe.describe_figures(df.limit(0), load).columns == [*df.columns, "response", "error"]
+
+
+@pytest.mark.parametrize("n, bad", [(1, set()), (64, set()), (64, {13}), (64, {0, 63}), (5, {0, 1, 2, 3, 4})])
+def test_failed_calls_are_halved(n, bad):
+    calls = []
+
+    def reply(prompt, images):
+        calls.append(len(images))
+        if bad & set(images):
+            raise RuntimeError("model")
+        return [str(i) for i in images]
+
+    told = describe.answers(reply, "", list(range(n)))
+    assert told == [("", "RuntimeError: model") if i in bad else (str(i), None) for i in range(n)]
+    assert calls[0] == n and len(calls) <= 1 + 2 * len(bad) * (n - 1).bit_length()
+
+
+def test_wrong_number_of_responses():
+    told = describe.answers(lambda prompt, images: ["x"] if len(images) == 2 else ["y"] * len(images), "", [1, 2])
+    assert told == [("y", None), ("y", None)]
+    assert describe.answers(lambda prompt, images: [], "", [1]) == [("", "ValueError: 0 responses to 1 images")]
 
 
 def test_reports(spark):
