@@ -38,6 +38,14 @@ def texts_of(
     )
 
 
+def unused(name: str, columns: Sequence[str], *suffixes: str) -> str:
+    """``name`` with as many underscores as keep it, and it with any suffix, apart from ``columns``."""
+    taken = {c.lower() for c in columns}
+    while any((name + s).lower() in taken for s in ("", *suffixes)):
+        name += "_"
+    return name
+
+
 def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``docs`` with a row number in a new column, and that column's name.
 
@@ -45,9 +53,7 @@ def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     it, which no rerun changes and which costs no copy; those of any other plan are written once with
     a number.  The driver sees the names of the files.
     """
-    rid_col = "rid"
-    while rid_col in docs.columns:
-        rid_col += "_"
+    rid_col = unused("rid", docs.columns, "_file", "_row", "_no")
     file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     try:
         located = docs.select("*", file.alias(f"{rid_col}_file"), place.alias(f"{rid_col}_row"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import WORD, attach, numbered, only, texts_of
+from leafmill.llm.common import WORD, attach, numbered, only, texts_of, unused
 from leafmill.llm.linkage import classes
 from leafmill.scratch import settle
 
@@ -154,10 +154,11 @@ def without_repeats(docs: DataFrame, *, text_col: str = "text", **how: object) -
     """``docs`` with the lines that aren't kept taken out of its texts."""
     held, row = numbered(docs, "documents")
     told = line_dedup(held, text_col=text_col, rid_col=row, **how)
-    drop = told.where(~F.col("kept")).groupBy(F.col("rid").alias(row)).agg(F.collect_set("line_no").alias("_drop"))
+    gone = unused("_drop", held.columns)
+    drop = told.where(~F.col("kept")).groupBy(F.col("rid").alias(row)).agg(F.collect_set("line_no").alias(gone))
     text = F.col(f"`{text_col}`")
-    rest = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("_drop", i))
+    rest = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(gone, i))
     cut = held.join(drop, row, "left").withColumn(
-        text_col, F.when(F.col("_drop").isNull(), text).otherwise(F.array_join(rest, "\n"))
+        text_col, F.when(F.col(gone).isNull(), text).otherwise(F.array_join(rest, "\n"))
     )
-    return cut.drop("_drop", row)
+    return cut.drop(gone, row)

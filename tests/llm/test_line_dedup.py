@@ -77,6 +77,9 @@ def test_texts_without_repeats(spark):
     )
     got = {r["doc_id"]: r["text"] for r in D.without_repeats(df).collect()}
     assert got == {1: f"{long}\nx\n\ny", 2: "z", 3: None}
+    clashing = df.withColumn("_drop", df["doc_id"]).withColumn("rid_file", df["doc_id"])
+    told = D.without_repeats(clashing)
+    assert told.columns == clashing.columns and {r["doc_id"]: r["text"] for r in told.collect()} == got
 
 
 def test_stays_in_spark_functions(spark):

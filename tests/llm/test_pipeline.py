@@ -53,5 +53,5 @@ def test_rows_with_nulls_and_clashing_columns(spark, edge, sf):
 
 
 def test_queries_are_registered():
-    assert {q.partition("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
-    assert len(queries.QUERIES) == 10 and set(queries.ORACLE) <= set(queries.QUERIES)
+    assert {q.partition("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
+    assert len(queries.QUERIES) == 13 and set(queries.ORACLE) <= set(queries.QUERIES)
