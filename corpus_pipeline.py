@@ -2,6 +2,10 @@
 
 Each stage is an operator of ``leafmill.llm`` applied to all that the stage before it kept.  The
 results are written to the shared folder and read again, so a stage can be repeated on its own.
+
+For every stage: rows count one by one, whatever their ids (null or repeated); all columns of documents
+come out as they went in, under any names; texts of any length are used as a whole; an empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -30,26 +34,32 @@ def kept(docs: DataFrame, judge: Callable[[DataFrame, str], DataFrame]) -> DataF
 
 @shipped
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and read like trusted text."""
+    """Documents that pass the base rules and read like trusted text; a null or empty text fails them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return kept(docs, lambda d, row: quality_rules(d, labels, rid_col=row))
 
 
 @shipped
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each set of equal texts."""
+    """One document of each set of equal texts, white space aside; null and empty texts are one set.
+
+    The longest stays, then the smallest id, then the first of identical rows.
+    """
     return kept(docs, lambda d, row: exact_dedup(d, rid_col=row))
 
 
 @shipped
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
+    """One document of each class of near-duplicates; texts without words are one class.
+
+    Of ties the operator's order decides, so reruns keep the same row.
+    """
     return kept(docs, lambda d, row: near_dedup(d, rid_col=row))
 
 
 @shipped
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets masked; n_chars follows where a text changes."""
+    """All documents, their secrets masked; n_chars follows where a text changes.  A null text stays null."""
     masked = redacted(docs)
     if "n_chars" not in docs.columns:
         return masked
@@ -59,7 +69,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @shipped
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, each with its place in a sequence."""
+    """The pieces of all documents, each with its place in a sequence; a null or empty text is its end mark.
+
+    Tokens aren't stored: a piece is (doc_id, start, length), and ``packing.pack`` with ids gives them.
+    """
     return pack(docs, tokenizer()).withColumnRenamed("id", "doc_id")
 
 
