@@ -15,16 +15,23 @@ DESCRIPTION_MAX = 120
 DISPLAY_MAX = 80
 
 
+STATUSES = (S.RESOLVED_LOCAL, S.RESOLVED_EXTERNAL, S.NEEDS_EXTERNAL)
+
+
 def status_counts() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("total_figures"),
-        *[
-            F.count_if(F.col("status") == s).alias(s)
-            for s in (S.RESOLVED_LOCAL, S.RESOLVED_EXTERNAL, S.NEEDS_EXTERNAL)
-        ],
+        *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES],
     ]
 
 
+def rollup_of_changes(changes: DataFrame, *by: Column | str) -> DataFrame:
+    """Rollup counts of what entries and withdrawals (``delta`` 1 and -1) leave; groups of none are left out."""
+    each = [F.sum(F.when(F.col("status") == s, F.col("delta")).otherwise(0)).alias(s) for s in STATUSES]
+    counts = changes.groupBy(*by).agg(F.sum("delta").alias("total_figures"), *each)
+    return with_summary(counts.where("total_figures > 0"))
+
+
 def with_summary(df: DataFrame) -> DataFrame:
     done = F.col(S.RESOLVED_LOCAL) + F.col(S.RESOLVED_EXTERNAL)
     return (

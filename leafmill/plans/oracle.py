@@ -1094,6 +1094,11 @@ add(
 SELECT strftime(d, '%Y-%m-%d') AS day, {counts()} FROM days GROUP BY d
 HAVING d + INTERVAL 1 DAY <= (SELECT max(ts) FROM log) - INTERVAL 1 HOUR""",
 )
+add(
+    "stream_live_rollup",
+    f"""WITH {LOG} SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, {counts()}
+FROM latest GROUP BY 1""",
+)
 add("stream_dedupe", f"WITH {LOG} SELECT doc_id, figure_id, event_id, status FROM log")
 add(
     "rerun_documents",

@@ -1239,6 +1239,17 @@ def stream_daily_rollup(spark, sf_dir):
     )
 
 
+@query
+def stream_live_rollup(spark, sf_dir):
+    """Newest statuses by day, kept up as the log arrives: no window waits, nothing late is lost."""
+    configure(spark)
+    home = scratch(spark, "stream-live")
+    log = B.as_status_log(_event_stream(spark, sf_dir))
+    jobs.run_to_table(jobs.status_changes(log), f"{home}/out", f"{home}/checkpoint")
+    day = F.date_format("processed_at", "yyyy-MM-dd").alias("day")
+    return rollup.rollup_of_changes(spark.read.parquet(f"{home}/out"), day)
+
+
 @query
 def stream_dedupe(spark, sf_dir):
     """Each event arrives twice and is kept once."""

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from leafmill.functions import rules as R
-from leafmill.operators import lifecycle
+from leafmill.operators import lifecycle, rollup
 from leafmill.sinks import runs
 from leafmill.streaming import jobs
 
@@ -75,6 +75,25 @@ def test_late_rows_are_dropped_and_open_windows_wait(spark, tmp_path):
     assert go(late) == [("2024-01-01", 1), ("2024-01-02", 1)]
 
 
+def test_counts_are_whole_at_any_time(spark, tmp_path):
+    """After every batch: the rollup of the newest statuses, by document and by day, late rows included."""
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    batches = [
+        [("d", "f1", "needs_external", "2024-01-01 10:00:00", 1), ("d", "f2", "resolved_local", "2024-01-01 11:00:00", 2), ("e", "f1", "odd", "2024-01-01 00:00:00", 3)],
+        [("d", "f1", "resolved_external", "2024-01-05 10:00:00", 4), ("d", "f1", "needs_external", "2024-01-04 00:00:00", 5), ("d", "f2", "needs_external", "2023-12-31 00:00:00", 6)],
+        [("d", "f3", "needs_external", "2023-01-01 00:00:00", 7), ("d", "f1", None, "2024-01-05 10:00:00", 8), ("e", "f9", "resolved_local", None, 9), ("d", "f2", "resolved_local", "2024-01-01 11:00:00", 10)],
+    ]
+    for batch in batches:
+        put(spark, src, batch)
+        stream = jobs.read_stream(spark, src, spark.read.parquet(src).schema)
+        jobs.run_to_table(jobs.status_changes(stream), out, ck)
+        newest = lifecycle.latest(spark.read.parquet(src), ["doc_id", "figure_id"], ["processed_at", "event_id"])
+        changes = spark.read.parquet(out)
+        for by in (F.col("doc_id"), F.to_date("processed_at").alias("day")):
+            want = rollup.with_summary(newest.groupBy(by).agg(*rollup.status_counts()))
+            assert sorted(map(str, rollup.rollup_of_changes(changes, by).collect())) == sorted(map(str, want.collect()))
+
+
 def test_dedupe(spark, tmp_path):
     src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
     put(spark, src, [("d", "f1", "x", "2024-01-01 00:00:00", 1)] * 3 + [("d", "f2", "x", "2024-01-01 00:00:01", 2)])
