@@ -121,8 +121,10 @@ def triage(
     """
     now = F.current_timestamp() if now is None else now
     todo = figures.select(*KEY, "image_path", "width", "height")
-    if existing is not None and not force:
-        todo = todo.join(existing.select(*KEY), KEY, "left_anti")
+    keep = existing is not None and not force
+    if keep:
+        known = existing.select(*KEY, F.struct(*S.STATUS_COLUMNS).alias("__kept"))
+        todo = todo.join(known, KEY, "left")
 
     # Everything that reads the text is computed below the join, once per response;
     # above it only short columns are compared.
@@ -138,6 +140,7 @@ def triage(
         F.coalesce("reply", F.lit("")).alias("reply"),
         F.coalesce("valid", F.lit(False)).alias("valid"),
         "label",
+        *(["__kept"] if keep else []),
     )
     settled = F.lit(S.RESOLVED_LOCAL)
     resolved = is_resolved_locally(F.col("label"), F.col("reply"))
@@ -182,9 +185,13 @@ def triage(
             (F.col("o.status") == S.NEEDS_EXTERNAL).alias("needs_external"),
             F.col("o.confidence").alias("confidence"),
             now.cast("timestamp").alias("processed_at"),
+            *(["__kept"] if keep else []),
         )
     )
-    if existing is None or force:
+    if not keep:
         return fresh
-    kept = existing.join(figures.select(*KEY), KEY, "left_semi").select(*S.STATUS_COLUMNS)
-    return fresh.unionByName(kept)
+    found = F.col("__kept").isNotNull()
+    return fresh.select(
+        *KEY,
+        *[F.when(found, F.col("__kept")[c]).otherwise(F.col(c)).alias(c) for c in S.STATUS_COLUMNS if c not in KEY],
+    )

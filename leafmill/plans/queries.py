@@ -720,9 +720,9 @@ def apply_external(spark, sf_dir):
 @query
 def audit_consistency(spark, sf_dir):
     """Report before the fold of half-known statuses against the final statuses."""
-    return lifecycle.audit_consistency(
-        entries(spark, sf_dir), statuses(spark, sf_dir)
-    ).select("doc_id", "figure_id", "report_class", "status_class", "action", "status", "issue")
+    done = settle(statuses(spark, sf_dir), "statuses")
+    folded = lifecycle.fold_statuses(ruled_figures(spark, sf_dir), done)
+    return lifecycle.audit_consistency(report.report_entries(folded), done).select("doc_id", "figure_id", "report_class", "status_class", "action", "status", "issue")
 
 
 @query
@@ -1035,7 +1035,7 @@ def figure_markdown(spark, sf_dir):
 
 @query
 def report_markdown(spark, sf_dir):
-    return report.report_markdown(entries(spark, sf_dir), documents(spark, sf_dir))
+    return report.report_markdown(settle(entries(spark, sf_dir), "entries"), documents(spark, sf_dir))
 
 
 @query

@@ -259,6 +259,17 @@ def test_assemble(spark, part_size):
     assert [(r.doc_id, r.part) for r in got] == ([("a", 0), ("a", 1), ("a", 2), ("b", 0)] if part_size == 2 else [("a", 0), ("b", 0)])
 
 
+def test_children_move_once(spark):
+    docs = spark.createDataFrame([("a",)], "doc_id string").select("doc_id", F.struct(F.lit("p").alias("path")).alias("source"), F.struct(F.lit(1).alias("n")).alias("doc_stats"))
+    blocks = N.normalize_blocks(spark.createDataFrame([("a", 1, "t"), ("gone", 1, "t")], "doc_id string, ord bigint, text string"), dense=True)
+    whole = export.assemble_documents(docs, blocks, figures=blocks)
+    assert [(r.doc_id, len(r.blocks), len(r.figures)) for r in whole.collect()] == [("a", 1, 1)]
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan
+    physical = whole._jdf.queryExecution().sparkPlan().toString()
+    assert physical.count("collect_list") == 4  # partial and final, for two kinds, in one aggregate
+
+
 def test_long_cells_and_rows(spark):
     grid = [["h", "h"], ["1"], ["2", "3", "4"]]
     t = spark.createDataFrame([("d", "table_0001", grid)], "doc_id string, id string, grid array<array<string>>")
