@@ -13,10 +13,12 @@ INVISIBLE = (
     r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!doctype[^>]*>"
 )
 # Marks that stand for structural tags; they are removed from the input first.
-MARKS = "\x01\x02\x03\x04\x05\x06"
-PIECE, TAG_END, ROW, CELL, CAPTION, CAPTION_END = MARKS
+MARKS = "\x01\x02\x03\x04\x05\x06\x07"
+PIECE, TAG_END, ROW, CELL, CAPTION, CAPTION_END, CELL_END = MARKS
 TABLE, TABLE_END = PIECE, TAG_END
 REST = 2147483646
+# The widest and longest spans that a cell may have.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
 
 
 def visible(html: Column) -> Column:
@@ -100,14 +102,15 @@ def tables(html: Column) -> Column:
     """Array of (caption, grid), one per table in order of its opening tag.
 
     The page is cut at table tags only; a fold over those few cuts tells which table each stretch
-    belongs to, so rows and cells of an outer table go on after a nested one.
+    belongs to, so rows and cells of an outer table go on after a nested one.  Cells that span rows or
+    columns are repeated in every place they cover.
     """
     marked = visible(html)
     for pattern, mark in (
         (r"<table\b[^>]*>", TABLE),
         (r"</table\s*>", TABLE_END),
         (r"<tr\b[^>]*>", ROW),
-        (r"<t[dh]\b[^>]*>", CELL),
+        (r"<t[dh]\b([^>]*)>", f"{CELL}$1{CELL_END}"),
         (r"<caption\b[^>]*>", CAPTION),
         (r"</caption\s*>", CAPTION_END),
     ):
@@ -145,19 +148,95 @@ def tables(html: Column) -> Column:
             body = F.array_join(F.transform(own, lambda x: x["text"]), "")
             said = F.regexp_extract(body, f"{CAPTION}([^{CAPTION_END}{ROW}]*)", 1)
             rest = F.regexp_replace(body, f"{CAPTION}[^{CAPTION_END}{ROW}]*{CAPTION_END}?", "")
-            rows = F.transform(F.split(F.translate(rest, CAPTION + CAPTION_END, ""), ROW), cells)
-            grid = F.filter(rows, lambda r: F.size(r) > 0)
+            rows = F.split(F.translate(rest, CAPTION + CAPTION_END, ""), ROW)
+            plain_rows = F.transform(rows, cells)
+            spans = body.rlike(f"(?i)(?:row|col)span[^{CELL_END}]*{CELL_END}")
+            grid = F.filter(
+                F.when(spans, expanded(F.transform(rows, spanning_cells))).otherwise(plain_rows),
+                lambda r: F.size(r) > 0,
+            )
             return F.struct(_text(said).alias("caption"), grid.alias("grid"))
 
         numbers = F.filter(F.sequence(F.lit(0), done["next"]), lambda t: t < done["next"])
         return F.transform(numbers, one)
 
+    def each_cell(row: Column) -> Column:
+        return F.slice(F.split(row, CELL), F.lit(2), F.lit(REST))
+
+    def said_in(cell: Column) -> Column:
+        return _text(F.substring_index(cell, CELL_END, -1))
+
     def cells(row: Column) -> Column:
-        return F.transform(F.slice(F.split(row, CELL), F.lit(2), F.lit(REST)), _text)
+        return F.transform(each_cell(row), said_in)
+
+    def spanning_cells(row: Column) -> Column:
+        def one(cell: Column) -> Column:
+            tag = F.substring_index(cell, CELL_END, 1)
+            down, across = (F.coalesce(attribute(tag, a).try_cast("int"), F.lit(1)) for a in ("rowspan", "colspan"))
+            return F.struct(
+                F.when(down == 0, MOST_ROWS).otherwise(F.least(F.greatest(down, F.lit(1)), F.lit(MOST_ROWS))).alias("down"),
+                F.least(F.greatest(across, F.lit(1)), F.lit(MOST_COLUMNS)).alias("across"),
+                said_in(cell).alias("text"),
+            )
+
+        return F.transform(each_cell(row), one)
 
     return F.aggregate(stretches, begin, step, collect)
 
 
+def expanded(rows: Column) -> Column:
+    """The grid of rows of cells (down, across, text) that may span several places.
+
+    A fold over the rows carries, for each column, how many more rows the cell in it covers.  A row's
+    own cells, each as often as it is wide, take the columns that are free, from the left.
+    """
+
+    def bound(value: Column, use) -> Column:
+        """``use`` of a value that is evaluated once."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def up_to(n: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), n), lambda i: i < n)
+
+    def step(acc: Column, row: Column) -> Column:
+        carry = acc["carry"]
+
+        def covered(i: Column) -> Column:
+            return F.coalesce(F.get(carry, i)["left"], F.lit(0)) > 0
+
+        def with_own(own: Column) -> Column:
+            free = F.filter(up_to(F.size(carry) + F.size(own)), lambda i: ~covered(i))
+            return bound(free, lambda places: with_places(own, places))
+
+        def with_places(own: Column, free: Column) -> Column:
+            last = F.try_element_at(F.filter(up_to(F.size(carry)), covered), F.lit(-1))
+            width = F.greatest(F.coalesce(last, F.lit(-1)), F.coalesce(F.get(free, F.size(own) - 1), F.lit(-1))) + 1
+
+            def slot(i: Column) -> Column:
+                mine = F.get(own, F.array_position(free, i).cast("int") - 1)
+                return F.struct(
+                    F.when(covered(i), F.get(carry, i)["left"] - 1).otherwise(F.coalesce(mine["down"] - 1, F.lit(0))).alias("left"),
+                    F.when(covered(i), F.get(carry, i)["text"]).otherwise(F.coalesce(mine["text"], F.lit(""))).alias("text"),
+                )
+
+            return F.transform(up_to(width), slot)
+
+        wide = F.flatten(F.transform(row, lambda c: F.array_repeat(c, c["across"])))
+        return bound(
+            bound(wide, with_own),
+            lambda slots: F.struct(
+                slots.alias("carry"),
+                F.concat(acc["grid"], F.array(F.transform(slots, lambda x: x["text"]))).alias("grid"),
+            ),
+        )
+
+    begin = F.struct(
+        F.array().cast("array<struct<left:int,text:string>>").alias("carry"),
+        F.array().cast("array<array<string>>").alias("grid"),
+    )
+    return F.aggregate(rows, begin, step, lambda done: done["grid"])
+
+
 def grids(html: Column) -> Column:
     """Array of grids, one per table."""
     return F.transform(tables(html), lambda x: x["grid"])

@@ -205,6 +205,20 @@ def raw_tables_of(docs: DataFrame) -> DataFrame:
     )
 
 
+def talk_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn as a page with one table: lines are rows, words cells that span by their length."""
+    def cell(word: Column) -> Column:
+        n = F.length(word)
+        told = F.replace(F.replace(word, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        down = F.when((n > 0) & (n % 7 == 0), " rowspan=3").otherwise("")
+        return F.concat(F.lit("<td"), down, F.when((n > 0) & (n % 5 == 0), " colspan='2'").otherwise(""), F.lit(">"), told)
+
+    row = F.transform(lines(F.col("text")), lambda x: F.array_join(F.transform(F.split(x, " "), cell), ""))
+    html = F.concat(F.lit("<table><tr>"), F.array_join(row, "<tr>"), F.lit("</table>"))
+    talk = table(spark, sf_dir, "conversations")
+    return talk.select(F.concat_ws("/", "conv_id", "turn").alias("doc_id"), html.alias("html"))
+
+
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a user as the rows of one table, one record per row, before numbering."""
     events = table(spark, sf_dir, "events")

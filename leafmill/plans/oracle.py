@@ -1130,6 +1130,32 @@ SELECT path, CASE WHEN old IS NULL THEN 'new' WHEN sha IS NULL THEN 'deleted' WH
   WHEN stamped THEN 'touched' ELSE 'same' END AS change, sha AS sha256, old AS sha256_before
 FROM now FULL JOIN before USING (path)""",
 )
+add(
+    "page_table_spans",
+    f"""WITH RECURSIVE l AS (
+  SELECT conv_id || '/' || turn AS doc_id, unnest(string_split(text, {NL})) AS line,
+    generate_subscripts(string_split(text, {NL}), 1) - 1 AS y FROM conversations),
+r AS (
+  SELECT doc_id, y, flatten(list_transform(string_split(line, ' '), lambda w: list_transform(
+    range(CASE WHEN length(w) > 0 AND length(w) % 5 = 0 THEN 2 ELSE 1 END),
+    lambda k: {{'down': CASE WHEN length(w) > 0 AND length(w) % 7 = 0 THEN 3 ELSE 1 END, 'text': w}}))) AS own
+  FROM l),
+g AS (
+  SELECT doc_id, -1::BIGINT AS y, []::STRUCT(n INTEGER, t VARCHAR)[] AS carry FROM r WHERE y = 0
+  UNION ALL
+  SELECT doc_id, y, list_transform(range(greatest(coalesce(last, -1), coalesce(free[len(own)], -1)) + 1),
+    lambda i: CASE WHEN coalesce(carry[i + 1].n, 0) > 0
+      THEN {{'n': (carry[i + 1].n - 1)::INTEGER, 't': carry[i + 1].t}}
+      ELSE {{'n': coalesce(own[list_position(free, i)].down - 1, 0)::INTEGER,
+            't': coalesce(own[list_position(free, i)].text, '')}} END)
+  FROM (
+    SELECT g.doc_id, r.y, carry, own,
+      list_max(list_filter(range(len(carry)), lambda i: carry[i + 1].n > 0)) AS last,
+      list_filter(range(len(carry) + len(own)), lambda i: coalesce(carry[i + 1].n, 0) = 0) AS free
+    FROM g JOIN r ON r.doc_id = g.doc_id AND r.y = g.y + 1))
+SELECT doc_id, y::INTEGER AS row, array_to_string(list_transform(carry, lambda x: x.t), '|') AS cells
+FROM g WHERE y >= 0""",
+)
 
 # --- a whole run ---------------------------------------------------------------
 

@@ -166,6 +166,14 @@ def _escaped(c: Column) -> Column:
     return F.replace(c, F.lit('"'), F.lit("&quot;"))
 
 
+@query
+def page_table_spans(spark, sf_dir):
+    """Rows of tables whose cells span rows and columns."""
+    found = markup.page_tables(B.talk_pages(spark, sf_dir))
+    grid = F.concat(F.array("header"), "rows")
+    return found.select("doc_id", F.posexplode(grid).alias("row", "cells")).select("doc_id", "row", joined("cells").alias("cells"))
+
+
 @query
 def page_tables(spark, sf_dir):
     """Each document written as one HTML table (unclosed cells, one nested) and read back."""

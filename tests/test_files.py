@@ -1,6 +1,7 @@
 import datetime
 import hashlib
 import json
+import random
 import struct
 import zlib
 
@@ -136,6 +137,48 @@ def test_markup_corners(spark):
     assert links == [("s", "bold tail"), ("bare", "pre it post")]
 
 
+def occupied(rows):
+    """Cell by cell into a dictionary of places."""
+    at, out = {}, []
+    for y, row in enumerate(rows):
+        x = 0
+        for down, across, text in row:
+            for _ in range(across):
+                while (y, x) in at:
+                    x += 1
+                for k in range(down or len(rows)):
+                    at[y + k, x] = text
+        width = max([c for r, c in at if r == y], default=-1) + 1
+        out.append([at.get((y, c), "") for c in range(width)])
+    return [r for r in out if r]
+
+
+def test_spans(spark):
+    rng = random.Random(4)
+    tables = [[[(1, 1, "h"), (1, 2, "w")], [(2, 1, "d"), (1, 1, "x"), (1, 1, "y")], [(1, 1, "z")], [(0, 1, "e"), (1, 1, "f")], [], [(1, 1, "g")]]]
+    for _ in range(40):
+        tables.append(
+            [[(rng.choice([1, 1, 1, 2, 3, 0]), rng.choice([1, 1, 1, 2, 4]), f"t{rng.randint(0, 99)}") for _ in range(rng.randint(0, 5))] for _ in range(rng.randint(1, 7))]
+        )
+    tables += [[[(1, 1, "a")], [(1, 1, "b"), (1, 1, "c")]]]
+
+    def cell(down, across, text):
+        spans = [f'rowspan="{down}"'] * (down != 1) + [f"COLSPAN = '{across}'"] * (across != 1)
+        rng.shuffle(spans)
+        return f"<{rng.choice(['td', 'TH'])} title='no rowspan=9' {' '.join(spans)}>{text}"
+
+    page = lambda rows: "<table>" + "".join("<tr>" + "".join(cell(*c) for c in r) for r in rows) + "</table>"
+    df = spark.createDataFrame([(i, page(t)) for i, t in enumerate(tables)], "doc_id int, html string")
+    got = {r.doc_id: r.g for r in df.select("doc_id", F.get(markup.M.grids(F.col("html")), F.lit(0)).alias("g")).collect()}
+    assert got == {i: occupied(t) for i, t in enumerate(tables)}
+
+
+def test_odd_spans(spark):
+    odd = "<table><tr><td colspan=x>a<td rowspan=-3>b<td colspan=0>c<td rowspan=99999>d<tr><td colspan='1001'>e</table>"
+    grid = spark.createDataFrame([(odd,)], "html string").select(markup.M.grids(F.col("html"))).first()[0][0]
+    assert grid[0] == ["a", "b", "c", "d"] and grid[1] == ["e"] * 3 + ["d"] + ["e"] * 997
+
+
 def test_runs(spark, tmp_path):
     path = str(tmp_path / "t")
     ddl = "doc_id string, v int"
