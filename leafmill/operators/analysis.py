@@ -7,6 +7,8 @@ with ``structured_data`` a variant whose shape depends on the class.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -256,3 +258,37 @@ def analysis_quality(analyses: DataFrame) -> DataFrame:
         F.array(*[F.when(t, n) for n, t in checks.items()]), lambda f: f.isNotNull()
     )
     return analyses.select(*KEY, F.explode(failures).alias("failure"))
+
+
+def schema_drift(
+    analyses: DataFrame,
+    required: Mapping[str, Sequence[str]] = REQUIRED_KEYS,
+    *,
+    column: str = "structured_data",
+) -> DataFrame:
+    """(classification, path, issue, records, of, kind): keys that some analyses have or lack unexpectedly.
+
+    ``unknown`` - a key that isn't required of the class; ``missing`` - a required one that some lack.
+    ``records`` of the ``of`` analyses of the class have the key, and ``kind`` is the merged type of its
+    values.  ``column`` is any variant: ``record`` with the known fields shows fields of whole files.
+    Classes without required keys, null among them, have unknown keys only.
+    """
+    spark = analyses.sparkSession
+    rows = analyses.select("classification", F.col(column).alias("data"))
+    keys = rows.lateralJoin(spark.tvf.variant_explode(F.col("data").outer())).where("key is not null")
+    found = keys.groupBy("classification", F.col("key").alias("path")).agg(
+        F.count(F.lit(1)).alias("records"), F.schema_of_variant_agg("value").alias("kind")
+    )
+    of = rows.groupBy(F.col("classification").alias("__class")).agg(F.count(F.lit(1)).alias("of"))
+    told = [(c, k, True) for c, each in required.items() for k in each]
+    expected = spark.createDataFrame(told, "classification string, path string, expected boolean")
+    both = found.join(expected, ["classification", "path"], "full_outer")
+    issue = F.when(F.col("expected").isNull(), "unknown").when(F.coalesce("records", F.lit(0)) < F.col("of"), "missing")
+    return (
+        both.join(of, F.col("classification").eqNullSafe(F.col("__class")))
+        .select(
+            "classification", "path", issue.alias("issue"),
+            F.coalesce("records", F.lit(0)).cast("bigint").alias("records"), "of", "kind",
+        )
+        .where("issue is not null")
+    )

@@ -1077,6 +1077,17 @@ UNION ALL SELECT doc_id, figure_id, 'unknown class' FROM analysed WHERE classifi
 UNION ALL SELECT doc_id, figure_id, 'missing keys' FROM analysed WHERE classification = 'screenshot'
 UNION ALL SELECT doc_id, figure_id, 'no key values' FROM analysed WHERE len(w) % 7 = 0""",
 )
+add(
+    "schema_drift",
+    f"""WITH {ANALYSES}, c AS (
+  SELECT classification, count(*) AS n, count(*) FILTER (len(w) > 0) AS worded FROM analysed GROUP BY 1)
+SELECT classification, 'csv' AS path, 'unknown' AS issue, n AS records, n AS of, 'STRING' AS kind
+FROM c WHERE classification = 'plot'
+UNION ALL SELECT classification, 'caption', 'unknown', n, n, 'STRING' FROM c WHERE classification = 'screenshot'
+UNION ALL SELECT classification, 'description', 'missing', 0, n, NULL FROM c WHERE classification = 'screenshot'
+UNION ALL SELECT classification, 'register_name', 'missing', worded, n, CASE WHEN worded > 0 THEN 'STRING' END
+FROM c WHERE classification = 'register_map' AND worded < n""",
+)
 
 # --- streaming and sinks -----------------------------------------------------
 

@@ -1174,6 +1174,11 @@ def analysis_quality(spark, sf_dir):
     return analysis.analysis_quality(B.analyses(spark, sf_dir))
 
 
+@query
+def schema_drift(spark, sf_dir):
+    return analysis.schema_drift(B.analyses(spark, sf_dir))
+
+
 # --- streaming ---------------------------------------------------------------
 
 

@@ -124,19 +124,24 @@ def read_analyses(
 ) -> DataFrame:
     """Analysis files ``<doc>/derived/figures/<figure>/<name>.json``.
 
-    ``levels_up`` says how far above the file the document and figure names are.
+    ``levels_up`` says how far above the file the document and figure names are.  Besides the known
+    fields there is ``record``, the whole file as a variant, so that no field is lost (see
+    ``analysis.schema_drift``); it is null for a file that isn't JSON, whose other fields are null too.
     """
     doc, figure = levels_up
+    text = F.decode("content", "UTF-8")
     return (
-        spark.read.schema(S.ANALYSIS_FILE)
-        .option("multiLine", True)
+        spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
-        .json(path)
+        .load(path)
+        .select(F.col("_metadata.file_path").alias("file"), text.alias("value"))
+        .select("file", F.from_json("value", S.ANALYSIS_FILE).alias("a"), F.try_parse_json("value").alias("record"))
         .select(
-            doc_of_path(F.col("_metadata.file_path"), doc).alias("doc_id"),
-            doc_of_path(F.col("_metadata.file_path"), figure).alias("figure_id"),
-            *S.ANALYSIS_COLUMNS,
+            doc_of_path(F.col("file"), doc).alias("doc_id"),
+            doc_of_path(F.col("file"), figure).alias("figure_id"),
+            *[F.col("a")[c].alias(c) for c in S.ANALYSIS_COLUMNS],
+            "record",
         )
     )
 

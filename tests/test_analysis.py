@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import grids as G
 from leafmill.operators import analysis as A
+from leafmill import schemas as S
 from leafmill.sources.files import read_analyses
 
 META = {"provider": "p", "model": "m", "generated_at": "2024-01-01T00:00:00Z", "prompt_version": "v1"}
@@ -162,3 +163,39 @@ def test_csv_cells_keep_quoted_commas(spark):
     df = spark.createDataFrame([(k,) for k in lines], "line string")
     got = {r.line: r.cells for r in df.withColumn("cells", csv_cells(F.col("line"))).collect()}
     assert got == lines
+
+
+def test_schema_drift(spark):
+    rows = [
+        ("plot", '{"x_axis": 1, "y_axis": "a", "series": [], "more": 1}'),
+        ("plot", '{"x_axis": null, "y_axis": "b", "more": "s"}'),
+        ("photo", '{"description": "d"}'),
+        ("sketch", '{"odd": {"a": 1}}'),
+        ("pinout", None),
+        ("pinout", "[1, 2]"),
+        (None, '{"k": true}'),
+    ]
+    df = spark.createDataFrame(rows, "classification string, j string").withColumn("structured_data", F.parse_json("j"))
+    got = {(r.classification, r.path): (r.issue, r.records, r.of, r.kind) for r in A.schema_drift(df).collect()}
+    assert got == {
+        ("plot", "series"): ("missing", 1, 2, "ARRAY<VOID>"),
+        ("plot", "more"): ("unknown", 2, 2, "VARIANT"),
+        ("sketch", "odd"): ("unknown", 1, 1, "OBJECT<a: BIGINT>"),
+        ("pinout", "pins"): ("missing", 0, 2, None),
+        (None, "k"): ("unknown", 1, 1, "BOOLEAN"),
+    }
+    assert A.schema_drift(df.limit(0)).count() == 0
+
+
+def test_no_field_is_lost(spark, tmp_path):
+    home = tmp_path / "doc" / "derived" / "figures" / "fig_0001"
+    home.mkdir(parents=True)
+    (home / "a.json").write_text('{"classification": "plot",\n "confidence": 0.5, "extra": {"deep": [1, 2]}}', encoding="utf-8")
+    (home / "b.json").write_text("not json", encoding="utf-8")
+    a = read_analyses(spark, str(tmp_path))
+    deep = F.variant_get("record", "$.extra.deep[1]", "int").alias("deep")
+    got = {r.classification: (r.doc_id, r.figure_id, r.confidence, r.deep) for r in a.select("doc_id", "figure_id", "classification", "confidence", deep).collect()}
+    assert got == {"plot": ("doc", "fig_0001", 0.5, 2), None: ("doc", "fig_0001", None, None)}
+    known = {"plot": S.ANALYSIS_COLUMNS}
+    drift = {(r.path, r.issue) for r in A.schema_drift(a.where("classification is not null"), known, column="record").collect()}
+    assert ("extra", "unknown") in drift and ("title", "missing") in drift and ("confidence", "missing") not in drift
