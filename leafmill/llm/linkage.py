@@ -2,10 +2,11 @@
 
 No bucket is ever compared with itself in full.  In each round a bucket has one leader, and only
 members of another class than the leader's are compared with it; links merge classes at once, so a
-bucket whose members are all alike is finished after one round.  After a few rounds, members of one
-bucket that are still in different classes and haven't been compared are compared directly, also
-where no leader was like any member.  That loses no link: two members of a bucket end up in one class
-or have been found different.
+bucket whose members are all alike is finished after one round.  The first leader is the member whose
+buckets are fullest, as a rule the text that the others are copies of; later ones are random.  After a
+few rounds, members of one bucket that are still in different classes and haven't been compared are
+compared directly, also where no leader was like any member, and only in the smallest bucket that both
+are in.  That loses no link: two members of a bucket end up in one class or have been found different.
 """
 
 from __future__ import annotations
@@ -67,6 +68,13 @@ def shared(members: DataFrame) -> DataFrame:
     return settle(only(members, open_, "bucket").distinct(), "shared")
 
 
+def fullness(rows: DataFrame, total: int) -> DataFrame:
+    """(id, full): how many members the buckets of an id have, taken together."""
+    sizes = settle(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    sized = attach(rows, sizes, ["bucket"], "size", total)
+    return sized.groupBy("id").agg(F.sum("size").alias("full"))
+
+
 def classes(
     members: DataFrame,
     contents: Callable[[DataFrame], DataFrame],
@@ -85,7 +93,7 @@ def classes(
     if not total:
         return rows.select("id", F.col("id").alias("label"))
     held = contents(settle(rows.select("id").distinct(), "candidates"))
-    rows = settle(rows.join(held.select("id", "sketch"), "id"), "sketched")
+    rows = settle(rows.join(held.select("id", "sketch").join(fullness(rows, total), "id"), "id"), "sketched")
     labels: DataFrame | None = None
     links: DataFrame | None = None
     tested: DataFrame | None = None
@@ -97,7 +105,8 @@ def classes(
                 rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled"
             )
         if turn < rounds:
-            lead = F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "label", "sketch")).alias("lead")
+            first = F.lit(0) if turn else -F.col("full")
+            lead = F.min(F.struct(first, F.xxhash64("id", F.lit(turn)), "id", "label", "sketch")).alias("lead")
             heads = settle(
                 now.groupBy("bucket")
                 .agg(lead, F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
@@ -116,12 +125,17 @@ def classes(
                 now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket"),
                 "left",
             )
-            rest = settle(now.join(left, "bucket"), "rest").alias("x")
-            other = rest.select("bucket", F.col("id").alias("head"), F.col("label").alias("of"), F.col("sketch").alias("other")).alias("y")
+            open_ = settle(now.join(left, "bucket"), "rest")
+            own = open_.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("mine"))
+            rest = settle(open_.join(own, "id"), "within").alias("x")
+            other = rest.select(
+                "bucket", F.col("id").alias("head"), F.col("label").alias("of"), F.col("sketch").alias("other"), F.col("mine").alias("its")
+            ).alias("y")
             near = (
                 (F.col("x.bucket") == F.col("y.bucket"))
                 & (F.col("label") < F.col("of"))
                 & may(F.col("x.sketch"), F.col("other"))
+                & (F.get(F.array_intersect("mine", "its"), F.lit(0)) == F.col("x.bucket"))
             )
             met = rest.join(other, near).select("id", "head")
         pairs = met.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()

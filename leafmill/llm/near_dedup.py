@@ -34,9 +34,12 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 """A pair of similarity 0.8 is missed by all bands with probability (1 - 0.8^5)^24 = 8e-5."""
+SKETCH = 1024
+"""Registers of a candidate's sketch, a bit each: it tells pairs below a similarity of about 0.7 apart."""
 SLICE_CHARS = 2 << 20
+SLICE_SKETCHES = 256
 PRIME = np.uint64(0x9E3779B97F4A7C15)
-FEATURES = "e1 long, e2 long, bands array<long>, sketch array<long>, shingles binary, counts binary"
+FEATURES = "e1 long, e2 long, bands array<long>, shingles binary, counts binary"
 
 
 def shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
@@ -76,6 +79,7 @@ def prob_minhash(text: np.ndarray, x: np.ndarray, weight: np.ndarray, n: int, re
     held = np.zeros(n * registers, np.uint64)
     alive = np.arange(len(x))
     time = np.zeros(len(x))
+    latest = np.full(n, np.inf)
     turn = 0
     while len(alive):
         turn += 1
@@ -87,8 +91,10 @@ def prob_minhash(text: np.ndarray, x: np.ndarray, weight: np.ndarray, n: int, re
         np.minimum.at(first, place, t)
         won = first[place] == t
         held[place[won]] = x[alive[won]]
-        latest = first.reshape(n, registers).max(axis=1)
-        alive = alive[t < latest[text[alive]]]
+        open_ = text[alive]  # sorted, as texts are
+        some = open_[np.append(True, open_[1:] != open_[:-1])]
+        latest[some] = first.reshape(n, registers)[some].max(axis=1)
+        alive = alive[t < latest[open_]]
     return held.reshape(n, registers)
 
 
@@ -108,30 +114,29 @@ def featurizer(words: int, bands: int, rows: int):
                 n = len(texts[some])
                 text, x, times, exact = shingles(texts[some], words)
                 held = prob_minhash(text, x, times.astype(float), n, bands * rows)
-                keys, four = band_keys(held, bands, rows), sketches(held)
+                keys = band_keys(held, bands, rows)
                 edge = np.searchsorted(text, np.arange(n + 1))
                 again = np.unique(text[times > 1])  # texts that repeat a shingle
-                plain_keys, plain_four = {}, {}
+                plain_keys = {}
                 if len(again):
                     mine = np.isin(text, again)
                     owner = np.searchsorted(again, text[mine])
                     plain = prob_minhash(owner, x[mine], np.ones(len(owner)), len(again), bands * rows)
                     plain_keys = dict(zip(again.tolist(), band_keys(plain, bands, rows), strict=True))
-                    plain_four = dict(zip(again.tolist(), sketches(plain), strict=True))
                 short = (x >> np.uint64(32)).astype("<u4")
                 times = times.astype("<u4")
                 for k, (e1, e2) in enumerate(exact):
                     a, b = edge[k], edge[k + 1]
-                    key, sketch = keys[k] if b > a else [], four[k]
+                    key = keys[k] if b > a else []
                     if k in plain_keys:
-                        key, sketch = np.union1d(key, plain_keys[k]), np.append(sketch, plain_four[k])
+                        key = np.union1d(key, plain_keys[k])
                     made.append(
                         (
-                            e1 - (1 << 63), e2 - (1 << 63), key, sketch,
+                            e1 - (1 << 63), e2 - (1 << 63), key,
                             short[a:b].tobytes(), times[a:b].tobytes() if (times[a:b] > 1).any() else b"",
                         )
                     )
-            yield pd.DataFrame(made, columns=["e1", "e2", "bands", "sketch", "shingles", "counts"])
+            yield pd.DataFrame(made, columns=["e1", "e2", "bands", "shingles", "counts"])
         release()
 
     return run
@@ -165,35 +170,59 @@ def similarity(sa: bytes, ca: bytes, sb: bytes, cb: bytes) -> tuple[float, float
 
 
 def sketches(held: np.ndarray) -> np.ndarray:
-    """Four bits of each register, sixteen registers to a long."""
+    """One bit of each register, 64 registers to a long."""
     n, registers = held.shape
-    four = np.zeros((n, -(-registers // 16) * 16), np.uint64)
-    four[:, :registers] = mix(held) & np.uint64(15)
-    shift = np.arange(16, dtype=np.uint64) * np.uint64(4)
-    return (four.reshape(n, -1, 16) << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
+    bits = np.zeros((n, -(-registers // 64) * 64), np.uint8)
+    bits[:, :registers] = (mix(held) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits, axis=1, bitorder="little").view("<i8")
+
+
+def sketcher(registers: int):
+    """A sketch of counted shingles, followed by one by weights 1 where a shingle is repeated.
+
+    Only texts that share a band get one, so it may be far longer than the bands.
+    """
+
+    def winners(xs: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
+        text = np.repeat(np.arange(len(xs)), [len(x) for x in xs])
+        return sketches(prob_minhash(text, np.concatenate(xs), np.concatenate(weights), len(xs), registers))
+
+    @F.pandas_udf("array<long>")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for shingles_of, counts_of in batches:
+            made: list[np.ndarray] = []
+            for begin in range(0, len(shingles_of), SLICE_SKETCHES):
+                here = slice(begin, begin + SLICE_SKETCHES)
+                xs = [mix(np.frombuffer(s, "<u4") * PRIME) for s in shingles_of[here]]
+                ones = [np.ones(len(x)) for x in xs]
+                ws = [np.frombuffer(c, "<u4").astype(float) if c else one for c, one in zip(counts_of[here], ones, strict=True)]
+                both = list(winners(xs, ws))
+                again = [k for k, c in enumerate(counts_of[here]) if c]
+                if again:
+                    for k, plain in zip(again, winners([xs[k] for k in again], [ones[k] for k in again]), strict=True):
+                        both[k] = np.append(both[k], plain)
+                made += both
+            yield pd.Series(made)
+        release()
+
+    return run
 
 
 def agree_enough(registers: int, least: float):
-    """A condition on two sketches: no more registers differ than ``least`` may explain.
+    """A condition on two sketches: no more bits differ than ``least`` may explain.
 
     A sketch may be followed by a second one, by weights 1: one of both measures has to allow it.
     At that similarity the number that differ exceeds the bound, five standard deviations above its
     mean, once in some million pairs; candidates far below it never become rows.
     """
-    share = (1 - least) * 15 / 16
+    share = (1 - least) / 2
     bound = int(registers * share + 5 * (registers * share * (1 - share)) ** 0.5)
-    ones = F.lit(0x1111111111111111)
-
-    longs = -(-registers // 16)
+    longs = -(-registers // 64)
 
     def differ(a: Column, b: Column, word: Callable[[Column, int], Column]) -> Column:
         total = F.lit(0)
         for k in range(longs):
-            x = word(a, k).bitwiseXOR(word(b, k))
-            any_ = x
-            for by in (1, 2, 3):
-                any_ = any_.bitwiseOR(F.shiftrightunsigned(x, by))
-            total = total + F.bit_count(any_.bitwiseAND(ones))
+            total = total + F.bit_count(word(a, k).bitwiseXOR(word(b, k)))
         return total
 
     def may(a: Column, b: Column) -> Column:
@@ -258,10 +287,10 @@ def near_dedup(
     members = settle(alone.select(F.explode("bands").alias("bucket"), F.col("rid").alias("id")), "members")
 
     def contents(ids: DataFrame) -> DataFrame:
-        each = features.select(F.col("rid").alias("id"), "sketch", "shingles", "counts")
-        return settle(only(each, ids, "id"), "contents")
+        each = only(features.select(F.col("rid").alias("id"), "shingles", "counts"), ids, "id")
+        return settle(each.withColumn("sketch", sketcher(SKETCH)("shingles", "counts")), "contents")
 
-    labels = classes(members, contents, agree_enough(bands * rows, least), verifier(least))
+    labels = classes(members, contents, agree_enough(SKETCH, least), verifier(least))
 
     named = settle(
         groups.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").withColumn(
