@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from leafmill.llm.common import WORD, texts_of
 from leafmill.scratch import settle
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 TRUSTED_ROWS = 20_000
 THRESHOLD = -0.07
 SMOOTHING = 30.0
