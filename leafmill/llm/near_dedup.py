@@ -34,8 +34,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 """A pair of similarity 0.8 is missed by all bands with probability (1 - 0.8^5)^24 = 8e-5."""
-SKETCH = 1024
-"""Registers of a candidate's sketch, a bit each: it tells pairs below a similarity of about 0.7 apart."""
+SKETCH = 2048
+"""Registers of a candidate's sketch, a bit each: it tells pairs below a similarity of about 0.73 apart."""
 SLICE_CHARS = 2 << 20
 SLICE_SKETCHES = 256
 PRIME = np.uint64(0x9E3779B97F4A7C15)
