@@ -34,7 +34,9 @@ ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+| ")
 CACHE_PIECES = 400_000
 CACHE_HITS = 4
 REST_HITS = 8
-BATCH_CHARS = 8 << 20
+BATCH_CHARS = 4 << 20
+START_CHARS = 1 << 18
+"""So many characters are looked up at once when the index is made."""
 
 
 class PairIndex:
@@ -67,7 +69,7 @@ class PairIndex:
             self.final = self.plain
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a * self.size + b
+        key = a.astype(np.int64) * self.size + b
         at = np.searchsorted(self.keys[:-1], key)
         return np.where((self.keys[at] == key) & (a >= 0) & (b >= 0), self.ranks[at], -1)
 
@@ -77,15 +79,15 @@ class PairIndex:
         ends = np.cumsum(length)
         code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         n = len(code)
-        sym = np.empty(n + 1, np.int64)
+        sym = np.empty(n + 1, np.int32)
         sym[:n] = self.plain[code]
         sym[ends - 1] = self.final[code[ends - 1]]
         sym[n] = -1  # stands beyond either end of a word
-        word = np.repeat(np.arange(len(words)), length)
-        nxt = np.arange(1, n + 2)
+        word = None if self.ordered else np.repeat(np.arange(len(words), dtype=np.int32), length)
+        nxt = np.arange(1, n + 2, dtype=np.int32)
         nxt[ends - 1] = n
         nxt[n] = n
-        prv = np.arange(-1, n)
+        prv = np.arange(-1, n, dtype=np.int32)
         prv[(ends - length)] = n
         prv[n] = n
 
@@ -109,7 +111,8 @@ class PairIndex:
                 index[r].append(where[a:b])
 
         active: list[int] = []
-        add(np.arange(n))
+        for begin in range(0, n, START_CHARS):
+            add(np.arange(begin, min(begin + START_CHARS, n), dtype=np.int32))
         while active:
             rank = heapq.heappop(active)
             lists = index.pop(rank)
@@ -150,7 +153,9 @@ class PairIndex:
 def ragged(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Positions of runs that begin at ``begin``, one run after the other."""
     before = np.cumsum(length) - length
-    return np.repeat(begin - before, length) + np.arange(int(length.sum()))
+    at = np.repeat(begin - before, length)
+    at += np.arange(len(at))
+    return at
 
 
 def counter() -> defaultdict:
@@ -288,7 +293,9 @@ class Codec:
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """One per Python worker."""
-    return Codec(path)
+    made = Codec(path)
+    release()  # the parsed file is large
+    return made
 
 
 def slices(texts: list[str], chars: int = BATCH_CHARS) -> Iterator[slice]:
