@@ -1,7 +1,6 @@
 """How the driver's tables stand in for documents, figures, statuses and analyses.
 
-Bindings read whole tables and whole texts, except that ``talk_figures`` reads user turns only and
-``analyses`` assistant turns only.
+Bindings read whole tables and whole texts.
 """
 
 from __future__ import annotations
@@ -70,6 +69,10 @@ def lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def pages_of(text: Column) -> Column:
+    return F.ceil(F.size(lines(text)) / BLOCKS_PER_PAGE).cast("int")
+
+
 def blocks_of(docs: DataFrame) -> DataFrame:
     """One block per line of each document; five blocks to a page."""
     return docs.select("doc_id", F.posexplode(lines(F.col("text"))).alias("pos", "text")).select(
@@ -163,11 +166,11 @@ def existing_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def talk_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw figure per user turn of a conversation; positions have gaps."""
-    talk = table(spark, sf_dir, "conversations").where("role = 'user'")
+    """One raw figure per turn of a conversation; positions have gaps."""
+    talk = table(spark, sf_dir, "conversations")
     return talk.select(
         F.col("conv_id").alias("doc_id"),
-        F.col("turn").alias("ord"),
+        (F.col("turn") * 2).alias("ord"),
         (F.expr("turn div 2") + 1).cast("int").alias("page"),
         F.col("text").alias("caption"),
         F.when(
@@ -179,11 +182,11 @@ def talk_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def talk_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The assistant's turn that follows each user turn, keyed by the user's position."""
-    talk = table(spark, sf_dir, "conversations").where("role = 'assistant'")
+    """The turn that follows each turn, keyed by the position of the earlier one."""
+    talk = table(spark, sf_dir, "conversations")
     return talk.select(
         F.col("conv_id").alias("doc_id"),
-        (F.col("turn") - 1).alias("ord"),
+        (F.col("turn") * 2 - 2).alias("ord"),
         F.col("text").alias("response"),
     )
 
@@ -280,12 +283,12 @@ ANALYSIS_TURN = (
 
 
 def analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One external analysis per assistant turn, its structured data built from the words.
+    """One external analysis per turn, its structured data built from the words.
 
     The class follows from the length of the text.  The structured data passes
     through JSON text, as it would when read from files.
     """
-    talk = table(spark, sf_dir, "conversations").where("role = 'assistant'")
+    talk = table(spark, sf_dir, "conversations")
     ws = T.words("text")
     n = F.size("w")
     label = F.element_at(

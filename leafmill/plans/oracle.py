@@ -18,6 +18,7 @@ INTS: dict[str, str] = {
     "filter_pages": "page",
     "filter_pages_by_spec": "page",
     "noise_figures": "width height",
+    "resolve_caption": "line",
     "chunk_tokens": "page",
     "chunk_greedy": "page",
     "report_entries": "page",
@@ -438,11 +439,11 @@ add(
 
 TALK = """
 talk AS (
-  SELECT conv_id AS doc_id, turn AS ord, 1 + turn // 2 AS page, text AS caption,
+  SELECT conv_id AS doc_id, 2 * turn AS ord, 1 + turn // 2 AS page, text AS caption,
     CASE WHEN right(text, 1) IN ('.', '!', '?') THEN printf('img/%d/%d.png', conv_id, turn) END AS image_path,
     length(text) AS width, turn + 4 AS height,
     printf('fig_%04d', row_number() OVER (PARTITION BY conv_id ORDER BY turn)) AS figure_id
-  FROM conversations WHERE role = 'user')
+  FROM conversations)
 """
 add(
     "normalize_figures",
@@ -463,8 +464,9 @@ SELECT doc_id, coalesce(known[1], 1) AS first_page, coalesce(list_min(known), 1)
 )
 add(
     "resolve_caption",
-    f"""WITH p AS (SELECT doc_id, source, string_split(text, {NL})[1] AS f FROM documents)
-SELECT doc_id, CASE WHEN length(f) > 60 THEN f WHEN length(f) > 30 THEN source ELSE '' END AS caption
+    f"""WITH p AS (SELECT doc_id, source, unnest(string_split(text, {NL})) AS f,
+  generate_subscripts(string_split(text, {NL}), 1) - 1 AS line FROM documents)
+SELECT doc_id, line, CASE WHEN length(f) > 60 THEN f WHEN length(f) > 30 THEN source ELSE '' END AS caption
 FROM p""",
 )
 add(
@@ -690,7 +692,7 @@ STATUS_COLUMNS = """doc_id, figure_id, image_path, status, stage, 'ollama' AS lo
   status = 'needs_external' AS needs_external, confidence"""
 add("triage_figures", f"WITH {STATUSES} SELECT {STATUS_COLUMNS} FROM statuses")
 TALK_REPLIES = """(SELECT t.*, a.text AS reply FROM talk t LEFT JOIN conversations a
-    ON a.conv_id = t.doc_id AND a.turn = t.ord + 1 AND a.role = 'assistant')"""
+    ON a.conv_id = t.doc_id AND a.turn = t.ord // 2 + 1)"""
 add(
     "triage_conversations",
     f"WITH {TALK}, {triaged(TALK_REPLIES)} SELECT {STATUS_COLUMNS} FROM fresh",
@@ -802,7 +804,7 @@ ANALYSES = f"""
 analysed AS (
   SELECT conv_id AS doc_id, turn, printf('fig_%04d', turn) AS figure_id, role, text,
     {CLASSES}[length(text) % 15 + 1] AS classification, {WORDS_OF.format('text')} AS w
-  FROM conversations WHERE role = 'assistant'),
+  FROM conversations),
 ws AS (
   SELECT doc_id, figure_id, classification, role, len(w) AS n, unnest(w) AS word,
     generate_subscripts(w, 1) - 1 AS i, w FROM analysed)
@@ -1004,14 +1006,14 @@ add(
     "analysis_flat",
     f"""WITH {ANALYSES} SELECT doc_id, figure_id, classification, w[1] AS title, text AS summary,
   CASE WHEN turn <> 1 THEN 'some-provider' END AS provider,
-  CASE WHEN turn <> 1 THEN 'model-assistant' END AS model,
+  CASE WHEN turn <> 1 THEN 'model-' || role END AS model,
   CASE WHEN turn <> 1 THEN '2024-01-01T00:00:00Z' END AS generated_at,
   CASE WHEN turn <> 1 THEN 'v1' END AS prompt_version, len(w) AS n_components,
   CASE WHEN len(w) % 11 = 0 THEN 1.5 ELSE 0.5 END::DOUBLE AS confidence FROM analysed""",
 )
 add(
     "plot_points",
-    f"""WITH {ANALYSES} SELECT doc_id, figure_id, 'assistant' AS series, i AS point,
+    f"""WITH {ANALYSES} SELECT doc_id, figure_id, role AS series, i AS point,
   i::DOUBLE AS x, length(word)::DOUBLE AS y FROM ws WHERE classification = 'plot'""",
 )
 add(

@@ -278,7 +278,7 @@ def normalize_tables(spark, sf_dir):
 
 @query
 def normalize_figures(spark, sf_dir):
-    """User turns numbered within their conversation."""
+    """Turns numbered within their conversation."""
     n = normalize.normalize_figures(B.talk_figures(spark, sf_dir), vocabulary=B.CORPUS_TAGS)
     return n.select(
         "doc_id",
@@ -315,12 +315,14 @@ def first_and_min_page(spark, sf_dir):
 
 @query
 def resolve_caption(spark, sf_dir):
-    first = F.get(B.lines(F.col("text")), F.lit(0))
-    return documents(spark, sf_dir).select(
+    """Every line as a caption: its own text, else the source, else nothing."""
+    each = documents(spark, sf_dir).select("doc_id", "source", F.posexplode(B.lines(F.col("text"))).alias("line", "own"))
+    return each.select(
         "doc_id",
+        "line",
         normalize.resolve_caption(
-            F.when(F.length(first) > 60, first).otherwise(""),
-            F.when(F.length(first) > 30, F.col("source")),
+            F.when(F.length("own") > 60, F.col("own")).otherwise(""),
+            F.when(F.length("own") > 30, F.col("source")),
         ).alias("caption"),
     )
 
@@ -567,7 +569,7 @@ def triage_figures(spark, sf_dir):
 
 @query
 def triage_conversations(spark, sf_dir):
-    """User turns as figures with gaps, assistant turns as responses; no earlier statuses."""
+    """Turns as figures with gaps, each answered by the turn after it; no earlier statuses."""
     numbered = normalize.assign_ids(B.talk_figures(spark, sf_dir), "fig", out="figure_id")
     replies = numbered.select("doc_id", "ord", "figure_id").join(
         B.talk_responses(spark, sf_dir), ["doc_id", "ord"]
@@ -810,8 +812,8 @@ def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def smoke_checks(spark, sf_dir):
     """Labelled documents lost artifacts: index when toxic, document when of low quality."""
     stats = rollup.doc_stats(
-        documents(spark, sf_dir).select("doc_id", F.lit(1).alias("page_count")),
-        filters.filter_pages(B.raw_blocks(spark, sf_dir), "40"),
+        documents(spark, sf_dir).select("doc_id", B.pages_of(F.col("text")).alias("page_count")),
+        B.raw_blocks(spark, sf_dir),
         figures=B.figures(spark, sf_dir),
     )
     labels = B.table(spark, sf_dir, "labels")
