@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from leafmill import schemas as S
 from leafmill.functions import text as T
 from leafmill.functions.ordered import segment_of
-from leafmill.operators.rollup import DISPLAY_MAX, rollup_by_document, rollup_detail
+from leafmill.operators.rollup import DESCRIPTION_MAX, DISPLAY_MAX, rollup_by_document, rollup_detail
 
 # Recommended actions, reasons and confidences.
 PLOT_ACTION = ("LLM: convert plot to CSV", "plot digitization requires semantic understanding", 0.8)
@@ -42,6 +42,7 @@ ROLLUP_SECTIONS = (
     (2, S.NEEDS_EXTERNAL, "Needs external LLM", True),
     (3, S.RESOLVED_EXTERNAL, "Resolved by external LLM", False),
 )
+FIGURE_LINES = 2  # at most, in a list of the rollup
 
 
 def _advice(action: Column | str, reason: Column | str, confidence: float) -> Column:
@@ -154,25 +155,39 @@ def global_report_markdown(entries: DataFrame) -> DataFrame:
 
 
 def rollup_markdown(
-    statuses: DataFrame, docs: DataFrame | None = None, hint: str = EXTERNAL_HINT
+    statuses: DataFrame,
+    docs: DataFrame | None = None,
+    hint: str = EXTERNAL_HINT,
+    *,
+    chars: int | None = DESCRIPTION_MAX,
+    display: int | None = DISPLAY_MAX,
 ) -> DataFrame:
-    """Lines of each document's rollup: head (0), then resolved locally (1), pending (2), external (3)."""
-    totals = rollup_by_document(statuses, docs)
+    """Lines of each document's rollup: head (0), then resolved locally (1), pending (2), external (3).
+
+    A list ends with a blank line at its last figure.  Descriptions are cut after ``chars`` characters,
+    then, on one line, after ``display``; None is no cut.
+    """
+    ordinal = T.ordinal_of("figure_id")
+    lasts = [F.max(F.when(F.col("status") == s, ordinal)).alias(f"__last_{s}") for _, s, *_ in ROLLUP_SECTIONS]
+    totals = rollup_by_document(statuses, docs, *lasts)
 
     def bold(name: str, column: str, unit: str = "") -> Column:
         return F.concat(F.lit(f"**{name}:** "), F.col(column).cast("string"), F.lit(unit))
 
-    def stretch(section: int, order: int, lines: list[Column], when: Column | None = None) -> Column:
+    def stretch(
+        section: int, order: Column, lines: list[Column], when: Column | None = None, first: int = 0
+    ) -> Column:
         piece = F.struct(
             F.lit(section).alias("section"),
-            F.lit(order).cast("bigint").alias("ord"),
+            order.cast("bigint").alias("ord"),
+            F.lit(first).alias("first"),
             F.array(*lines).alias("lines"),
         )
         return piece if when is None else F.when(when, piece)
 
     head = stretch(
         0,
-        0,
+        F.lit(0),
         [
             F.lit(ROLLUP_TITLE),
             F.lit(""),
@@ -195,14 +210,18 @@ def rollup_markdown(
         if extra:
             opening += [F.lit(hint), F.lit("")]
         some = F.col(status) > 0
-        frame.append(stretch(section, -1, opening, some))
-        # The blank line after a list sorts behind every figure.
-        frame.append(stretch(section, (1 << 63) - 1, [F.lit("")], some))
-    framed = totals.select(
-        "doc_id", F.explode(F.filter(F.array(*frame), lambda x: x.isNotNull())).alias("f")
-    ).select("doc_id", "f.section", "f.ord", F.posexplode("f.lines").alias("line_no", "line"))
+        frame.append(stretch(section, F.lit(-1), opening, some))
+        last = F.coalesce(f"__last_{status}", F.lit(0))
+        frame.append(stretch(section, last, [F.lit("")], some, first=FIGURE_LINES))
+    framed = (
+        totals.select("doc_id", F.explode(F.filter(F.array(*frame), lambda x: x.isNotNull())).alias("f"))
+        .select("doc_id", "f.section", "f.ord", "f.first", F.posexplode("f.lines").alias("line_no", "line"))
+        .withColumn("line_no", F.col("line_no") + F.col("first"))
+        .drop("first")
+    )
 
-    shown = F.left(F.replace("description", F.lit("\n"), F.lit(" ")), F.lit(DISPLAY_MAX))
+    on_one_line = F.replace("description", F.lit("\n"), F.lit(" "))
+    shown = on_one_line if display is None else F.left(on_one_line, F.lit(display))
     name = F.format_string("- `%s` [%s]", "figure_id", "classification")
     pending = F.concat(name, F.lit(" → `"), F.col("image_path"), F.lit("`"))
     lines = (
@@ -214,10 +233,10 @@ def rollup_markdown(
     section = F.lit(None).cast("int")
     for number, status, *_ in ROLLUP_SECTIONS:
         section = F.when(F.col("status") == status, number).otherwise(section)
-    listed = rollup_detail(statuses).select(
+    listed = rollup_detail(statuses, chars).select(
         "doc_id",
         section.alias("section"),
-        T.ordinal_of("figure_id").alias("ord"),
+        ordinal.alias("ord"),
         F.posexplode(lines).alias("line_no", "line"),
     )
     return framed.unionByName(listed)

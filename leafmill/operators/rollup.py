@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leafmill import schemas as S
 from leafmill.functions import text as T
 
-# Longest description in the rollup, and in its Markdown form.
+# Defaults of the longest description in the rollup, and in its Markdown form.
 DESCRIPTION_MAX = 120
 DISPLAY_MAX = 80
 
@@ -41,9 +41,12 @@ def with_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def rollup_by_document(statuses: DataFrame, docs: DataFrame | None = None) -> DataFrame:
-    """Counts and completion per document; documents of ``docs`` without statuses get zeros."""
-    counts = statuses.groupBy("doc_id").agg(*status_counts())
+def rollup_by_document(statuses: DataFrame, docs: DataFrame | None = None, *more: Column) -> DataFrame:
+    """Counts and completion per document; documents of ``docs`` without statuses get zeros.
+
+    ``more`` are further numeric aggregates of a document's statuses.
+    """
+    counts = statuses.groupBy("doc_id").agg(*status_counts(), *more)
     if docs is not None:
         counts = docs.select("doc_id").join(counts, "doc_id", "left").na.fill(0)
     return with_summary(counts)
@@ -58,8 +61,12 @@ def rollup_global(statuses: DataFrame) -> DataFrame:
     return with_summary(counts).where(F.col("total_figures") > 0)
 
 
-def rollup_detail(statuses: DataFrame) -> DataFrame:
-    """One row per figure with a known status, holding what its list in the rollup shows."""
+def rollup_detail(statuses: DataFrame, chars: int | None = DESCRIPTION_MAX) -> DataFrame:
+    """One row per figure with a known status, holding what its list in the rollup shows.
+
+    Descriptions are cut after ``chars`` characters; None keeps them whole.
+    """
+    described = F.coalesce("local_llm_description", F.lit(""))
     external = F.col("status") == S.RESOLVED_EXTERNAL
     return statuses.where(
         F.col("status").isin(S.RESOLVED_LOCAL, S.NEEDS_EXTERNAL, S.RESOLVED_EXTERNAL)
@@ -71,7 +78,7 @@ def rollup_detail(statuses: DataFrame) -> DataFrame:
         F.when(F.col("status") == S.NEEDS_EXTERNAL, F.col("image_path")).alias("image_path"),
         F.when(
             ~external,
-            F.left(F.coalesce("local_llm_description", F.lit("")), F.lit(DESCRIPTION_MAX)),
+            described if chars is None else F.left(described, F.lit(chars)),
         ).alias("description"),
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions import rules as R
+from leafmill.functions import text as T
 from leafmill.functions.rules import Rule
 from leafmill.operators import (
     chunking,
@@ -40,9 +41,13 @@ class Options:
     max_figures: int | None = None
     model: str = ""
     max_tokens: int = chunking.MAX_TOKENS
+    tokens: chunking.Tokens = T.words
+    glue: str = " "
     root: str = "out"
     figure_rules: Sequence[Rule] | DataFrame = R.FIGURE_RULES  # or a rule table, see operators/rule_index.py
     context_chars: int | None = context.CONTEXT_CHARS
+    description_chars: int | None = rollup.DESCRIPTION_MAX
+    display_chars: int | None = rollup.DISPLAY_MAX
     description_rules: Sequence[Rule] = R.DESCRIPTION_RULES
     tags: Sequence[str] = R.TAGS
 
@@ -114,7 +119,9 @@ def enrich(
     levels; raw tables and figures are those of the extraction, ``responses`` the
     model's descriptions keyed by figure, ``existing`` earlier statuses.
     """
-    chunks = chunking.chunk_greedy(chunking.heading_path(items), options.max_tokens)
+    chunks = chunking.chunk_greedy(
+        chunking.heading_path(items), options.max_tokens, tokens=options.tokens, glue=options.glue
+    )
     numbered = normalize.normalize_blocks(chunking.to_raw_blocks(chunks))
     blocks = settle(filters.filter_pages(numbered, options.pages), "blocks")
 
@@ -190,8 +197,11 @@ def write(corpus: Corpus, path: str, run: int, gone: DataFrame | None = None) ->
         store("report", entries)
         store("report_markdown", report.report_markdown(entries, corpus.docs))
         store("rollup", corpus.rollup())
-        store("rollup_detail", rollup.rollup_detail(corpus.statuses))
-        store("rollup_markdown", report.rollup_markdown(corpus.statuses, corpus.docs))
+        store("rollup_detail", rollup.rollup_detail(corpus.statuses, corpus.options.description_chars))
+        lines = report.rollup_markdown(
+            corpus.statuses, corpus.docs, chars=corpus.options.description_chars, display=corpus.options.display_chars
+        )
+        store("rollup_markdown", lines)
         store_whole("global_report", report.global_report_markdown(entries))
         store_whole("global_rollup", corpus.rollup_global())
     kinds = index.select("doc_id", "kind").unionByName(own.withColumn("kind", F.lit("index")))

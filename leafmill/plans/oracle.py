@@ -965,12 +965,13 @@ parts AS (
   UNION ALL SELECT doc_id, 1, n, [name || ' ' || d] FROM st WHERE status = 'resolved_local'
   UNION ALL SELECT doc_id, 2, n, CASE WHEN d = '' THEN [name || ' → `' || image_path || '`']
     ELSE [name || ' → `' || image_path || '`', '  ' || d] END FROM st WHERE status = 'needs_external'
-  UNION ALL SELECT doc_id, 3, n, [name] FROM st WHERE status = 'resolved_external'
-  UNION ALL SELECT doc_id, 1, 9223372036854775807, [''] FROM tot WHERE resolved_local > 0
-  UNION ALL SELECT doc_id, 2, 9223372036854775807, [''] FROM tot WHERE needs_external > 0
-  UNION ALL SELECT doc_id, 3, 9223372036854775807, [''] FROM tot WHERE resolved_external > 0),
-lines AS (SELECT doc_id, section, ord, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line
-  FROM parts)
+  UNION ALL SELECT doc_id, 3, n, [name] FROM st WHERE status = 'resolved_external'),
+listed AS (
+  SELECT doc_id, n, CASE status WHEN 'resolved_local' THEN 1 WHEN 'needs_external' THEN 2
+    WHEN 'resolved_external' THEN 3 END AS section FROM st),
+lines AS (
+  SELECT doc_id, section, ord, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line FROM parts
+  UNION ALL SELECT doc_id, section, max(n), 2, '' FROM listed WHERE section IS NOT NULL GROUP BY doc_id, section)
 """
 
 

@@ -55,6 +55,13 @@ def test_limit(spark, n, want):
         assert sorted((r.doc_id, r.ord) for r in got.collect()) == [("b", 10), ("b", 11), ("hot", 0), ("hot", 1)]
 
 
+@pytest.mark.parametrize("n,width", [(1, 1), (3, 2), (7, 4), (1001, 8)])
+def test_limit_over_many_segments(spark, n, width):
+    df = spark.range(60).select(F.expr("id % 3").alias("doc_id"), (F.col("id") * F.col("id")).alias("ord"))
+    got = sorted((r.doc_id, r.ord) for r in L.limit_per_document(df, n, width=width).collect())
+    assert got == sorted((d, i * i) for d in range(3) for i in list(range(d, 60, 3))[:n])
+
+
 def test_limit_prunes_before_the_shuffle(spark):
     df = spark.range(12).select(F.expr("id div 10").alias("doc_id"), F.col("id").alias("ord"))
     plan = L.limit_per_document(df, 2)._jdf.queryExecution().executedPlan().toString()

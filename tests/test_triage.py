@@ -310,3 +310,7 @@ def test_rollup_text(spark):
     whole = "\n".join(r.text for r in parts.orderBy("section", "part").collect())
     assert whole == "\n".join(r.line for r in rows)
     assert lines.where("doc_id = 'none'").count() == 10
+    assert {r.part for r in parts.collect()} <= {-1, 0, 1}  # the opening, and as many as there are figures
+    whole = report.rollup_markdown(st, docs, chars=None, display=None)
+    assert "- `fig_0001` [logo] a " + "b" * 200 in {r.line for r in whole.collect()}
+    assert rollup.rollup_detail(st, 3).where("figure_id = 'fig_0001'").first().description == "a\nb"
