@@ -94,6 +94,31 @@ def test_counts_are_whole_at_any_time(spark, tmp_path):
             assert sorted(map(str, rollup.rollup_of_changes(changes, by).collect())) == sorted(map(str, want.collect()))
 
 
+def test_state_of_changes_is_kept_by_groups(spark, tmp_path):
+    """Far fewer state records, each a call of Python, than figures; keys come out exactly, null ones too."""
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    ids = F.when(F.col("id") != 7, F.col("id") + (1 << 53) + 1)
+    rows = spark.range(2000).select(
+        ids.alias("doc_id"), F.when(F.col("id") % 5 > 0, F.concat(F.lit('f"\\ü'), "id")).alias("figure_id"),
+        F.when(F.col("id") % 3 > 0, "resolved_local").alias("status"),
+        F.timestamp_micros(F.col("id")).alias("processed_at"), F.col("id").alias("event_id"),
+    )
+    for later in (0, 1):
+        moved = rows.where(f"event_id % 4 >= {2 * later}").withColumn("event_id", F.col("event_id") + later)
+        moved.write.mode("append").parquet(src)
+        stream = jobs.read_stream(spark, src, rows.schema)
+        changes = jobs.status_changes(stream, groups=16)
+        query = changes.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 16
+    got = spark.read.parquet(out)
+    assert got.groupBy("delta").count().orderBy("delta").collect() == [(-1, 1000), (1, 3000)]
+    left = got.groupBy("doc_id", "figure_id", "status", "processed_at").agg(F.sum("delta").alias("n")).where("n != 0")
+    want = rows.select("doc_id", "figure_id", "status", "processed_at", F.lit(1).cast("bigint").alias("n"))
+    assert left.exceptAll(want).isEmpty() and want.exceptAll(left).isEmpty()
+
+
 def test_dedupe(spark, tmp_path):
     src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
     put(spark, src, [("d", "f1", "x", "2024-01-01 00:00:00", 1)] * 3 + [("d", "f2", "x", "2024-01-01 00:00:01", 2)])
