@@ -78,7 +78,7 @@ def run_folder(
     items, tables, figures = markup.extract_structure(pages.select("doc_id", "html"), doc="doc_id")
     docs = pages.select("doc_id", "path", F.lit(1).alias("page_count"))
     responses = describe(figures) if describe else None
-    done = corpus.enrich(docs, items, tables, figures, responses, options=options, now=now)
+    done = corpus.enrich(docs, items, tables, figures, responses, options=options, now=now, home=corpus.Home(out, run))
     corpus.write(done, out, run, gone.select(doc.alias("doc_id")))
     # Last: a run that dies before this finds the same changes again.
     covered = changes.where("change != 'same'").select("path")

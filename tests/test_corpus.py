@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
-from leafmill.plans.corpus import Options, enrich, write
-from leafmill.sinks.runs import read_runs
+from leafmill.plans.corpus import Home, Options, enrich, write
+from leafmill.sinks.runs import has_runs, read_runs
 
 TEXT = "A quiet picture of some grey surface under even light, nothing else"
 
@@ -42,6 +42,28 @@ def test_full_run(spark, tmp_path):
     assert {r.doc_id for r in read_runs(spark, f"{path}/blocks").collect()} == {"a", "b"}
 
 
+def test_large_tables_are_written_once(spark, tmp_path):
+    """They are settled where the run stores them; a run that is committed already isn't touched by enrich."""
+    path = str(tmp_path / "out")
+    names = ("blocks", "tables", "statuses", "figures")
+    c = enrich(*inputs(spark), now=F.lit("2024-01-01"), home=Home(path, 1))
+    files = {n: sorted(getattr(c, n).inputFiles()) for n in names}
+    assert all(f"{path}/{n}/rows/" in f for n, there in files.items() for f in there)
+    assert not any(has_runs(spark, f"{path}/{n}") for n in names)
+    write(c, path, 1)
+    assert {n: sorted(read_runs(spark, f"{path}/{n}").inputFiles()) for n in names} == files
+    assert all(f.endswith(".zstd.parquet") for there in files.values() for f in there)
+
+    before = read_runs(spark, f"{path}/statuses")
+    again = enrich(*inputs(spark), existing=before, now=F.lit("2024-01-02"), home=Home(path, 1))
+    assert not again.placed
+    write(again, path, 1)
+    second = enrich(*inputs(spark), now=F.lit("2024-01-03"), home=Home(path, 2))
+    write(second, path, 2)
+    stamps = {str(r.processed_at) for r in read_runs(spark, f"{path}/statuses").collect()}
+    assert stamps == {"2024-01-03 00:00:00"} and read_runs(spark, f"{path}/report").count() == 3
+
+
 def test_switches(spark):
     c = enrich(*inputs(spark), options=Options(no_images=True, no_tables=True))
     assert c.tables is None and c.figures is None and c.statuses is None
