@@ -31,10 +31,16 @@ from tokenizers import Tokenizer
 from leafmill.llm.common import release, texts_of
 
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+| ")
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 CACHE_HITS = 4
 REST_HITS = 8
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 8 << 20
+"""So many characters' new pieces are encoded at once; what they share is then done once."""
+IDS_CHARS = 1 << 20
+"""So many characters' ids are in memory at once."""
+CUT_PIECES = 1 << 15
+"""So many pieces are cut to words at once: those are many small objects."""
+SPACE = re.compile(r"\s")
 START_CHARS = 1 << 18
 """So many characters are looked up at once when the index is made."""
 
@@ -163,6 +169,46 @@ def counter() -> defaultdict:
     return defaultdict(count().__next__)
 
 
+class Table:
+    """Keys, numbered as they are first asked for, and the ids of each."""
+
+    def __init__(self):
+        self.number = counter()
+        self.keep(np.empty(0, np.int64))
+
+    def keep(self, chosen: np.ndarray) -> None:
+        """Keep the chosen keys only."""
+        if len(chosen):
+            keys = list(self.number)
+            keys = [keys[i] for i in chosen.tolist()]
+            self.flat = self.flat[ragged(self.begin[chosen], self.length[chosen])]
+            self.length = self.length[chosen]
+        else:
+            keys, self.flat, self.length = [], np.empty(0, np.int32), np.empty(0, np.int64)
+        self.number = counter()
+        for k in keys:
+            self.number[k]
+        self.begin = np.cumsum(self.length) - self.length
+        self.hits = np.zeros(len(keys), np.int32)
+
+    def trim(self, most: int) -> None:
+        """With over ``most`` keys, what has come up again and again stays."""
+        if len(self.number) > most:
+            self.keep(np.flatnonzero(self.hits >= CACHE_HITS))
+
+    def put(self, flat: np.ndarray, length: np.ndarray) -> None:
+        """The ids of all keys that were numbered since the last time."""
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        self.hits = np.concatenate([self.hits, np.zeros(len(length), np.int32)])
+
+    def ids(self, which: np.ndarray) -> np.ndarray:
+        """The ids of keys, by number, in a row; the keys count as used."""
+        self.hits += np.bincount(which, minlength=len(self.hits)).astype(np.int32)
+        return self.flat[ragged(self.begin[which], self.length[which])]
+
+
 class Codec:
     """A tokenizer file: pieces to ids by the pair index, ids to text."""
 
@@ -177,26 +223,11 @@ class Codec:
         self.token = {i: t for t, i in (bpe["vocab"] | self.added).items()}
         self.shown = [self.token.get(i, "").encode() for i in range(max(self.token) + 1)]
         self.decimal = [b"%d" % i for i in range(max(self.token) + 1)]
-        self.keep(np.empty(0, np.int64))
-
-    def keep(self, chosen: np.ndarray) -> None:
-        """Keep the chosen pieces of the table; none at first."""
-        if len(chosen):
-            pieces = list(self.number)
-            pieces = [pieces[i] for i in chosen.tolist()]
-            self.flat = self.flat[ragged(self.begin[chosen], self.length[chosen])]
-            self.length = self.length[chosen]
-        else:
-            pieces, self.flat, self.length = [], np.empty(0, np.int32), np.empty(0, np.int64)
-        self.number = counter()
-        for p in pieces:
-            self.number[p]
-        self.begin = np.cumsum(self.length) - self.length
-        self.hits = np.zeros(len(pieces), np.int64)
+        self.pieces = Table()
 
     def rest(self) -> None:
         """At the end of a task: only what is used most stays in the table."""
-        self.keep(np.flatnonzero(self.hits >= REST_HITS))
+        self.pieces.keep(np.flatnonzero(self.pieces.hits >= REST_HITS))
         release()
 
     def words(self, piece: str) -> list[str | int]:
@@ -214,80 +245,91 @@ class Codec:
         return out
 
     def learn(self, pieces: list[bytes]) -> None:
-        """Encode new pieces and put them at the end of the table.  Most are cut to words at once."""
-        plain, wide, rest = [], [], []
+        """Encode new pieces and put them at the end of their table.  Most are cut to words at once."""
+        rest = [k for k, p in enumerate(pieces) if b"<|" in p and self.cut.search(p.decode())]
+        special = set(rest)
+        plain, wide = [], []
         for k, p in enumerate(pieces):
-            if b"<|" in p and self.cut.search(p.decode()):
-                rest.append(k)
-            elif p.isascii():
+            if k in special:
+                continue
+            if p.isascii():
                 (plain if p.decode().isprintable() else rest).append(k)
             else:
-                (rest if any(map(str.isspace, p.decode())) else wide).append(k)
-        word = counter()
+                (rest if SPACE.search(p.decode()) else wide).append(k)
+        words = Table()
+        word = words.number
         owner, found = [], []
 
-        if plain:
-            text = b" ".join([pieces[k] for k in plain]).decode().lower()
+        for some in (plain[i : i + CUT_PIECES] for i in range(0, len(plain), CUT_PIECES)):
+            text = b" ".join([pieces[k] for k in some]).decode().lower()
             w = np.fromiter(map(word.__getitem__, ASCII_WORDS.findall(text)), np.int64)
             gap = w == word[" "]
-            own = np.array(plain)[np.cumsum(gap)]
+            own = np.array(some)[np.cumsum(gap)]
             owner.append(own[~gap])
             found.append(w[~gap])
-        if wide:
-            text = self.library.normalizer.normalize_str(b" ".join([pieces[k] for k in wide]).decode())
+        for some in (wide[i : i + CUT_PIECES] for i in range(0, len(wide), CUT_PIECES)):
+            text = self.library.normalizer.normalize_str(b" ".join([pieces[k] for k in some]).decode())
             sizes = np.array([len(x) + 1 for x in text.split(" ")])
-            if len(sizes) != len(wide):  # the library sees white space where Python doesn't
-                rest += wide
+            if len(sizes) != len(some):  # the library sees white space where Python doesn't
+                rest += some
             else:
                 cut = self.library.pre_tokenizer.pre_tokenize_str(text)
                 at = np.fromiter((x[1][0] for x in cut), np.int64, len(cut))
-                owner.append(np.array(wide)[np.searchsorted(np.cumsum(sizes), at, side="right")])
+                owner.append(np.array(some)[np.searchsorted(np.cumsum(sizes), at, side="right")])
                 found.append(np.fromiter((word[x[0]] for x in cut), np.int64, len(cut)))
         for k in rest:
             ws = self.words(pieces[k].decode())
             owner.append(np.full(len(ws), k, np.int64))
             found.append(np.array([word[w] for w in ws], np.int64))
-        if " " in word:
-            word.pop(" ")  # the gap, never a word; its number stays unused
 
-        numbers = np.fromiter(word.values(), np.int64, len(word))
-        fixed = np.array([type(w) is int for w in word], bool) if rest else np.zeros(len(word), bool)
-        merged = [w for w in word if type(w) is str]
+        new = list(word)
+        fixed = np.array([type(w) is int for w in new], bool)  # added tokens
+        free = np.array([type(w) is str and w != " " for w in new], bool)  # the gap is never a word
+        merged = [w for w, m in zip(new, free.tolist(), strict=True) if m]
         ids, ends = self.index.encode(merged) if merged else (np.empty(0, np.int64),) * 2
-        length = np.zeros(int(numbers.max(initial=-1)) + 1, np.int64)
-        begin = length.copy()
-        length[numbers[~fixed]] = np.diff(ends, prepend=0)
-        begin[numbers[~fixed]] = ends - np.diff(ends, prepend=0)
-        length[numbers[fixed]] = 1
-        begin[numbers[fixed]] = len(ids) + np.arange(fixed.sum())
-        ids = np.concatenate([ids, np.array([w for w in word if type(w) is int], np.int64)])
+        size = fixed.astype(np.int64)
+        size[free] = np.diff(ends, prepend=0)
+        flat = np.empty(int(size.sum()), np.int64)
+        flat[np.repeat(free, size)] = ids
+        flat[np.repeat(fixed, size)] = [w for w in new if type(w) is int]
+        words.put(flat, size)
 
         own = np.concatenate([*owner, np.empty(0, np.int64)])
         which = np.concatenate([*found, np.empty(0, np.int64)])
         order = np.argsort(own, kind="stable")
         own, which = own[order], which[order]
-        made = ids[ragged(begin[which], length[which])].astype(np.int32)
-        size = np.bincount(own, length[which], minlength=len(pieces)).astype(np.int64)
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
-        self.length = np.concatenate([self.length, size])
-        self.flat = np.concatenate([self.flat, made])
-        self.hits = np.concatenate([self.hits, np.zeros(len(pieces), np.int64)])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text ends."""
-        if len(self.number) > CACHE_PIECES:  # what has come up again and again stays
-            self.keep(np.flatnonzero(self.hits >= CACHE_HITS))
-        known, get = len(self.number), self.number.__getitem__
+        size = np.bincount(own, words.length[which], minlength=len(pieces)).astype(np.int64)
+        self.pieces.put(words.ids(which), size)
+
+    def look_up(self, texts: list[str]) -> list[np.ndarray]:
+        """Each text's pieces by number, new ones encoded."""
+        self.pieces.trim(CACHE_PIECES)
+        number = self.pieces.number
+        known, get = len(number), number.__getitem__
         by_text = [np.fromiter(map(get, t.encode().split()), np.int32) for t in texts]
-        k = np.concatenate([*by_text, np.empty(0, np.int32)])
-        new = list(islice(self.number, known, None))
+        new = list(islice(number, known, None))
         if new:
             self.learn(new)
-        self.hits += np.bincount(k, minlength=len(self.hits))
-        length = self.length[k]
-        ids = self.flat[ragged(self.begin[k], length)]
+        return by_text
+
+    def ids(self, by_text: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text ends."""
+        k = np.concatenate([*by_text, np.empty(0, np.int32)])
+        ends = np.append(0, np.cumsum(self.pieces.length[k]))
         pieces = np.fromiter(map(len, by_text), np.int64, len(by_text))
-        return ids, np.append(0, np.cumsum(length))[np.cumsum(pieces)]
+        return self.pieces.ids(k), ends[np.cumsum(pieces)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text ends."""
+        return self.ids(self.look_up(texts))
+
+    def encoded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same of some texts at a time; until then they are numbers of pieces, far smaller than ids."""
+        for some in slices(texts, BATCH_CHARS):
+            here = texts[some]
+            by_text = self.look_up(here)
+            for part in slices(here, IDS_CHARS):
+                yield self.ids(by_text[part])
 
 
 @lru_cache(maxsize=2)
@@ -298,7 +340,7 @@ def codec(path: str) -> Codec:
     return made
 
 
-def slices(texts: list[str], chars: int = BATCH_CHARS) -> Iterator[slice]:
+def slices(texts: list[str], chars: int) -> Iterator[slice]:
     """Runs of texts of about ``chars`` code points, a text at least."""
     begin, held = 0, 0
     for i, t in enumerate(texts):
@@ -328,8 +370,7 @@ def encode(
         own = codec(tokenizer)
         for batch in batches:
             texts, out = batch.tolist(), []
-            for part in slices(texts):
-                flat, ends = own.encode(texts[part])
+            for flat, ends in own.encoded(texts):
                 for ids in np.split(flat, ends[:-1]):
                     ids = ids.tolist()
                     text = b" ".join(map(own.shown.__getitem__, ids))

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.llm.bpe import codec, slices
+from leafmill.llm.bpe import codec
 from leafmill.llm.common import texts_of
 from leafmill.scratch import settle
 
@@ -144,8 +144,7 @@ def pieces_of(
         used = [0] * (size + 1)
         for batch in batches:
             texts, out = batch.tolist(), []
-            for some in slices(texts):
-                flat, ends = own.encode(texts[some])
+            for flat, ends in own.encoded(texts):
                 begin = 0
                 for end in ends.tolist():
                     ids = np.append(flat[begin:end], end_id).astype("<u4")

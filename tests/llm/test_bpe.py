@@ -72,3 +72,16 @@ def test_vocabularies_whose_merges_are_out_of_order():
     ids, ends = index.encode(words)
     for w, got in zip(words, np.split(ids, ends[:-1]), strict=True):
         assert got.tolist() == [vocab[x] for x in naive(w, ranks)]
+
+
+def test_pieces_of_a_batch_are_learnt_at_once_and_ids_made_in_parts(monkeypatch):
+    monkeypatch.setattr(bpe, "IDS_CHARS", 300)
+    own = bpe.Codec(PATH)
+    learnt, learn = [], own.learn
+    monkeypatch.setattr(own, "learn", lambda pieces: (learnt.append(len(pieces)), learn(pieces)))
+    texts = [f"Word{k % 7}, öl{k % 5} x <|endoftext|> {'ab ' * (k % 9)}" for k in range(200)] + ["", " "]
+    parts = list(own.encoded(texts))
+    assert len(learnt) == 1 and len(parts) > 5
+    ids = [x.tolist() for flat, ends in parts for x in np.split(flat, ends[:-1])]
+    assert ids == [own.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert all(sum(map(len, ids)) > len(flat) for flat, _ in parts)
