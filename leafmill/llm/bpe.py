@@ -24,6 +24,8 @@ from itertools import count, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -301,35 +303,37 @@ class Codec:
         size = np.bincount(own, words.length[which], minlength=len(pieces)).astype(np.int64)
         self.pieces.put(words.ids(which), size)
 
-    def look_up(self, texts: list[str]) -> list[np.ndarray]:
-        """Each text's pieces by number, new ones encoded."""
+    def look_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' pieces by number, in a row, new ones encoded, and where each text begins and the last ends."""
         self.pieces.trim(CACHE_PIECES)
         number = self.pieces.number
-        known, get = len(number), number.__getitem__
-        by_text = [np.fromiter(map(get, t.encode().split()), np.int32) for t in texts]
+        known = len(number)
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.string()))  # at the ends of a text a piece may be empty
+        held = cut.flatten().dictionary_encode()
+        distinct = held.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(number.__getitem__, distinct), np.int32, len(distinct))
         new = list(islice(number, known, None))
         if new:
             self.learn(new)
-        return by_text
+        return numbers[held.indices.to_numpy()], cut.offsets.to_numpy()
 
-    def ids(self, by_text: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text ends."""
-        k = np.concatenate([*by_text, np.empty(0, np.int32)])
-        ends = np.append(0, np.cumsum(self.pieces.length[k]))
-        pieces = np.fromiter(map(len, by_text), np.int64, len(by_text))
-        return self.pieces.ids(k), ends[np.cumsum(pieces)]
+    def ids(self, k: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces in a row, and where the ids of each text end, whose pieces end at ``ends``."""
+        return self.pieces.ids(k), np.append(0, np.cumsum(self.pieces.length[k]))[ends]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text ends."""
-        return self.ids(self.look_up(texts))
+        k, at = self.look_up(texts)
+        return self.ids(k, at[1:])
 
     def encoded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The same of some texts at a time; until then they are numbers of pieces, far smaller than ids."""
         for some in slices(texts, BATCH_CHARS):
             here = texts[some]
-            by_text = self.look_up(here)
+            k, at = self.look_up(here)
             for part in slices(here, IDS_CHARS):
-                yield self.ids(by_text[part])
+                a, b = at[part.start], at[part.stop]
+                yield self.ids(k[a:b], at[part.start + 1 : part.stop + 1] - a)
 
 
 @lru_cache(maxsize=2)
