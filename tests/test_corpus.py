@@ -1,6 +1,10 @@
+import os
+
 from pyspark.sql import functions as F
 
+from leafmill.operators.export import from_records, to_records
 from leafmill.plans.corpus import Home, Options, enrich, write
+from leafmill.scratch import passing, settle
 from leafmill.sinks.runs import has_runs, read_runs
 
 TEXT = "A quiet picture of some grey surface under even light, nothing else"
@@ -81,3 +85,72 @@ def test_existing_statuses_survive_unless_forced(spark):
     assert kept.rollup().where("doc_id = 'a'").first().percent_complete == 100.0
     forced = enrich(*inputs(spark), existing=done, options=Options(force=True), now=F.lit("2024-01-02"))
     assert forced.rollup().where("doc_id = 'a'").first().percent_complete == 66.7
+
+
+def files(top):
+    return {os.path.join(d, f) for d, _, names in os.walk(top) for f in names}
+
+
+def shuffle_files(spark):
+    """Those of the running session, by the folders of its block manager."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in folders for f in files(d) if os.path.basename(f).startswith("shuffle_")}
+
+
+def test_a_run_leaves_only_what_it_stores(spark, tmp_path):
+    """Its scratch tables and shuffle files are gone when it ends; they had stayed as long as the session."""
+    root, out = spark.conf.get("spark.checkpoint.dir"), str(tmp_path / "out")
+    before, shuffled = files(root), shuffle_files(spark)
+    with passing(spark):
+        write(enrich(*inputs(spark), now=F.lit("2024-01-01"), home=Home(out, 1)), out, 1)
+    assert files(root) == before
+    assert not shuffle_files(spark) - shuffled
+    stored = from_records(read_runs(spark, f"{out}/documents"))
+    assert {r.doc_id: (len(r.blocks), len(r.tables), len(r.figures)) for r in stored.collect()} == {"a": (1, 1, 3), "b": (1, 0, 0)}
+
+
+def test_passing_restores_the_session(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    with passing(spark):
+        kept = settle(spark.range(3), "outer")
+        with passing(spark):
+            gone, stays = settle(spark.range(4), "inner"), settle(spark.range(5), "inner", lasting=True)
+            assert gone.count() == 4 and spark.conf.get(key) == "true"
+        assert spark.conf.get(key) == "true" and (kept.count(), stays.count()) == (3, 5)
+        there = [f.removeprefix("file://") for f in (*gone.inputFiles(), *kept.inputFiles(), *stays.inputFiles())]
+    assert spark.conf.get(key) == was and not any(os.path.exists(f) for f in there)
+
+
+def test_records_are_the_nested_documents(spark):
+    """As JSON, in shares, every record comes back as it was, odd characters and nulls included."""
+    docs, items, tables, figures, replies = inputs(spark)
+    odd = 'q"uote \\ back\\slash \u2028 \x01 \U0001f600 é {"a": [1]}'
+    more = spark.createDataFrame([("a", 9, 3, odd, None), (None, 1, 1, "nobody", None)], items.schema)
+    docs = docs.unionByName(spark.createDataFrame([("c", None, 1), (None, "in/n.pdf", 1)], docs.schema))
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = files(root)
+    c = enrich(docs, items.unionByName(more), tables, figures, replies, now=F.lit("2024-01-01"))
+    left = {os.path.relpath(f, root).split("-")[0] for f in files(root) - before}
+    assert left == {"docs", "blocks", "tables", "statuses", "figures", "pictures"}
+    want, records = settle(c.nested(), "nested"), settle(to_records(c.nested()), "records")
+    back = from_records(records)
+    assert back.schema.simpleString() == want.schema.simpleString().replace("page_count:int", "page_count:bigint")
+    assert sorted(map(str, back.collect())) == sorted(map(str, want.collect())) and want.count() == 3
+    assert any(odd in b.text for r in back.where("doc_id = 'a'").collect() for b in r.blocks)
+    assert from_records(records, "blocks ARRAY<STRUCT<id: STRING>>").columns == ["doc_id", "part", "blocks"]
+    shares = [settle(c.nested((k, 3)), "share") for k in range(3)]
+    assert sorted(str(r) for s in shares for r in s.collect()) == sorted(map(str, want.collect()))
+
+
+def test_page_parts_come_from_one_shuffle(spark):
+    """The parts and what they are overlapped with were gathered twice."""
+    from leafmill.operators.context import page_parts
+
+    rows = [("a", i, 1 + i // 4, f"line {i}") for i in range(12)] + [("a", None, 1, "nowhere"), (None, 1, 1, "nobody")]
+    blocks = settle(spark.createDataFrame(rows, "doc_id string, ord bigint, page int, text string"), "blocks")
+    parts = page_parts(blocks, 6, width=2, chars=None)
+    got = {(r.page, r.part): r.whole for r in parts.collect()}
+    assert len(got) == 6 and got[1, 0] == "line 0 line 1 line " and got[3, 5] == "line 10 line 11 "
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
