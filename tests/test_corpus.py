@@ -6,6 +6,7 @@ from leafmill.operators.export import from_records, to_records
 from leafmill.plans.corpus import Home, Options, enrich, write
 from leafmill.scratch import passing, settle
 from leafmill.sinks.runs import has_runs, read_runs
+from leafmill.streaming.jobs import corpus_stream, read_stream
 
 TEXT = "A quiet picture of some grey surface under even light, nothing else"
 
@@ -122,6 +123,17 @@ def test_passing_restores_the_session(spark):
     assert spark.conf.get(key) == was and not any(os.path.exists(f) for f in there)
 
 
+def test_a_streamed_batch_leaves_only_what_it_stores(spark, tmp_path):
+    docs, items, *_ = inputs(spark)
+    docs.write.parquet(str(tmp_path / "in"))
+    root = spark.conf.get("spark.checkpoint.dir")
+    before, out = files(root), str(tmp_path / "out")
+    stream = read_stream(spark, str(tmp_path / "in"), docs.schema)
+    corpus_stream(stream, str(tmp_path / "checkpoint"), out, lambda batch, home: enrich(batch, items, home=home), homed=True)
+    assert files(root) == before
+    assert read_runs(spark, f"{out}/doc_stats").count() == 2 and read_runs(spark, f"{out}/blocks").count() == 2
+
+
 def test_records_are_the_nested_documents(spark):
     """As JSON, in shares, every record comes back as it was, odd characters and nulls included."""
     docs, items, tables, figures, replies = inputs(spark)
